@@ -79,6 +79,15 @@ def _plain(values) -> np.ndarray:
     return found.astype(str) if found.dtype == object else found
 
 
+def _rounded(scores: np.ndarray) -> np.ndarray:
+    """Half-up at ``DIGITS``, after the noise of the last binary digits is gone.
+
+    Ranks are taken on rounded scores, so they do not depend on summation order.
+    """
+    clean = np.round(scores, 12)
+    return np.copysign(np.floor(np.abs(clean) * 10**DIGITS + 0.5) / 10**DIGITS, clean) + 0.0
+
+
 class _Cosine:
     """Cosine similarity of item vectors with a block of query vectors."""
 
@@ -176,7 +185,7 @@ class _Best:
         payload = items.column("i_payload")
         if isinstance(payload, pa.ChunkedArray):
             payload = payload.combine_chunks()
-        scores = np.round(self.scorer.score(payload), DIGITS) + 0.0
+        scores = _rounded(self.scorer.score(payload))
         item_ids = _plain(items.column("item_id"))
         if not self.any.all():
             tag = _plain(pc.fill_null(items.column("i_only"), "\0"))

@@ -16,9 +16,19 @@ JOB_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # bounds the rows, and so the whole texts, that one Python worker holds at once
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    # A union that claims its inputs' partitioning breaks once adaptive execution
+    # coalesces those inputs differently ("can't zip RDDs").
+    "spark.sql.unionOutputPartitioning": "false",
 }
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the job's settings to a session someone else made."""
+    for key, value in JOB_CONF.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def local_session(cpus: int | str = "*", app: str = "docloom", **conf: str) -> SparkSession:
     """A local session for tests and benchmarks; a cluster brings its own."""
     builder = (

@@ -59,5 +59,5 @@ def corpus_inventory(files: DataFrame, path: str = "source_path", size: str = "f
         F.when(F.col("_total") == 1, "TOTAL").otherwise(F.col("folder")).alias("folder"),
         "files",
         F.round(F.col("bytes") / 1e6, 6).alias("megabytes"),
-        F.when(F.col("_total") == 1, F.col("files") < minimum).alias("below_minimum"),
+        ((F.col("_total") == 1) & (F.col("files") < minimum)).alias("below_minimum"),
     )

@@ -52,7 +52,7 @@ NEUTRAL_TONE = MANAGEMENT_TONES[1]
 COMPANY_SUFFIXES = ["inc", "corp", "corporation", "platforms", "com"]
 
 # Per label, (pattern, group) pairs tried in order; the first non-empty hit wins.
-_MONEY = r"(\$\s?[0-9][0-9.,]*(?:\s?(?:trillion|billion|million|[TBM])(?:[^A-Za-z]|$))?)"
+_MONEY = r"(\$\s?[0-9]+(?:[.,][0-9]+)*(?:\s?(?:trillion|billion|million)|[TBM](?![a-z]))?)"
 FIELD_RULES = {
     "company": [
         (r"(Amazon(?:\.com)?(?:, Inc\.)?|Apple(?: Inc\.)?|Meta(?: Platforms(?:, Inc\.)?)?"
@@ -72,11 +72,11 @@ FIELD_RULES = {
     ],
     "revenue": [
         (r"(?i)(?:net sales|revenues?|sales|took in)[^.$]{0,60}" + _MONEY, 1),
-        (r"(?i)" + _MONEY + r"(?:in|of) (?:net sales|revenues?|sales)", 1),
+        (r"(?i)" + _MONEY + r" (?:in|of) (?:net sales|revenues?|sales)", 1),
     ],
     "net_income": [
         (r"(?i)(?:net income|net earnings|net profit|a net)[^.$]{0,60}" + _MONEY, 1),
-        (r"(?i)" + _MONEY + r"(?:in|of) net (?:income|earnings|profit)", 1),
+        (r"(?i)" + _MONEY + r" (?:in|of) net (?:income|earnings|profit)", 1),
     ],
 }
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docloom.functions import text as T
 from docloom.functions import vocab as V
+from docloom.session import materialize
 
 
 def _bind(value: Column, body) -> Column:
@@ -74,11 +75,12 @@ def sentiment(text: Column | str, positive=None, negative=None) -> Column:
 
 
 def train_classifier(labelled: DataFrame, text: str = "text", label: str = "label", features: int = 1 << 12,
-                     iterations: int = 30):
+                     iterations: int = 20):
     """Fit hashed TF-IDF + logistic regression; returns the fitted pipeline.
 
     The feature space is fixed by ``features``, so the model's size does not
-    grow with the corpus and training aggregates over the partitions.
+    grow with the corpus and training aggregates over the partitions. The
+    labelled tokens are stored first because every iteration reads them.
     """
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
@@ -87,6 +89,7 @@ def train_classifier(labelled: DataFrame, text: str = "text", label: str = "labe
     rows = labelled.where(F.col(label).isNotNull()).select(
         T.tokens(text).alias("tokens"), F.col(label).cast("double").alias("label")
     )
+    rows = materialize(rows, "training")
     return Pipeline(
         stages=[
             HashingTF(inputCol="tokens", outputCol="tf", numFeatures=features),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from docloom.functions import vocab as V
 from docloom.operators.graph import TRIPLE, _first_n
 from docloom.operators.retrieve import hybrid_topk
+from docloom.session import materialize
 
 # --- fixed values: section headings and limits of the assembled text --------
 HEADINGS = [
@@ -142,8 +143,10 @@ def hybrid_context(questions: DataFrame, chunks: DataFrame, relationships: DataF
                    max_chunks: int = 10, aliases: dict[str, str] | None = None, item_id: str = "chunk_id") -> DataFrame:
     """All three layers for each row of ``questions`` (``query_id, question, vector, companies``)."""
     asked = questions.withColumn("_only", single_company("companies"))
-    ranking = hybrid_topk(asked, chunks, max_chunks, item_id=item_id, query_only="_only", item_only="company")
-    excerpts = ranking.join(
+    ranking = hybrid_topk(asked, chunks, max_chunks, item_id=item_id, query_only="_only", item_only="company",
+                          item_tokens="tokens" if "tokens" in chunks.columns else None)
+    # stored: both the excerpts and the companies to look up read it
+    excerpts = materialize(ranking, "ranking").join(
         chunks.select(F.col(item_id).alias("item_id"), "company", "fiscal_period", "document_type", "chunk_text"), "item_id"
     ).select("query_id", "rank", "company", "fiscal_period", "document_type", "chunk_text")
     targets = context_targets(questions, excerpts.select("query_id", "company"))

@@ -6,7 +6,8 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,34 +27,32 @@ def embed_tokens(tokens: Column | str, dim: int = 64, normalize: bool = False) -
     Distinct words of a batch are hashed once; the rest is one bincount.
     """
 
-    @F.pandas_udf("array<double>")
-    def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<double>")
+    def embed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known: dict[str, tuple[int, float]] = {}
         for batch in batches:
-            sizes = np.array([0 if words is None else len(words) for words in batch], dtype=np.int64)
-            if sizes.sum() == 0:
-                yield pd.Series([None if words is None else np.zeros(dim) for words in batch])
-                continue
-            flat = np.concatenate([words for words in batch if words is not None and len(words)])
-            codes, words = pd.factorize(flat)
+            sizes = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False)
+            encoded = pc.dictionary_encode(pc.list_flatten(batch))
+            words = encoded.dictionary.to_pylist()
             if len(known) > 1_000_000:
                 known.clear()
-            slots = np.empty(len(words), dtype=np.int64)
-            signs = np.empty(len(words))
-            for i, word in enumerate(words):
-                hit = known.get(word)
-                if hit is None:
-                    hit = known[word] = _slot(word, dim)
-                slots[i], signs[i] = hit
+            for word in words:
+                if word not in known:
+                    known[word] = _slot(word, dim)
+            slots = np.array([known[word][0] for word in words], dtype=np.int64)
+            signs = np.array([known[word][1] for word in words])
+            codes = encoded.indices.to_numpy(zero_copy_only=False)
             rows = np.repeat(np.arange(len(batch)), sizes)
             cells = np.bincount(rows * dim + slots[codes], weights=signs[codes], minlength=len(batch) * dim)
-            matrix = cells.reshape(len(batch), dim)
             if normalize:
+                matrix = cells.reshape(len(batch), dim)
                 norms = np.linalg.norm(matrix, axis=1, keepdims=True)
-                matrix = np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
-            yield pd.Series([None if words is None else matrix[i] for i, words in enumerate(batch)])
+                cells = np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0).ravel()
+            ends = np.arange(len(batch) + 1, dtype=np.int32) * dim
+            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(cells), mask=pc.is_null(batch))
 
-    return embed(tokens)
+    # not marked deterministic: a filter on the vector must not run the function again below it
+    return embed.asNondeterministic()(tokens)
 
 
 def embed_text(df: DataFrame, col: str = "chunk_to_embed", dim: int = 64, normalize: bool = False,

@@ -324,8 +324,8 @@ def entity_link(ranking: DataFrame, corpus: DataFrame, relationships: DataFrame,
         "_name", T.token_key("subject")
     )
     if max_words is None:
-        max_words = best.agg(F.max(F.size(F.split("_name", " ")))).first()[0] or 1
-    retrieved = ranking.select("query_id", "item_id").join(
+        max_words = known.agg(F.max(F.size(T.tokens("subject")))).first()[0] or 1
+    retrieved = materialize(ranking.select("query_id", "item_id"), "ranking").join(
         corpus.select(F.col(item_id).alias("item_id"), T.tokens(text).alias("_words")), "item_id"
     )
 

@@ -319,16 +319,19 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, *, query_id:
 
 def bm25_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, *, query_id: str = "query_id",
               item_id: str = "chunk_id", query_text: str = "question", item_text: str = "chunk_text",
-              filters: str | dict | None = None, query_only: str | None = None,
+              item_tokens: str | None = None, filters: str | dict | None = None, query_only: str | None = None,
               item_only: str | None = None) -> DataFrame:
     """BM25 top-k over distinct query terms: ``query_id, item_id, score, rank``.
 
+    ``item_tokens`` names a stored token array, so an index is not split again.
+
     The first pass counts, per query term, the items holding it; counts combine
     before the shuffle, and an empty marker word carries the number of items
     and their total length through the same aggregate.
     """
     items = corpus.where(metadata_filter(filters)) if filters else corpus
-    words = items.select(T.tokens(item_text).alias("_words"))
+    split = F.col(item_tokens) if item_tokens else T.tokens(item_text)
+    words = items.select(split.alias("_words"))
     asked = queries.select(
         F.col(query_id).alias("query_id"),
         F.explode(F.array_distinct(T.tokens(query_text))).alias("term"),
@@ -353,7 +356,7 @@ def bm25_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, *, query_id: s
                           (F.col(query_only).cast("string") if query_only else F.lit(None).cast("string")).alias("q_only"))
     scored = _score_all(
         weighted.join(only, "query_id"),
-        _item_side(items, item_id, T.tokens(item_text), item_only),
+        _item_side(items, item_id, split, item_only),
         lambda block: _Bm25(block, mean_length), k, False,
     )
     return top_k_per_query(scored, k)
@@ -371,13 +374,15 @@ def fuse(first: DataFrame, second: DataFrame, k: int = 10) -> DataFrame:
 
 def hybrid_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, *, query_id: str = "query_id",
                 item_id: str = "chunk_id", query_text: str = "question", item_text: str = "chunk_text",
-                query_vector: str = "vector", item_vector: str = "vector", filters: str | dict | None = None,
-                query_only: str | None = None, item_only: str | None = None) -> DataFrame:
+                query_vector: str = "vector", item_vector: str = "vector", item_tokens: str | None = None,
+                filters: str | dict | None = None, query_only: str | None = None,
+                item_only: str | None = None) -> DataFrame:
     """Semantic and keyword ranking fused: the top ``FUSION_DEPTH`` of each compete."""
     shared = dict(query_id=query_id, item_id=item_id, filters=filters, query_only=query_only, item_only=item_only)
     depth = max(FUSION_DEPTH, k)
     by_meaning = vector_topk(queries, corpus, depth, query_vector=query_vector, item_vector=item_vector, **shared)
-    by_words = bm25_topk(queries, corpus, depth, query_text=query_text, item_text=item_text, **shared)
+    by_words = bm25_topk(queries, corpus, depth, query_text=query_text, item_text=item_text,
+                         item_tokens=item_tokens, **shared)
     return fuse(by_meaning, by_words, k)
 
 
@@ -452,7 +457,12 @@ def ann_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, *, query_id: st
 
 # ----------------------------------------------------- reading the rankings --
 def with_columns(ranking: DataFrame, corpus: DataFrame, columns: list[str], item_id: str = "chunk_id") -> DataFrame:
-    """Requested item columns next to a ranking, the score last."""
+    """Requested item columns next to a ranking, the score last.
+
+    The ranking is stored first: its size is then known to the planner, which
+    broadcasts it while it is small instead of shuffling the corpus.
+    """
+    ranking = materialize(ranking, "ranking")
     picked = corpus.select(F.col(item_id).alias("item_id"), *columns)
     return ranking.join(picked, "item_id").select("query_id", "rank", "item_id", *columns, "score")
 
@@ -474,12 +484,10 @@ def retrieval_eval(ranking: DataFrame, truth: DataFrame, k: int = 10) -> DataFra
 
     ``truth`` rows are ``(query_id, item_id)``.
     """
-    truth = truth.select("query_id", "item_id").distinct()
-    hits = ranking.where(F.col("rank") <= k).join(truth, ["query_id", "item_id"]).groupBy("query_id").agg(
-        F.min("rank").alias("first_rank")
-    )
+    seen = ranking.where(F.col("rank") <= k).select("query_id", "item_id", "rank")
     return (
-        truth.select("query_id").distinct().join(hits, "query_id", "left")
+        truth.select("query_id", "item_id").join(seen, ["query_id", "item_id"], "left")
+        .groupBy("query_id").agg(F.min("rank").alias("first_rank"))
         .agg(
             F.count(F.lit(1)).alias("queries"),
             F.count("first_rank").alias("hits"),
@@ -514,8 +522,9 @@ def verbatim_hits(passages: DataFrame, corpus: DataFrame, *, passage_id: str = "
 
     every_run = F.concat(*[runs(size) for size in sorted(widths)]) if widths else F.array().cast("array<string>")
     pairs = items.select("item_id", F.explode(F.array_distinct(every_run)).alias("_run")).join(asked, "_run")
+    pairs = materialize(pairs.select("query_id", "item_id", "_passage"), "candidates")
     settled = F.contains(_worded(F.array_join("_words", " ")), _worded(F.col("_passage")))
-    return pairs.select("query_id", "item_id", "_passage").join(items, "item_id").where(settled).select("query_id", "item_id")
+    return items.join(pairs, "item_id").where(settled).select("query_id", "item_id")
 
 
 def _worded(joined: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as st
 
+from docloom.functions import text as T
 from docloom.functions import vocab as V
 
 ENTITY = "struct<name:string,entity_type:string,description:string>"
@@ -88,11 +89,12 @@ def extract_with_model(df: DataFrame, answer: Callable[[list[str]], list[str | N
 
 def parse_structured(df: DataFrame, col: str = "result") -> DataFrame:
     """Add ``parsed`` (typed, NULL where malformed) and the ``malformed`` flag."""
-    parsed = F.from_json(F.col(col), RESULT)
-    whole = parsed["data"]["entities"].isNotNull() & parsed["data"]["relationships"].isNotNull()
-    return df.withColumns(
-        {"parsed": F.when(whole, parsed), "malformed": F.col(col).isNotNull() & ~F.coalesce(whole, F.lit(False))}
-    )
+    read = F.col("_read")
+    whole = read["data"]["entities"].isNotNull() & read["data"]["relationships"].isNotNull()
+    rows = T.compute_once(df, _read=F.from_json(F.col(col), RESULT))
+    return rows.withColumns(
+        {"parsed": F.when(whole, read), "malformed": F.col(col).isNotNull() & ~F.coalesce(whole, F.lit(False))}
+    ).drop("_read")
 
 
 def entity_mentions(parsed: DataFrame) -> DataFrame:

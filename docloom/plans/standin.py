@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docloom.functions import text as T
 from docloom.functions import vocab as V
 from docloom.operators import classify as C
 from docloom.operators import graph as G
@@ -49,15 +50,16 @@ TONE_LEXICON = {
 }
 POSITIVE = ["the", "der", "la", "with"]
 NEGATIVE = ["of", "von", "de", "was"]
-_WORD = r"(\p{L}{3,})"
+# a word is tried from its first letter only, which keeps the scan linear
+_FIRST, _SECOND = r"(?:^|[^\p{L}])(\p{L}{3,})", r"(\p{L}{3,})"
 TRIPLET_PATTERNS = [
-    ("partners_with", rf"{_WORD} with {_WORD}", "Company", "Company"),
-    ("competes_with", rf"{_WORD} or {_WORD}", "Company", "Company"),
-    ("invests_in", rf"{_WORD} for {_WORD}", "Company", "Market"),
-    ("acquires", rf"{_WORD} by {_WORD}", "Company", "Product"),
-    ("uses_technology", rf"{_WORD} from {_WORD}", "Company", "Technology"),
-    ("supplies_to", rf"{_WORD} to {_WORD}", "Company", "Company"),
-    ("mentions", rf"{_WORD} and {_WORD}", "Person", "Product"),
+    ("partners_with", rf"{_FIRST} with {_SECOND}", "Company", "Company"),
+    ("competes_with", rf"{_FIRST} or {_SECOND}", "Company", "Company"),
+    ("invests_in", rf"{_FIRST} for {_SECOND}", "Company", "Market"),
+    ("acquires", rf"{_FIRST} by {_SECOND}", "Company", "Product"),
+    ("uses_technology", rf"{_FIRST} from {_SECOND}", "Company", "Technology"),
+    ("supplies_to", rf"{_FIRST} to {_SECOND}", "Company", "Company"),
+    ("mentions", rf"{_FIRST} and {_SECOND}", "Person", "Product"),
 ]
 # ---------------------------------------------------------------------------
 
@@ -133,7 +135,9 @@ def stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embed_text(M.chunks(stored(spark, sf_dir, "silver")), "chunk_to_embed")
+    """The search table as an index: with the vector of the enriched text and the tokens of the raw one."""
+    chunks = embed_text(M.chunks(stored(spark, sf_dir, "silver")), "chunk_to_embed")
+    return chunks.withColumn("tokens", T.tokens("chunk_text"))
 
 
 def _triplets_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -249,6 +253,8 @@ _BUILDERS = {
     "context_relationships": _context_relationships,
 }
 
+BUILD_ORDER = list(_BUILDERS)
+
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items as questions with vectors; some name the companies they are about."""

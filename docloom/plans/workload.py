@@ -202,7 +202,8 @@ def fallback_columns(t: Tables) -> DataFrame:
         F.col("source") == "src7", F.concat(F.lit("/elsewhere/"), F.col("source"), F.lit("."), F.col("lang"))
     ).otherwise(D.raw_path(F.col("lang"), F.concat_ws("_", "source", F.col("doc_id").cast("string"))))
     found = X.extract_fields(F.col("text"), rules=D.FIELD_RULES)
-    rows = T.compute_once(t("documents").select("doc_id", path.alias("source_path"), "text"), found=found)
+    docs = D.spread(t("documents").select("doc_id", "source", "lang", "text"), "doc_id")
+    rows = T.compute_once(docs.select("doc_id", path.alias("source_path"), "text"), found=found)
     rows = rows.select("doc_id", "source_path", F.col("found.document_type").alias("extracted_document_type"),
                        F.col("found.company").alias("extracted_company"))
     return X.fallback_columns(rows).select("doc_id", "document_type", "company")
@@ -651,7 +652,7 @@ def ann_topk(t: Tables) -> DataFrame:
 
 @query
 def bm25_topk(t: Tables) -> DataFrame:
-    return R.bm25_topk(t.questions, t.stored("search"), 10)
+    return R.bm25_topk(t.questions, t.stored("search"), 10, item_tokens="tokens")
 
 
 @query
@@ -663,21 +664,21 @@ def bm25_documents(t: Tables) -> DataFrame:
 
 @query
 def hybrid_topk(t: Tables) -> DataFrame:
-    return R.hybrid_topk(t.questions, t.stored("search"), 10)
+    return R.hybrid_topk(t.questions, t.stored("search"), 10, item_tokens="tokens")
 
 
 @query
 def compare_rankings(t: Tables) -> DataFrame:
     """Meaning against words, side by side; rank 0 where a ranking does not have the item."""
     chunks = t.stored("search")
-    both = R.compare_rankings(R.vector_topk(t.questions, chunks, 10), R.bm25_topk(t.questions, chunks, 10))
+    both = R.compare_rankings(R.vector_topk(t.questions, chunks, 10), R.bm25_topk(t.questions, chunks, 10, item_tokens="tokens"))
     return both.fillna(0, ["left_rank", "right_rank"])
 
 
 @query
 def citations(t: Tables) -> DataFrame:
     chunks = t.stored("search")
-    return R.citations(R.with_columns(R.bm25_topk(t.questions, chunks, 10), chunks, ["source_path"]))
+    return R.citations(R.with_columns(R.bm25_topk(t.questions, chunks, 10, item_tokens="tokens"), chunks, ["source_path"]))
 
 
 @query
@@ -696,12 +697,12 @@ def retrieval_eval(t: Tables) -> DataFrame:
 @query
 def entity_link(t: Tables) -> DataFrame:
     chunks = t.stored("search")
-    return G.entity_link(R.bm25_topk(t.questions, chunks, 5), chunks, t.stored("text_relationships"), per_entity=3)
+    return G.entity_link(R.bm25_topk(t.questions, chunks, 5, item_tokens="tokens"), chunks, t.stored("text_relationships"), per_entity=3)
 
 
 # ------------------------------------------------------------------ context ----
 def _targets(t: Tables) -> DataFrame:
-    ranking = R.with_columns(R.bm25_topk(t.questions, t.stored("search"), 5), t.stored("search"), ["company"])
+    ranking = R.with_columns(R.bm25_topk(t.questions, t.stored("search"), 5, item_tokens="tokens"), t.stored("search"), ["company"])
     return H.context_targets(t.questions, ranking.select("query_id", "company"))
 
 

@@ -149,7 +149,8 @@ class _Bm25:
             f = fan[part]
             offset = np.arange(f.sum()) - np.repeat(np.cumsum(f) - f, f)
             owner = self.owner[np.repeat(self.starts[term[part]], f) + offset]
-            np.add.at(total, np.repeat(row[part], f) * self.width + owner, np.repeat(weight[part], f))
+            cells = np.repeat(row[part], f) * self.width + owner
+            total += np.bincount(cells, weights=np.repeat(weight[part], f), minlength=len(total))
         total = total.reshape(rows, self.width)
         return np.where(total > 0, total, -np.inf)
 
@@ -327,7 +328,9 @@ def bm25_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, *, query_id: s
 
     The first pass counts, per query term, the items holding it; counts combine
     before the shuffle, and an empty marker word carries the number of items
-    and their total length through the same aggregate.
+    and their total length through the same aggregate. The query terms are
+    stored beforehand, so that the planner sees their size and, while they are
+    few, filters the corpus words where they are read.
     """
     items = corpus.where(metadata_filter(filters)) if filters else corpus
     split = F.col(item_tokens) if item_tokens else T.tokens(item_text)
@@ -336,10 +339,11 @@ def bm25_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, *, query_id: s
         F.col(query_id).alias("query_id"),
         F.explode(F.array_distinct(T.tokens(query_text))).alias("term"),
     )
-    wanted = asked.select("term").distinct().unionByName(asked.sparkSession.sql("SELECT '' AS term"))
+    wanted = asked.select("term").unionByName(asked.sparkSession.sql("SELECT '' AS term")).distinct()
+    wanted = materialize(wanted, "query-terms")
     held = words.select(
         F.size("_words").alias("_length"),
-        F.explode(F.array_union(F.array_distinct("_words"), F.array(F.lit("")))).alias("term"),
+        F.explode(F.concat(F.array_distinct("_words"), F.array(F.lit("")))).alias("term"),
     )
     counts = held.join(wanted, "term").groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("_length").alias("total"))
     counts = materialize(counts, "term-counts")

@@ -375,11 +375,12 @@ ORACLES: dict[str, str] = {
     "append_positional": """SELECT 'supplier' AS kind, s_name AS name, s_acctbal AS balance FROM supplier
         UNION ALL SELECT 'customer', c_name, c_acctbal FROM customer""",
     "ctas_grouped": sql("summary", "SELECT company, fiscal_period, ai_investment_category, count(*) AS doc_count FROM summary GROUP BY ALL"),
-    "materialized": "SELECT l_partkey, count(*) AS lines, count(DISTINCT l_suppkey) AS suppliers FROM lineitem GROUP BY l_partkey",
+    "materialize": "SELECT l_partkey, count(*) AS lines, count(DISTINCT l_suppkey) AS suppliers FROM lineitem GROUP BY l_partkey",
     "chunk_changes": sql("changes", "SELECT * FROM changes"),
     "apply_changes": sql("changes versions", """
         SELECT chunk_id, chunk_to_embed || CASE change WHEN 'update' THEN ' (revised)' ELSE '' END AS chunk_to_embed, company, document_type
         FROM versions JOIN changes USING (chunk_id) WHERE change <> 'delete'"""),
+    "silver_stream": sql("silver", f"SELECT * FROM silver WHERE source_path NOT LIKE '%/Earnings Call/%'"),
     # projections and predicates
     "silver": sql("silver", "SELECT * FROM silver"),
     "gold": sql("gold", "SELECT * FROM gold"),
@@ -458,7 +459,7 @@ ORACLES: dict[str, str] = {
                CASE WHEN document_type = 'fr' THEN 0 ELSE coalesce(r, 0) END::INTEGER AS relationships
         FROM silver LEFT JOIN (SELECT source_path, count(*) AS e FROM ends GROUP BY source_path) USING (source_path)
         LEFT JOIN (SELECT source_path, count(*) AS r FROM hits GROUP BY source_path) USING (source_path)"""),
-    "embed_documents": f"""SELECT doc_id, slot::INTEGER AS slot, v::DOUBLE AS value FROM (
+    "embed_text": f"""SELECT doc_id, slot::INTEGER AS slot, v::DOUBLE AS value FROM (
         SELECT doc_id, ('0x' || substr(md5(w), 1, 8))::UBIGINT::BIGINT % 64 AS slot,
                sum(CASE WHEN substr(md5(w), 9, 1) < '8' THEN 1 ELSE -1 END) AS v
         FROM (SELECT doc_id, unnest({tokens('text')}) AS w FROM documents) GROUP BY ALL) WHERE v <> 0""",
@@ -492,7 +493,7 @@ ORACLES: dict[str, str] = {
     "chunk_stats": sql("chunks", "SELECT count(*) AS chunk_count, count(DISTINCT source_path) AS document_count FROM chunks"),
     # windows, order, set forms
     "assign_uid": sql("entities", "SELECT * FROM entities"),
-    "edge_node_ids": sql("edges", "SELECT DISTINCT node_start_id, relationship, node_end_id FROM edges"),
+    "side_row_number": sql("edges", "SELECT DISTINCT node_start_id, relationship, node_end_id FROM edges"),
     "share_of_total": f"""SELECT l_returnflag, l_linestatus, lines, {SHARE.format('lines', 'l_returnflag')} AS pct
         FROM (SELECT l_returnflag, l_linestatus, count(*) AS lines FROM lineitem GROUP BY ALL)""",
     "ordered_output": sql("summary", "SELECT * FROM summary"),

@@ -84,19 +84,18 @@ def raw_path(folder: Column, name: Column) -> Column:
     return F.concat(F.lit(f"/corpus/{V.RAW_ROOT}/"), folder, F.lit("/"), name, F.lit(".txt"))
 
 
-def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents and conversation turns as files."""
-    docs = table(spark, sf_dir, "documents").select(
+def document_files(docs: DataFrame) -> DataFrame:
+    return docs.select(
         raw_path(F.col("lang"), F.concat_ws("_", "source", F.col("doc_id").cast("string"))).alias("source_path"), "text"
     )
-    calls = table(spark, sf_dir, "conversations").select(
-        raw_path(
-            F.lit("Earnings Call"),
-            F.concat_ws("_", "role", F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))),
-        ).alias("source_path"),
-        "text",
-    )
-    files = spread(docs, "source_path").unionByName(spread(calls, "source_path"))
+
+
+def call_files(conversations: DataFrame) -> DataFrame:
+    turn = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    return conversations.select(raw_path(F.lit("Earnings Call"), F.concat_ws("_", "role", turn)).alias("source_path"), "text")
+
+
+def as_bronze(files: DataFrame) -> DataFrame:
     return files.select(
         "source_path",
         F.encode("text", "UTF-8").alias("content"),
@@ -105,6 +104,12 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and conversation turns as files."""
+    docs = spread(document_files(table(spark, sf_dir, "documents")), "source_path")
+    return as_bronze(docs.unionByName(spread(call_files(table(spark, sf_dir, "conversations")), "source_path")))
+
+
 def silver_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver before expectations."""
     return M.silver_rows(bronze(spark, sf_dir), fmt="text", rules=FIELD_RULES, aliases=ALIASES)

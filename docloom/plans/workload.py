@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,9 +20,11 @@ from docloom.operators import quality as Q
 from docloom.operators import retrieve as R
 from docloom.operators import summary as S
 from docloom.operators import triplets as TR
-from docloom.operators.embed import embed_text
+from docloom.operators import embed as E
+from docloom.plans import medallion as M
 from docloom.plans import standin as D
-from docloom.session import configure, materialize
+from docloom.session import configure, scratch_root
+from docloom.session import materialize as store
 from docloom.sources import files as SF
 from docloom.sources import tables as ST
 
@@ -82,13 +85,13 @@ def append_positional(t: Tables) -> DataFrame:
 
 @query
 def ctas_grouped(t: Tables) -> DataFrame:
-    return materialize(S.analysis_rows(t.stored("summary")), "analysis")
+    return store(S.analysis_rows(t.stored("summary")), "analysis")
 
 
 @query
-def materialized(t: Tables) -> DataFrame:
+def materialize(t: Tables) -> DataFrame:
     totals = t("lineitem").groupBy("l_partkey").agg(F.count(F.lit(1)).alias("lines"), F.countDistinct("l_suppkey").alias("suppliers"))
-    return materialize(totals, "part-lines")
+    return store(totals, "part-lines")
 
 
 def _chunk_versions(t: Tables) -> tuple[DataFrame, DataFrame]:
@@ -118,10 +121,21 @@ def chunk_changes(t: Tables) -> DataFrame:
 @query
 def apply_changes(t: Tables) -> DataFrame:
     old, new = _chunk_versions(t)
-    changes = materialize(ST.chunk_changes(old, new), "changes")
+    changes = store(ST.chunk_changes(old, new), "changes")
     return ST.apply_changes(old, new, changes).select("chunk_id", "chunk_to_embed", "company", "document_type")
 
 
+@query
+def silver_stream(t: Tables) -> DataFrame:
+    """Documents streamed in, silver streamed out, everything available now."""
+    source = t("documents")
+    files = t.spark.readStream.schema(source.schema).option("pathGlobFilter", "documents.parquet").parquet(t.sf_dir)
+    rows = M.silver(D.as_bronze(D.document_files(files)), fmt="text", rules=D.FIELD_RULES, aliases=D.ALIASES)
+    sink = f"{scratch_root(t.spark).rstrip('/')}/docloom/stream-{uuid.uuid4().hex}"
+    ST.streaming_table(rows.drop("parsed_document", "ingested_at"), sink)
+    return ST.read_table(t.spark, sink)
+
+
 # -------------------------------------------- projections and predicates ----
 @query
 def silver(t: Tables) -> DataFrame:
@@ -338,7 +352,7 @@ def sentiment(t: Tables) -> DataFrame:
 
 @query
 def chunk_documents(t: Tables) -> DataFrame:
-    return D.M.chunks(D.silver(t.spark, t.sf_dir))
+    return M.chunks(D.silver(t.spark, t.sf_dir))
 
 
 @query
@@ -367,8 +381,8 @@ def parse_structured(t: Tables) -> DataFrame:
 
 
 @query
-def embed_documents(t: Tables) -> DataFrame:
-    docs = embed_text(D.spread(t("documents").select("doc_id", "text"), "doc_id"), "text")
+def embed_text(t: Tables) -> DataFrame:
+    docs = E.embed_text(D.spread(t("documents").select("doc_id", "text"), "doc_id"), "text")
     return docs.select("doc_id", F.posexplode("vector").alias("slot", "value")).where(F.col("value") != 0)
 
 
@@ -468,7 +482,7 @@ def assign_uid(t: Tables) -> DataFrame:
 
 
 @query
-def edge_node_ids(t: Tables) -> DataFrame:
+def side_row_number(t: Tables) -> DataFrame:
     """Both ids of every edge, looked up rather than numbered again."""
     return G.edge_table(t.stored("relationships"), t.stored("all_entities")).select("node_start_id", "relationship", "node_end_id").distinct()
 

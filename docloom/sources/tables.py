@@ -50,18 +50,21 @@ def append_positional(base: DataFrame, extra: DataFrame) -> DataFrame:
 
 def streaming_table(df: DataFrame, name: str, checkpoint: str | None = None,
                     properties: dict[str, str] | None = None, comment: str | None = None) -> StreamingQuery:
-    """Append everything a stream has now to a table, then stop.
+    """Append everything a stream has now to a table (or a parquet path), then stop.
 
     The checkpoint remembers what was delivered: a rerun adds new input only.
     """
     spark = df.sparkSession
-    where = checkpoint or f"{scratch_root(spark).rstrip('/')}/streams/{name}"
-    query = (
+    is_path = "/" in name
+    where = checkpoint or (f"{name}.state" if is_path else f"{scratch_root(spark).rstrip('/')}/streams/{name}")
+    writer = (
         df.writeStream.outputMode("append").trigger(availableNow=True)
-        .option("checkpointLocation", where).format("parquet").toTable(name)
+        .option("checkpointLocation", where).format("parquet")
     )
+    query = writer.start(name) if is_path else writer.toTable(name)
     query.awaitTermination()
-    _describe(spark, name, properties, comment)
+    if not is_path:
+        _describe(spark, name, properties, comment)
     return query
 
 

@@ -130,6 +130,20 @@ def test_scratch_folder_comes_from_the_session(spark):
     assert spark.conf.get("spark.checkpoint.dir") in kept.inputFiles()[0]
 
 
+def test_clear_scratch_removes_only_its_own(spark):
+    other = spark.range(2)
+    other.write.mode("overwrite").parquet(f"{SS.scratch_root(spark)}/kept")
+    SS.materialize(other, "gone")
+    assert SS.clear_scratch(spark) and spark.read.parquet(f"{SS.scratch_root(spark)}/kept").count() == 2
+
+
+def test_stream_to_a_path(spark, tmp_path, rows):
+    source, sink = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.range(3).write.parquet(source)
+    ST.streaming_table(ST.read_stream_table(spark, source), sink)
+    assert rows(ST.read_table(spark, sink, "id")) == [(0,), (1,), (2,)]
+
+
 def test_summary_is_recomputed_from_gold(spark):
     gold = spark.createDataFrame([("A", "P", "T", "C", "S")] * 3, S.SUMMARY_KEYS)
     assert S.ordered_summary(S.investment_summary(gold)).first().document_count == 3

@@ -15,16 +15,16 @@ def _bind(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def classify(text: Column | str, labels: list[str], lexicon: dict[str, dict[str, float]], default: str) -> Column:
-    """Exactly one of ``labels`` per non-NULL text.
+def classify_tokens(words: Column | str, labels: list[str], lexicon: dict[str, dict[str, float]], default: str) -> Column:
+    """Exactly one of ``labels`` per non-NULL token array.
 
-    A label scores the summed weight of its lexicon words in the text; ties go
-    to the earlier label and a text without any such word gets ``default``.
-    Scoring stays inside the row, so it costs no shuffle.
+    A label scores the summed weight of its lexicon words among the tokens;
+    ties go to the earlier label and tokens without any such word get
+    ``default``. Scoring stays inside the row, so it costs no shuffle.
     """
-    column = F.col(text) if isinstance(text, str) else text
-    vocabulary = sorted({word for words in lexicon.values() for word in words})
-    hits = F.filter(T.tokens(column), lambda t: t.isin(vocabulary))
+    column = F.col(words) if isinstance(words, str) else words
+    vocabulary = sorted({word for weights in lexicon.values() for word in weights})
+    hits = F.filter(column, lambda t: t.isin(vocabulary))
 
     def score(found: Column, label: str) -> Column:
         by_weight: dict[float, list[str]] = {}
@@ -46,12 +46,19 @@ def classify(text: Column | str, labels: list[str], lexicon: dict[str, dict[str,
     return F.when(column.isNotNull(), _bind(scores, pick))
 
 
-def ai_investment_category(text: Column | str, lexicon=None) -> Column:
-    return classify(text, V.AI_CATEGORIES, V.AI_CATEGORY_LEXICON if lexicon is None else lexicon, V.NOT_AI)
+def classify(text: Column | str, labels: list[str], lexicon: dict[str, dict[str, float]], default: str) -> Column:
+    """``classify_tokens`` of a text (NULL text gives NULL)."""
+    return classify_tokens(T.tokens(text), labels, lexicon, default)
+
+
+def ai_investment_category(words: Column | str, lexicon=None) -> Column:
+    """AI category of a token array."""
+    return classify_tokens(words, V.AI_CATEGORIES, V.AI_CATEGORY_LEXICON if lexicon is None else lexicon, V.NOT_AI)
 
 
-def management_sentiment(text: Column | str, lexicon=None) -> Column:
-    return classify(text, V.MANAGEMENT_TONES, V.TONE_LEXICON if lexicon is None else lexicon, V.NEUTRAL_TONE)
+def management_sentiment(words: Column | str, lexicon=None) -> Column:
+    """Tone of a token array."""
+    return classify_tokens(words, V.MANAGEMENT_TONES, V.TONE_LEXICON if lexicon is None else lexicon, V.NEUTRAL_TONE)
 
 
 def sentiment(text: Column | str, positive=None, negative=None) -> Column:

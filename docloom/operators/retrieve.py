@@ -28,8 +28,9 @@ from docloom.session import materialize
 
 QUERY_LIMIT = 4096
 QUERY_WEIGHT = 2_000_000
-CELL_ROWS = 20_000
+CELL_ROWS, CELL_WEIGHT = 20_000, 20_000_000
 MATRIX_CELLS = 4_000_000
+MAX_LISTS = 4096
 DIGITS = 6
 
 K1, B = 1.2, 0.75
@@ -72,6 +73,11 @@ def _matrix(vectors: pa.Array) -> np.ndarray:
     return out
 
 
+def _unit(matrix: np.ndarray) -> np.ndarray:
+    norms = np.sqrt(np.einsum("ij,ij->i", matrix, matrix))[:, None]
+    return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
+
+
 def _plain(values) -> np.ndarray:
     if isinstance(values, pa.ChunkedArray):
         values = values.combine_chunks()
@@ -92,15 +98,10 @@ class _Cosine:
     """Cosine similarity of item vectors with a block of query vectors."""
 
     def __init__(self, queries: pa.Table):
-        self.unit = self._unit(_matrix(queries.column("q_payload")))
-
-    @staticmethod
-    def _unit(matrix: np.ndarray) -> np.ndarray:
-        norms = np.sqrt(np.einsum("ij,ij->i", matrix, matrix))[:, None]
-        return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
+        self.unit = _unit(_matrix(queries.column("q_payload")))
 
     def score(self, payload: pa.Array) -> np.ndarray:
-        items = self._unit(_matrix(payload))
+        items = _unit(_matrix(payload))
         scores = items @ self.unit.T if items.size and self.unit.size else np.zeros((len(payload), len(self.unit)))
         scores[~items.any(axis=1)] = -np.inf
         return scores
@@ -256,10 +257,16 @@ def _dealt(df: DataFrame, key: str, blocks: int, own: str, other: str, others: i
     )
 
 
+def _size(side: DataFrame, payload: str):
+    """Rows and payload entries of one side."""
+    entries = F.coalesce(F.sum(F.coalesce(F.size(payload), F.lit(0))), F.lit(0))
+    return side.agg(F.count(F.lit(1)).alias("n"), entries.alias("w")).first()
+
+
 def _score_all(queries: DataFrame, corpus: DataFrame, make_scorer, k: int, skip_same: bool) -> DataFrame:
     """k best candidates of each query per task (exact; rank them afterwards)."""
     schemas = _arrow_schema(queries, corpus)
-    size = queries.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("q_payload")), F.lit(0)).alias("w")).first()
+    size = _size(queries, "q_payload")
     if size["n"] <= QUERY_LIMIT and size["w"] <= QUERY_WEIGHT:
         schema, arrow = schemas
         block = corpus.sparkSession.sparkContext.broadcast(queries.limit(QUERY_LIMIT).toArrow())
@@ -275,7 +282,8 @@ def _score_all(queries: DataFrame, corpus: DataFrame, make_scorer, k: int, skip_
 
         return corpus.mapInArrow(score, schema)
     query_blocks = max(math.ceil(size["n"] / QUERY_LIMIT), math.ceil(size["w"] / QUERY_WEIGHT))
-    item_blocks = max(1, math.ceil(corpus.count() / CELL_ROWS))
+    stored = _size(corpus, "i_payload")
+    item_blocks = max(1, math.ceil(stored["n"] / CELL_ROWS), math.ceil(stored["w"] / CELL_WEIGHT))
     return _score_cells(
         _dealt(queries, "query_id", query_blocks, "q_block", "i_block", item_blocks),
         _dealt(corpus, "item_id", item_blocks, "i_block", "q_block", query_blocks),
@@ -391,72 +399,88 @@ def hybrid_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, *, query_id:
 
 
 # -------------------------------------------------------------- approximate --
-def _signatures(df: DataFrame, vector: str, dim: int, tables: int, bits: int, seed: int, probes: int) -> DataFrame:
-    """One row per (table, signature): the side of ``bits`` random planes a vector is on.
+def train_centroids(corpus: DataFrame, vector: str = "vector", lists: int | None = None, iterations: int = 8,
+                    seed: int = 7) -> np.ndarray:
+    """Centres of ``lists`` direction clusters (about the square root of the corpus, ``MAX_LISTS`` at most).
 
-    ``probes`` adds the signatures across the nearest planes.
+    Their number bounds what every task holds, whatever the corpus. Keep the
+    result to search the same corpus again.
     """
-    schema = st.StructType(df.schema.fields + [st.StructField("table", st.IntegerType()), st.StructField("sig", st.LongType())])
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        planes = np.random.default_rng(seed).standard_normal((tables, dim, bits))
-        powers = np.left_shift(np.int64(1), np.arange(bits, dtype=np.int64))
+    rows = corpus.where(F.exists(vector, lambda x: x != 0)).select(
+        array_to_vector(F.col(vector).cast("array<double>")).alias("features")
+    )
+    rows = materialize(rows, "training")  # every iteration reads it
+    lists = min(lists or math.ceil(math.sqrt(rows.count())), MAX_LISTS)
+    if lists < 2:
+        return np.zeros((1, 1))
+    model = KMeans(k=lists, seed=seed, maxIter=iterations, distanceMeasure="cosine").fit(rows)
+    return np.array(model.clusterCenters())
+
+
+def _routed(df: DataFrame, vector: str, centroids, probes: int) -> DataFrame:
+    """One row per vector and each of its ``probes`` nearest lists."""
+    schema = st.StructType(df.schema.fields + [st.StructField("list", st.IntegerType())])
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centres = _unit(centroids.value)
+        reach = min(probes, len(centres))
         for batch in batches:
             matrix = _matrix(batch.column(batch.schema.get_field_index(vector)))
             rows = np.flatnonzero(matrix.any(axis=1))
             if not len(rows):
                 continue
-            for table in range(tables):
-                margin = matrix[rows] @ planes[table]
-                base = (margin > 0) @ powers
-                nearest = np.argsort(np.abs(margin), axis=1)[:, :probes]
-                for signature in [base, *(base ^ powers[nearest[:, p]] for p in range(nearest.shape[1]))]:
-                    out = batch.take(pa.array(rows))
-                    columns = [*out.columns, pa.array(np.full(len(rows), table, np.int32)), pa.array(signature)]
-                    yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+            if len(centres) == 1:
+                near = np.zeros((len(rows), 1), dtype=np.int32)
+            else:
+                near = np.argpartition(-(matrix[rows] @ centres.T), reach - 1, axis=1)[:, :reach].astype(np.int32)
+            out = batch.take(pa.array(np.repeat(rows, near.shape[1])))
+            yield pa.RecordBatch.from_arrays([*out.columns, pa.array(near.ravel())], names=schema.names)
 
-    return df.mapInArrow(sign, schema)
+    return df.mapInArrow(route, schema)
 
 
 def ann_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, *, query_id: str = "query_id",
              item_id: str = "chunk_id", query_vector: str = "vector", item_vector: str = "vector",
-             filters: str | dict | None = None, dim: int = 64, tables: int = 8, bits: int | None = None,
-             probes: int = 2, seed: int = 7, skip_same: bool = False) -> DataFrame:
-    """Approximate cosine top-k: exact scores, candidates from random-plane buckets.
-
-    A bucket is only a routing key. Its measured size decides into how many
-    cells its items and its queries are dealt, so a bucket holding a third of
-    the corpus becomes many bounded cells instead of one long task.
+             filters: str | dict | None = None, centroids: np.ndarray | None = None, probes: int = 16,
+             skip_same: bool = False) -> DataFrame:
+    """Approximate cosine top-k: exact scores within the ``probes`` nearest lists of each query.
+
+    Every item is in the list of its nearest centre. A list is only a routing
+    key: its measured size decides into how many cells its items and its
+    queries are dealt, so a list holding a third of the corpus becomes many
+    bounded cells instead of one long task.
     """
     items = corpus.where(metadata_filter(filters)) if filters else corpus
     asked = _query_side(queries, query_id, F.col(query_vector), None)
     stored = _item_side(items, item_id, F.col(item_vector), None)
-    if bits is None:
-        bits = int(min(24, max(4, math.ceil(math.log2(max(stored.count(), 1) / CELL_ROWS + 1)) + 2)))
-    q_sig = _signatures(asked, "q_payload", dim, tables, bits, seed, min(probes, bits))
-    i_sig = _signatures(stored, "i_payload", dim, tables, bits, seed, 0)
+    if centroids is None:
+        centroids = train_centroids(items, item_vector)
+    shared = corpus.sparkSession.sparkContext.broadcast(centroids)
+    q_list = _routed(asked, "q_payload", shared, probes)
+    i_list = _routed(stored, "i_payload", shared, 1)
 
-    bucket = ["table", "sig"]
-    i_size = i_sig.groupBy(*bucket).agg(F.ceil(F.count(F.lit(1)) / CELL_ROWS).alias("i_cells"))
-    q_size = q_sig.groupBy(*bucket).agg(F.ceil(F.count(F.lit(1)) / QUERY_LIMIT).alias("q_cells"))
-    cells = i_size.join(q_size, bucket)
+    i_size = i_list.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / CELL_ROWS).alias("i_cells"))
+    q_size = q_list.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / QUERY_LIMIT).alias("q_cells"))
+    # one row per list in use, at most MAX_LISTS; stored, since both sides read it
+    cells = F.broadcast(materialize(i_size.join(q_size, "list"), "cells"))
 
     def deal(df: DataFrame, key: str, own: str, other: str) -> DataFrame:
         last = F.col(f"{other}_cells") - 1
         return (
-            df.join(cells, bucket)
+            df.join(cells, "list")
             .withColumn(f"{own}_block", F.pmod(F.xxhash64(key), F.col(f"{own}_cells")))
             .withColumn(f"{other}_block", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
             .drop("i_cells", "q_cells")
         )
 
     scored = _score_cells(
-        deal(q_sig, "query_id", "q", "i"), deal(i_sig, "item_id", "i", "q"),
-        [*bucket, "q_block", "i_block"], _Cosine, k, skip_same, _arrow_schema(asked, stored),
+        deal(q_list, "query_id", "q", "i"), deal(i_list, "item_id", "i", "q"),
+        ["list", "q_block", "i_block"], _Cosine, k, skip_same, _arrow_schema(asked, stored),
     )
-    # the same item may be met in several tables
-    distinct = scored.groupBy("query_id", "item_id").agg(F.max("score").alias("score"))
-    return top_k_per_query(distinct, k)
+    return top_k_per_query(scored, k)
 
 
 # ----------------------------------------------------- reading the rankings --

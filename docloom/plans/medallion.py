@@ -53,11 +53,16 @@ def silver(bronze: DataFrame, *, observe_as: str | None = None, expectations=Non
 
 def gold(silver_table: DataFrame, category: Callable[[Column], Column] = C.ai_investment_category,
          tone: Callable[[Column], Column] = C.management_sentiment) -> DataFrame:
-    """Silver with two labels and without the long text."""
-    text = F.col("plain_text")
-    return silver_table.withColumns(
-        {"ai_investment_category": category(text), "management_sentiment": tone(text)}
-    ).drop("plain_text")
+    """Silver with two labels and without the long text.
+
+    ``category`` and ``tone`` map the text's tokens to a label; the text is
+    split once for both.
+    """
+    words = F.col("_words")
+    rows = T.compute_once(silver_table, _words=T.tokens("plain_text"))
+    return rows.withColumns(
+        {"ai_investment_category": category(words), "management_sentiment": tone(words)}
+    ).drop("plain_text", "_words")
 
 
 def chunks(silver_table: DataFrame, max_chars: int = 1200) -> DataFrame:

@@ -122,8 +122,8 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gold(silver_table: DataFrame) -> DataFrame:
     return M.gold(
         silver_table,
-        lambda text: C.ai_investment_category(text, CATEGORY_LEXICON),
-        lambda text: C.management_sentiment(text, TONE_LEXICON),
+        lambda words: C.ai_investment_category(words, CATEGORY_LEXICON),
+        lambda words: C.management_sentiment(words, TONE_LEXICON),
     )
 
 

@@ -332,8 +332,8 @@ def classify(t: Tables) -> DataFrame:
     docs = D.spread(t("documents").select("doc_id", "text"), "doc_id")
     return docs.select(
         "doc_id",
-        C.ai_investment_category("text", D.CATEGORY_LEXICON).alias("category"),
-        C.management_sentiment("text", D.TONE_LEXICON).alias("tone"),
+        C.classify("text", V.AI_CATEGORIES, D.CATEGORY_LEXICON, V.NOT_AI).alias("category"),
+        C.classify("text", V.MANAGEMENT_TONES, D.TONE_LEXICON, V.NEUTRAL_TONE).alias("tone"),
     )
 
 

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from docloom.functions import text as T
 from docloom.functions import vocab as V
 from docloom.operators import classify as C
 from docloom.operators import extract as X
@@ -117,7 +118,7 @@ def test_classify_scores_ties_and_defaults(spark):
 )
 def test_default_categories(spark, text, category):
     df = spark.createDataFrame([(text,)], "x string")
-    assert df.select(C.ai_investment_category("x")).first()[0] == category
+    assert df.select(C.ai_investment_category(T.tokens("x"))).first()[0] == category
 
 
 def test_vocabularies():

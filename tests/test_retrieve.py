@@ -84,16 +84,25 @@ def test_no_queries_or_no_items(spark):
     assert R.vector_topk(items, items.limit(0), 3, **KEYS).count() == 0
 
 
-def test_ann_finds_most_neighbours_and_splits_hot_buckets(spark, monkeypatch):
+def test_ann_finds_most_neighbours_and_splits_hot_lists(spark, monkeypatch):
     rng = np.random.default_rng(3)
     centres = rng.standard_normal((8, 16))
     data = [(i, (centres[i % 8 if i % 3 else 0] + 0.3 * rng.standard_normal(16)).tolist(), "a") for i in range(600)]
     items = spark.createDataFrame(data, "id bigint, v array<double>, kind string").repartition(4, "id")
     want = brute(items.collect(), items.collect(), 5, same=True)
-    monkeypatch.setattr(R, "CELL_ROWS", 50)  # a third of the rows sit in one bucket
-    got = ranked(R.ann_topk(items, items, 5, dim=16, bits=4, skip_same=True, **KEYS))
+    monkeypatch.setattr(R, "CELL_ROWS", 50)  # a third of the rows sit around one centre
+    centroids = R.train_centroids(items, "v", lists=8)
+    got = ranked(R.ann_topk(items, items, 5, centroids=centroids, probes=2, skip_same=True, **KEYS))
     recall = np.mean([len(set(got.get(q, [])) & set(w)) / 5 for q, w in want.items()])
     assert recall > 0.9
+    every = ranked(R.ann_topk(items, items, 5, centroids=centroids, probes=8, skip_same=True, **KEYS))
+    assert every == want  # all lists probed: exact
+
+
+def test_ann_on_tiny_inputs(spark):
+    one = spark.createDataFrame([(1, [1.0, 2.0]), (2, None)], "id bigint, v array<double>")
+    assert ranked(R.ann_topk(one, one, 3, **KEYS)) == {1: [1]}
+    assert R.ann_topk(one, one.limit(0), 3, **KEYS).count() == 0
 
 
 DOCS = [

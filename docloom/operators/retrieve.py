@@ -483,6 +483,31 @@ def ann_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, *, query_id: st
     return top_k_per_query(scored, k)
 
 
+# --------------------------------------------------------------- one front --
+QUERY_TYPES = ["ANN", "HYBRID", "FULL_TEXT"]
+
+
+def search(queries: DataFrame, index: DataFrame, columns: list[str], num_results: int = 10, query_type: str = "ANN",
+           filters: str | dict | None = None, *, item_id: str = "chunk_id", centroids: np.ndarray | None = None,
+           **names) -> DataFrame:
+    """Requested columns of each query's best items, score last.
+
+    ``ANN`` ranks by meaning (through ``centroids`` when given, exactly
+    otherwise), ``FULL_TEXT`` by words, ``HYBRID`` by both.
+    """
+    if query_type == "ANN" and centroids is not None:
+        ranking = ann_topk(queries, index, num_results, item_id=item_id, filters=filters, centroids=centroids, **names)
+    elif query_type == "ANN":
+        ranking = vector_topk(queries, index, num_results, item_id=item_id, filters=filters, **names)
+    elif query_type == "FULL_TEXT":
+        ranking = bm25_topk(queries, index, num_results, item_id=item_id, filters=filters, **names)
+    elif query_type == "HYBRID":
+        ranking = hybrid_topk(queries, index, num_results, item_id=item_id, filters=filters, **names)
+    else:
+        raise ValueError(f"query_type must be one of {QUERY_TYPES}")
+    return with_columns(ranking, index, columns, item_id)
+
+
 # ----------------------------------------------------- reading the rankings --
 def with_columns(ranking: DataFrame, corpus: DataFrame, columns: list[str], item_id: str = "chunk_id") -> DataFrame:
     """Requested item columns next to a ranking, the score last.
@@ -529,15 +554,16 @@ def verbatim_hits(passages: DataFrame, corpus: DataFrame, *, passage_id: str = "
                   item_id: str = "chunk_id", text: str = "chunk_text", width: int = 8) -> DataFrame:
     """``(query_id, item_id)`` pairs where the item holds the passage word for word.
 
-    An equi-join on the passage's first run of up to ``width`` words finds the
-    candidates; the whole word sequence then settles them. The long texts are
-    joined back to the candidate pairs only, not carried along with every run.
+    An equi-join on the hash of the passage's first run of up to ``width`` words
+    finds the candidates; the whole word sequence then settles them. The long
+    texts are joined back to the candidate pairs only, not carried along with
+    every run.
     """
     asked = passages.select(F.col(passage_id).alias("query_id"), T.tokens(passage).alias("_p")).where(F.size("_p") > 0)
     asked = asked.select(
         "query_id",
         F.least(F.lit(width), F.size("_p")).alias("_width"),
-        F.array_join(F.slice("_p", F.lit(1), F.least(F.lit(width), F.size("_p"))), " ").alias("_run"),
+        F.xxhash64(F.slice("_p", F.lit(1), F.least(F.lit(width), F.size("_p")))).alias("_run"),
         F.array_join("_p", " ").alias("_passage"),
     )
     items = corpus.select(F.col(item_id).alias("item_id"), T.tokens(text).alias("_words"))
@@ -545,10 +571,10 @@ def verbatim_hits(passages: DataFrame, corpus: DataFrame, *, passage_id: str = "
 
     def runs(size: int) -> Column:
         starts = F.sequence(F.lit(1), F.size("_words") - (size - 1))
-        run = F.transform(starts, lambda i: F.array_join(F.slice("_words", i, size), " "))
-        return F.when(F.size("_words") >= size, run).otherwise(F.array().cast("array<string>"))
+        run = F.transform(starts, lambda i: F.xxhash64(F.slice("_words", i, size)))
+        return F.when(F.size("_words") >= size, run).otherwise(F.array().cast("array<bigint>"))
 
-    every_run = F.concat(*[runs(size) for size in sorted(widths)]) if widths else F.array().cast("array<string>")
+    every_run = F.concat(*[runs(size) for size in sorted(widths)]) if widths else F.array().cast("array<bigint>")
     pairs = items.select("item_id", F.explode(F.array_distinct(every_run)).alias("_run")).join(asked, "_run")
     pairs = materialize(pairs.select("query_id", "item_id", "_passage"), "candidates")
     settled = F.contains(_worded(F.array_join("_words", " ")), _worded(F.col("_passage")))

@@ -198,14 +198,19 @@ RELATIONS: dict[str, tuple[str, str]] = {
         FROM benchmark"""),
     "qvec": ("questions", "{vectors:questions:query_id:question}"),
     "cvec": ("chunks", "{vectors:chunks:chunk_id:chunk_to_embed}"),
-    "by_meaning": ("qvec cvec chunks questions", """
-        SELECT query_id, item_id, score, rank FROM (
-          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS rank FROM (
-            SELECT q.id AS query_id, c.id AS item_id, round(round(list_cosine_similarity(q.vec, c.vec), 12), 6) AS score
-            FROM qvec q, cvec c))"""),
+    "all_scores": ("qvec cvec", """
+        SELECT q.id AS query_id, c.id AS item_id, round(round(list_cosine_similarity(q.vec, c.vec), 12), 6) AS score FROM qvec q, cvec c"""),
+    "by_meaning": ("all_scores", """
+        SELECT query_id, item_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS rank FROM all_scores"""),
     "by_words": ("questions chunks", "{bm25:chunks:chunk_id:chunk_text}"),
     "by_words_documents": ("questions", "{bm25:documents:doc_id:text}"),
     "fused": ("by_meaning by_words", "{fuse:by_meaning:by_words:10}"),
+    "calls": ("chunks", "SELECT * FROM chunks WHERE contains(document_type, 'Earnings')"),
+    "e_meaning": ("all_scores calls", """
+        SELECT query_id, item_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS rank FROM (
+          SELECT query_id, item_id, score FROM all_scores WHERE item_id IN (SELECT chunk_id FROM calls))"""),
+    "e_words": ("questions calls", "{bm25:calls:chunk_id:chunk_text}"),
+    "e_fused": ("e_meaning e_words", "{fuse:e_meaning:e_words:5}"),
     "holding": ("questions", f"""
         SELECT query_id, doc_id AS item_id
         FROM (SELECT query_id, ' ' || array_to_string({tokens('question')}, ' ') || ' ' AS passage FROM questions) q,
@@ -214,12 +219,10 @@ RELATIONS: dict[str, tuple[str, str]] = {
     "targets": ("by_words questions chunks", "{targets:SELECT query_id, company FROM by_words JOIN chunks ON item_id = chunk_id WHERE rank <= 5}"),
     # the context's own ranking obeys a single asked-for company
     "asked": ("questions", "SELECT query_id, CASE WHEN len(companies) = 1 THEN companies[1] END AS company FROM questions"),
-    "c_meaning": ("qvec cvec chunks asked", """
-        SELECT query_id, item_id, score, rank FROM (
-          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS rank FROM (
-            SELECT q.id AS query_id, c.id AS item_id, round(round(list_cosine_similarity(q.vec, c.vec), 12), 6) AS score
-            FROM qvec q JOIN asked o ON o.query_id = q.id, cvec c JOIN chunks k ON k.chunk_id = c.id
-            WHERE o.company IS NULL OR o.company = k.company))"""),
+    "c_meaning": ("all_scores chunks asked", """
+        SELECT query_id, item_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS rank
+        FROM all_scores JOIN asked o USING (query_id) JOIN chunks k ON chunk_id = item_id
+        WHERE o.company IS NULL OR o.company = k.company"""),
     "c_words": ("questions chunks asked", "{bm25:chunks:chunk_id:chunk_text:o.company IS NULL OR o.company = k.company}"),
     "c_fused": ("c_meaning c_words", "{fuse:c_meaning:c_words:10}"),
     "c_excerpts": ("c_fused chunks", """
@@ -548,6 +551,9 @@ ORACLES: dict[str, str] = {
     "vector_topk_by_label": _cosine("q.vec_id <> c.vec_id AND q.label = c.label"),
     "query_doc_join": sql("by_meaning chunks", """SELECT query_id, rank::INTEGER AS rank, item_id, company, fiscal_period, document_type, chunk_text, score
         FROM by_meaning JOIN chunks ON item_id = chunk_id WHERE rank <= 5"""),
+    "ann_all_lists": _cosine("q.vec_id <> c.vec_id"),
+    "search": sql("e_fused chunks", """SELECT query_id, rank::INTEGER AS rank, item_id, company, fiscal_period, document_type, score
+        FROM e_fused JOIN chunks ON item_id = chunk_id"""),
     "bm25_topk": sql("by_words", _top(10, "by_words")),
     "bm25_documents": sql("by_words_documents", _top(10, "by_words_documents")),
     "hybrid_topk": sql("fused", _top(10, "fused")),

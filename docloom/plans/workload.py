@@ -664,6 +664,22 @@ def ann_topk(t: Tables) -> DataFrame:
                       item_vector="embedding", skip_same=True)
 
 
+@query
+def ann_all_lists(t: Tables) -> DataFrame:
+    """The same routing with every list probed, which makes it exact."""
+    every = t("embeddings")
+    centroids = R.train_centroids(every, "embedding")
+    return R.ann_topk(every, every, 5, query_id="vec_id", item_id="vec_id", query_vector="embedding",
+                      item_vector="embedding", centroids=centroids, probes=len(centroids), skip_same=True)
+
+
+@query
+def search(t: Tables) -> DataFrame:
+    """Hybrid search of the earnings calls alone, with requested columns."""
+    return R.search(t.questions, t.stored("search"), ["company", "fiscal_period", "document_type"], 5, "HYBRID",
+                    '{"document_type LIKE": "Earnings"}', item_tokens="tokens")
+
+
 @query
 def bm25_topk(t: Tables) -> DataFrame:
     return R.bm25_topk(t.questions, t.stored("search"), 10, item_tokens="tokens")

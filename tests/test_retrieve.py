@@ -165,6 +165,20 @@ def test_requested_columns_come_with_the_score_last(spark):
     assert got.columns == ["query_id", "rank", "item_id", "kind", "score"] and got.count() == 40
 
 
+def test_search_front(spark):
+    queries = embed_text(spark.createDataFrame([(1, "cat on the mat"), (2, "quantum")], "query_id bigint, question string"), "question")
+    docs = embed_text(spark.createDataFrame(DOCS, "chunk_id string, chunk_text string, kind string"), "chunk_text")
+    for query_type, direct in [("ANN", R.vector_topk), ("FULL_TEXT", R.bm25_topk), ("HYBRID", R.hybrid_topk)]:
+        got = R.search(queries, docs, ["kind"], 2, query_type, {"kind": "x"})
+        assert got.columns == ["query_id", "rank", "item_id", "kind", "score"]
+        assert {r.kind for r in got.collect()} == {"x"}
+        assert ranked(got) == ranked(direct(queries, docs, 2, filters={"kind": "x"}))
+    near = R.search(queries, docs, ["kind"], 2, "ANN", centroids=R.train_centroids(docs))
+    assert {r.query_id for r in near.collect()} == {1, 2}
+    with pytest.raises(ValueError, match="query_type"):
+        R.search(queries, docs, [], 2, "MAGIC")
+
+
 def test_verbatim_hits(spark):
     passages = [(1, "Beta gamma!"), (2, "alpha beta gamma delta epsilon zeta eta theta iota"), (3, "gamma"), (4, "lpha beta"), (5, "..."), (6, "beta beta")]
     docs = [("a", "Alpha beta, gamma delta epsilon zeta eta theta iota kappa"), ("b", "gamma beta gamma"), ("c", ""), ("d", "beta, beta.")]

@@ -82,7 +82,7 @@ def sentiment(text: Column | str, positive=None, negative=None) -> Column:
 
 
 def train_classifier(labelled: DataFrame, text: str = "text", label: str = "label", features: int = 1 << 12,
-                     iterations: int = 20):
+                     iterations: int = 10):
     """Fit hashed TF-IDF + logistic regression; returns the fitted pipeline.
 
     The feature space is fixed by ``features``, so the model's size does not

@@ -73,11 +73,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Deal rows out when a scan has fewer splits than the cluster has slots.
 
-    A corpus of many files is left alone; a single file would otherwise parse
-    on one core.
+    A corpus that already splits into enough tasks is left alone; a small file
+    would otherwise parse on one core.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots, *keys) if len(df.inputFiles()) < slots else df
+    return df.repartition(slots, *keys) if df.rdd.getNumPartitions() < slots else df
 
 
 def raw_path(folder: Column, name: Column) -> Column:

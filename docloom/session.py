@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -14,18 +15,30 @@ JOB_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # bounds the rows, and so the whole texts, that one Python worker holds at once
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    # bounds the whole texts that one Python worker holds at once
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
     # A union that claims its inputs' partitioning breaks once adaptive execution
     # coalesces those inputs differently ("can't zip RDDs").
     "spark.sql.unionOutputPartitioning": "false",
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the job's settings to a session someone else made."""
+SHUFFLE_PARTITION_BYTES = 128 << 20
+
+
+def configure(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
+    """Apply the job's settings to a session someone else made.
+
+    ``shuffle_bytes``, the size of the largest shuffle expected, raises the
+    number of shuffle partitions until each fits a task's memory; adaptive
+    execution merges them again where a shuffle turns out smaller.
+    """
     for key, value in JOB_CONF.items():
         spark.conf.set(key, value)
+    if shuffle_bytes:
+        wanted = math.ceil(shuffle_bytes / SHUFFLE_PARTITION_BYTES)
+        spark.conf.set("spark.sql.shuffle.partitions", max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     return spark
 
 

@@ -6,7 +6,7 @@ from docloom.functions import vocab as V
 from docloom.operators import classify as C
 from docloom.operators import extract as X
 
-ROOT = "/Volumes/cat/schema/financial_docs_raw"
+ROOT = "/data/corpus/financial_docs_raw"
 
 
 def fallback(spark, path, kind=None, company=None):

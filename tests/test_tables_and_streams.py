@@ -137,6 +137,15 @@ def test_clear_scratch_removes_only_its_own(spark):
     assert SS.clear_scratch(spark) and spark.read.parquet(f"{SS.scratch_root(spark)}/kept").count() == 2
 
 
+def test_shuffle_partitions_follow_the_data(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    SS.configure(spark, shuffle_bytes=10 << 30)
+    assert int(spark.conf.get("spark.sql.shuffle.partitions")) == 80
+    SS.configure(spark, shuffle_bytes=1)
+    assert int(spark.conf.get("spark.sql.shuffle.partitions")) == 80
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_stream_to_a_path(spark, tmp_path, rows):
     source, sink = str(tmp_path / "in"), str(tmp_path / "out")
     spark.range(3).write.parquet(source)

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docloom.functions import text as T
 from docloom.functions import vocab as V
 
 
@@ -151,13 +152,13 @@ def pk_duplicates(df: DataFrame, *keys: str) -> DataFrame:
 def flow_progress(log: DataFrame, limit: int = 50) -> DataFrame:
     """Data-quality part of an event log ``(timestamp, event_type, details JSON)``, latest first."""
     quality = "$.flow_progress.data_quality"
-    details = F.try_parse_json("details")
 
     def read(field: str, kind: str) -> Column:
-        return F.try_variant_get(details, f"{quality}.{field}", kind)
+        return F.try_variant_get("_details", f"{quality}.{field}", kind)
 
+    rows = log.where(F.col("event_type") == "flow_progress")
     return (
-        log.where(F.col("event_type") == "flow_progress")
+        T.compute_once(rows, _details=F.try_parse_json("details"))
         .select(
             "timestamp",
             read("dropped_records", "bigint").alias("dropped"),

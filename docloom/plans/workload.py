@@ -23,7 +23,7 @@ from docloom.operators import triplets as TR
 from docloom.operators import embed as E
 from docloom.plans import medallion as M
 from docloom.plans import standin as D
-from docloom.session import configure, scratch_root
+from docloom.session import configure, scratch_folder
 from docloom.session import materialize as store
 from docloom.sources import files as SF
 from docloom.sources import tables as ST
@@ -131,7 +131,7 @@ def silver_stream(t: Tables) -> DataFrame:
     source = t("documents")
     files = t.spark.readStream.schema(source.schema).option("pathGlobFilter", "documents.parquet").parquet(t.sf_dir)
     rows = M.silver(D.as_bronze(D.document_files(files)), fmt="text", rules=D.FIELD_RULES, aliases=D.ALIASES)
-    sink = f"{scratch_root(t.spark).rstrip('/')}/docloom/stream-{uuid.uuid4().hex}"
+    sink = f"{scratch_folder(t.spark)}/stream-{uuid.uuid4().hex}"
     ST.streaming_table(rows.drop("parsed_document", "ingested_at"), sink)
     return ST.read_table(t.spark, sink)
 

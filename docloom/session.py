@@ -78,16 +78,17 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     order-dependent column is computed once however often it is read.
     """
     spark = df.sparkSession
-    path = f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _own_folder(spark: SparkSession) -> str:
+def scratch_folder(spark: SparkSession) -> str:
+    """This application's part of the shared folder."""
     return f"{scratch_root(spark).rstrip('/')}/docloom/{spark.sparkContext.applicationId}"
 
 
 def clear_scratch(spark: SparkSession) -> bool:
     """Delete what ``materialize`` stored for this application; call it when nothing reads it any more."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    folder = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

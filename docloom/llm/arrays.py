@@ -65,11 +65,18 @@ def mix(hashes: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def chunk_table() -> np.ndarray:
+    """Byte plus one, 0 for ASCII white space: chunks are what lies between."""
+    table = np.arange(1, 257, dtype=np.uint16)
+    table[[0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20]] = 0
+    return table
+
+
 class WordHasher:
-    """Words of packed texts and a 64-bit hash of each word's lower-cased bytes."""
+    """Words of packed texts and a 64-bit hash of each word's bytes as the table maps them (0 separates)."""
 
-    def __init__(self) -> None:
-        self.table = word_table()
+    def __init__(self, table: np.ndarray | None = None) -> None:
+        self.table = word_table() if table is None else table
         self.powers = self.inverses = np.ones(1, np.uint64)
 
     def _grow(self, n: int) -> None:

@@ -10,9 +10,9 @@ path is a stack); each node's last token is found once and shared by all words
 below it. Word ends are tokens of their own kind (suffix ``</w>``) and so are
 leaves: they read the path's states and add none.
 
-Texts are cut at white space, which the tokenizer drops, and each distinct chunk
-is normalised, cut into words and looked up once per task. The cache of chunks
-is bounded by ``CACHE_CHUNKS``: when full it starts anew, results are the same.
+Texts are normalised and cut into words as the tokenizer does; each distinct word is
+encoded once while a task remembers it. That memory is bounded by ``CACHE_WORDS``:
+when full it starts anew, and the results are the same.
 
 Edge cases: NULL and blank texts have no ids and decode to the empty text; NULL
 ids are kept as they are; repeated rows are encoded alike; special tokens written
@@ -37,18 +37,39 @@ from pyspark.sql import types as st
 
 from docloom.llm.arrays import by_text
 
-#: Distinct chunks one task remembers; about 150 MB at the longest usual words.
-CACHE_CHUNKS = 400_000
+#: Distinct words one task remembers; about 50 MB at usual lengths.
+CACHE_WORDS = 200_000
 #: Pairs of tokens whose validity one task remembers.
 KNOWN_PAIRS = 2_000_000
 WORD_END = "</w>"
-#: Texts of letters below this (Latin, Greek, Cyrillic) are cut into words here.
+#: Texts of letters below this (Latin, Greek, Cyrillic) are cut into words here; on
+#: others Unicode versions disagree, and the library says what is a letter.
 OWN_BELOW = "\u0530"
+#: Marks of a remembered word that isn't plain text: cut by the library, or a special token.
+CUT, SPECIAL = "\x1c", "\x1d"
+
+ODD = re.compile("[\x1c-\x1f]|<\\|")  # signs that mark remembered words; maybe a special token
+# The public tokenizer's contractions, and white space below OWN_BELOW.
+CONTRACTIONS = "'(?:[stmd]|re|ve|ll)"
+WHITE = " \t\n\r\f\v\x85\xa0"
+
+
+def ranges(kind: str, below: str) -> str:
+    """Characters of a Unicode category, as ranges of a character class."""
+    found: list[list[int]] = []
+    for code in range(ord(below)):
+        if regex.match(rf"\p{{{kind}}}", chr(code)):
+            if found and found[-1][1] == code - 1:
+                found[-1][1] = code
+            else:
+                found.append([code, code])
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in found)
+
 
-# How the public tokenizer cuts normalised text into words.
-PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
-ASCII_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t\n\r\f\va-z0-9]+"
-NOT_SPACE_HERE = re.compile("[\x1c-\x1f]")  # str.split() cuts at these, the tokenizer does not
+def word_pattern(below: str) -> str:
+    """Letters, a contraction, one number, or signs: words of normalised text of characters below this."""
+    letters, numbers = ranges("L", below), ranges("N", below)
+    return f"[{letters}]+|{CONTRACTIONS}|[{numbers}]|[^{WHITE}{letters}{numbers}]+"
 
 
 def byte_letters() -> list[str]:
@@ -197,95 +218,92 @@ class Vocabulary:
         return found
 
 
-def chunks_of(text: str) -> list[str]:
-    """The text's runs without white space as the tokenizer knows it."""
-    if NOT_SPACE_HERE.search(text):
-        return [c for c in regex.split(r"\p{White_Space}+", text) if c]
-    return text.split()
+class WordCache:
+    """Texts as lists of words, and each word's ids (little-endian 32-bit).
 
+    ``cut_other(text)`` cuts the texts that can't be cut here, ``encode(words)``
+    gives the ids of distinct new words.
+    """
 
-def lowered(text: str) -> str:
-    """Letter by letter: no letter's lower case depends on its neighbours."""
-    return text.lower() if text.isascii() else "".join(map(str.lower, text))
+    def __init__(self, cut_other: Callable[[str], list[str]], encode: Callable[[list[str]], Iterable[bytes]]) -> None:
+        self.cut_other, self.encode = cut_other, encode
+        self.cut_ascii, self.cut_plain = (re.compile(word_pattern(below)).findall for below in ("\x80", OWN_BELOW))
+        self.raw: dict[str, bytes] = {}
 
+    def cut(self, texts: list[str | None]) -> list[list[str]]:
+        """Words of each text; afterwards all of them are known."""
+        found = [self._cut(t) if t else [] for t in texts]
+        self.learn(*found)
+        return found
 
-class ChunkCache:
-    """Ids (little-endian 32-bit) and decoded text of each distinct chunk."""
+    def learn(self, *found: list[str]) -> tuple[list[str], dict[str, bytes]]:
+        """Encode what isn't known of these lists of words; the first list and all that is known."""
+        if len(self.raw) > CACHE_WORDS:
+            self.raw.clear()
+        new = list(set().union(*found) - self.raw.keys())
+        self.raw.update(zip(new, self.encode(new), strict=True))
+        return (found[0] if found else []), self.raw
 
-    def __init__(self, encode_chunks: Callable[[list[str]], tuple[list[bytes], list[str]]]) -> None:
-        self.encode_chunks = encode_chunks
-        self.raw: dict[str, bytes] = {}
-        self.text: dict[str, str] = {}
 
-    def learn(self, texts: list[list[str]]) -> None:
-        """Encode what isn't known; afterwards every chunk of these texts is in the cache."""
-        if len(self.raw) > CACHE_CHUNKS:
-            self.raw.clear()
-            self.text.clear()
-        new = list({c for chunks in texts for c in chunks} - self.raw.keys())
-        for at in range(0, len(new), 50_000):
-            part = new[at : at + 50_000]
-            raw, text = self.encode_chunks(part)
-            self.raw.update(zip(part, raw, strict=True))
-            if text:
-                self.text.update(zip(part, text, strict=True))
-
-
-def trie_encoder(source: str, decoded: bool = True) -> Callable[[list[str]], tuple[list[bytes], list[str]]]:
-    """Ids and decoded text of chunks, through the trie of their distinct words."""
-    vocabulary = Vocabulary(source)
-    letters = dict(enumerate(byte_letters()))
-    cut, cut_ascii = regex.compile(PIECES), re.compile(ASCII_PIECES)
-    special = re.compile("(" + "|".join(map(re.escape, sorted(vocabulary.special, key=len, reverse=True))) + ")") if vocabulary.special else None
-    tokens, ids_of = vocabulary.tokens, vocabulary.special
-
-    normalizer, cutter = None, None
-
-    def plain_words(text: str) -> list[str]:
-        """Words of a text without special tokens. Beyond the scripts below OWN_BELOW, whose letters all
-        Unicode versions agree on, the library says what is a letter and its lower case."""
-        nonlocal normalizer, cutter
+    def _cut(self, text: str) -> list[str]:
+        if ODD.search(text):
+            return self.cut_other(text)
         if text.isascii():
-            words = cut_ascii.findall(text.lower())
-            return words if text.isprintable() else [w.translate(letters) for w in words]
+            return self.cut_ascii(text.lower())
         if max(text) < OWN_BELOW:
-            words = cut.findall(lowered(unicodedata.normalize("NFC", text)))
-            return [w.encode().decode("latin-1").translate(letters) for w in words]
-        if cutter is None:
-            from tokenizers import Tokenizer
-
-            library = Tokenizer.from_str(source)
-            normalizer, cutter = library.normalizer, library.pre_tokenizer
-        return [w for w, _ in cutter.pre_tokenize_str(normalizer.normalize_str(text))]
-
-    def pieces_of(chunk: str) -> list[str | int]:
-        """Words in byte letters; special tokens as their ids."""
-        if special is None or not special.search(chunk):
-            return plain_words(chunk)
-        return [y for n, x in enumerate(special.split(chunk)) if x for y in ([ids_of[x]] if n % 2 else plain_words(x))]
-
-    raw: dict[str | int, bytes] = {n: vocabulary.coded[n] for n in vocabulary.special.values()}
-    text: dict[bytes, str] = {}
-
-    def decode_ids(ids: bytes) -> str:
-        known = text.get(ids)
-        if known is None:
-            known = text[ids] = " ".join([tokens[n] for n in struct.unpack(f"<{len(ids) // 4}I", ids)])
-        return known
+            # letter by letter: no letter's lower case depends on its neighbours
+            lower = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower()
+            if max(lower) < OWN_BELOW and unicodedata.is_normalized("NFC", lower):
+                return self.cut_plain(lower)
+        return self.cut_other(text)
+
 
-    def encode(chunks: list[str]) -> tuple[list[bytes], list[str]]:
-        if len(raw) > CACHE_CHUNKS:
-            raw.clear()
-            text.clear()
-            raw.update({n: vocabulary.coded[n] for n in vocabulary.special.values()})
-        if len(vocabulary.known) > KNOWN_PAIRS:
-            vocabulary.known.clear()
-        cut_chunks = [pieces_of(c) for c in chunks]
-        raw.update(vocabulary.encode_words({p for pieces in cut_chunks for p in pieces} - raw.keys()))
-        ids = [raw[p[0]] if len(p) == 1 else b"".join([raw[x] for x in p]) for p in cut_chunks]
-        return ids, [decode_ids(raw[p[0]]) if len(p) == 1 else " ".join([decode_ids(raw[x]) for x in p]) for p in cut_chunks] if decoded else []
+class TrieEncoder:
+    """Encodes words through the trie; cuts other texts with the library's own normaliser and cutter."""
 
-    return encode
+    def __init__(self, source: str) -> None:
+        self.source, self.vocabulary, self.library = source, Vocabulary(source), None
+        self.letters = dict(enumerate(byte_letters()))
+        special = sorted(self.vocabulary.special, key=len, reverse=True)
+        self.special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
+        self.text: dict[bytes, str] = {}
+
+    def cut_other(self, text: str) -> list[str]:
+        from tokenizers import Tokenizer
+
+        self.library = self.library or Tokenizer.from_str(self.source)
+        out: list[str] = []
+        for n, part in enumerate(self.special.split(text) if self.special else [text]):
+            if n % 2:
+                out.append(SPECIAL + part)
+            elif part:
+                out += [CUT + w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(part))]
+        return out
+
+    def _letters_of(self, word: str) -> str:
+        if word[0] == CUT:
+            return word[1:]
+        if word.isascii():
+            return word if word.isprintable() else word.translate(self.letters)
+        return word.encode().decode("latin-1").translate(self.letters)
+
+    def encode(self, words: list[str]) -> list[bytes]:
+        known = self.vocabulary
+        if len(known.known) > KNOWN_PAIRS:
+            known.known.clear()
+        written = [None if w[0] == SPECIAL else self._letters_of(w) for w in words]
+        found = known.encode_words({w for w in written if w is not None})
+        return [known.coded[known.special[w[1:]]] if x is None else found[x] for w, x in zip(words, written, strict=True)]
+
+    def decode(self, ids: bytes) -> str:
+        """The tokens of one word's ids, joined as the library joins those of a vocabulary without a decoder."""
+        known = self.text.get(ids)
+        if known is None:
+            if len(self.text) > CACHE_WORDS:
+                self.text.clear()
+            tokens = self.vocabulary.tokens
+            known = self.text[ids] = " ".join([tokens[n] for n in struct.unpack(f"<{len(ids) // 4}I", ids)])
+        return known
 
 
 def encode_decode(docs: DataFrame, path: str, ids: bool = True, decoded: bool = False, digests: bool = False, keep: list[str] | None = None) -> DataFrame:
@@ -303,18 +321,19 @@ def encode_decode(docs: DataFrame, path: str, ids: bool = True, decoded: bool =
 
     def work() -> Callable[[pa.RecordBatch], list[pa.Array]]:
         gc.set_threshold(200_000, 50, 50)  # the caches hold no cycles, and passes over them cost more than the encoding
-        cache = ChunkCache(trie_encoder(source.value, decoded or digests))
-        known = cache.raw
+        trie = TrieEncoder(source.value)
+        cache = WordCache(trie.cut_other, trie.encode)
+        known, decode_word = cache.raw, trie.decode
 
         def add(batch: pa.RecordBatch) -> list[pa.Array]:
-            texts = [chunks_of(t) if t else [] for t in batch.column("text").to_pylist()]
-            cache.learn(texts)
-            raw = [b"".join([known[c] for c in chunks]) for chunks in texts]
+            texts = cache.cut(batch.column("text").to_pylist())
+            of_words = [[known[w] for w in words] for words in texts]
+            raw = [b"".join(x) for x in of_words]
             out = [pa.array([len(r) // 4 for r in raw], pa.int64())]
             if ids:
                 ends = np.cumsum([0, *(len(r) // 4 for r in raw)], dtype=np.int64)
                 out.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(raw), "<u4").astype(np.int32))))
-            texts_again = [" ".join([t for c in chunks if (t := cache.text[c])]) for chunks in texts] if decoded or digests else []
+            texts_again = [" ".join([decode_word(w) for w in x]) for x in of_words] if decoded or digests else []
             if decoded:
                 out.append(pa.array(texts_again, pa.string()))
             if digests:

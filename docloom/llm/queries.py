@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import bpe, decontaminate, token_file, toxicity
+from docloom.llm import bpe, chat, decontaminate, language, pii, quality, simhash, token_file, toxicity
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -22,6 +22,37 @@ def remainder(n: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % n
 
 
+#: A conversation whose texts hold the template's own control strings.
+CONFLICT = r"\### Assistant: </turn> ok"
+
+
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONFLICT).alias("text"))
+    return chat.digests(turns.unionByName(extra))
+
+
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs.where(remainder(4) != 2))
+    held_out = F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out")
+    return language.predict(docs.select("doc_id", "text"), model, ["doc_id"]).select("doc_id", held_out, "lang_pred", "score")
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    net = quality.fit_on(docs, table(spark, sf_dir, "labels"), "quality", remainder(5) != 0)
+    held_out = F.coalesce(remainder(5) == 0, F.lit(False)).alias("held_out")
+    return quality.score(docs, net, ["doc_id"]).select("doc_id", held_out, "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind_no"] == pii.KINDS.index(kind))).cast("long").alias(f"n_{kind}")
+    kinds = [count(kind) for kind in pii.PATTERNS]
+    return found.select("doc_id", *kinds, F.sha2(pii.spans_text(F.col("base")), 256).alias("base_sha256"), pii.spans_text(F.array_sort(F.concat("base", "extra"))).alias("spans"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -46,10 +77,20 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(docs, public_tokenizers.path(VOCABULARY), ids=False, digests=True, keep=["doc_id"])
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_of(F.col("simhash")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat": op1_chat,
+    "op2_language": op2_language,
+    "op3_quality": op3_quality,
+    "op4_pii": op4_pii,
     "op5_decontaminate": op5_decontaminate,
     "op6_toxicity": op6_toxicity,
     "op7_token_file": op7_token_file,
     "op8_bpe": op8_bpe,
+    "op10_simhash": op10_simhash,
 }
 ORACLES: dict[str, str] = {}

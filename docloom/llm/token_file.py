@@ -26,11 +26,10 @@ gives no files; repeated ids stay separate documents.
 from __future__ import annotations
 
 import gc
-import re
 import struct
 import uuid
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,14 +40,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docloom.llm.arrays import arrow_batches, slices
-from docloom.llm.bpe import ASCII_PIECES, WORD_END, ChunkCache, chunks_of, read_text
+from docloom.llm.arrays import WordHasher, arrow_batches, chunk_table, slices, text_bytes
+from docloom.llm.bpe import CUT, ODD, WORD_END, WordCache, read_text
 from docloom.session import materialize, scratch_folder
 
 #: Ids in a frame, unless one document has more; ids in a file likewise.
 FRAME_IDS = 1 << 18
 FILE_IDS = 1 << 27
 LEVEL = 1
+#: Distinct chunks one task remembers.
+CACHE_CHUNKS = 400_000
 
 # Fixed values of the zstandard (seekable) format.
 SKIPPABLE_INDEX, SKIPPABLE_SEEK, SEEKABLE_MAGIC, HAS_SUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -57,44 +58,93 @@ MANIFEST = "part int, seq int, path string, n_docs long, n_ids long"
 
 
 # ------------------------------------------------------------- encoding -----
-def library_encoder(source: str) -> Callable[[list[str]], tuple[list[bytes], list[str]]]:
-    """Ids of chunks by the tokenizers library.
+class LibraryEncoder:
+    """Ids of words by the tokenizers library.
 
-    Distinct words of plain ASCII chunks go to it joined by spaces, one long text
-    for all: each gives ids up to one that ends a word. Any other chunk goes whole.
+    Distinct words go to it joined by spaces, one long text for all: each gives ids
+    up to one that ends a word. Texts of other letters go to it whole.
     """
-    from tokenizers import Tokenizer
-
-    library = Tokenizer.from_str(source)
-    ends = np.zeros(library.get_vocab_size(), bool)
-    for token, n in library.get_vocab().items():
-        ends[n] = token.endswith(WORD_END)
-    cut = re.compile(ASCII_PIECES)
-    raw: dict[str, bytes] = {}
-
-    def learn(words: list[str]) -> None:
-        ids = np.array(library.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
-        stops = np.flatnonzero(ends[ids]) + 1
-        if len(stops) == len(words) and stops[-1] == len(ids):
-            data, at = ids.tobytes(), 0
-            for word, stop in zip(words, (stops * 4).tolist(), strict=True):
-                raw[word] = data[at:stop]
-                at = stop
-        else:
-            for word, found in zip(words, library.encode_batch_fast(words, add_special_tokens=False), strict=True):
-                raw[word] = np.array(found.ids, "<u4").tobytes()
-
-    def encode(chunks: list[str]) -> tuple[list[bytes], list[str]]:
-        if len(raw) > 400_000:
-            raw.clear()
-        plain = [cut.findall(c.lower()) if c.isascii() and "<|" not in c else None for c in chunks]
-        new = list({w for words in plain if words for w in words} - raw.keys())
-        for at in range(0, len(new), 20_000):
-            learn(new[at : at + 20_000])
-        whole = iter(library.encode_batch_fast([c for c, words in zip(chunks, plain, strict=True) if words is None], add_special_tokens=False))
-        return [np.array(next(whole).ids, "<u4").tobytes() if words is None else b"".join([raw[w] for w in words]) for words in plain], []
 
-    return encode
+    def __init__(self, source: str) -> None:
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_str(source)
+        self.ends = np.zeros(self.library.get_vocab_size(), bool)
+        for token, n in self.library.get_vocab().items():
+            self.ends[n] = token.endswith(WORD_END)
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, "<u4") for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def cut_other(self, text: str) -> list[str]:
+        return [CUT + text]
+
+    def encode(self, words: list[str]) -> list[bytes]:
+        found: list[bytes] = []
+        for at in range(0, len(words), 20_000):
+            found += self._encode(words[at : at + 20_000])
+        return found
+
+    def _encode(self, words: list[str]) -> list[bytes]:
+        if not any(w[0] == CUT for w in words):
+            (ids,) = self.ids([" ".join(words)])
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) == len(words) and stops[-1] == len(ids):
+                data, stops = ids.tobytes(), [0, *(stops * 4).tolist()]
+                return [data[a:b] for a, b in zip(stops[:-1], stops[1:], strict=True)]
+        return [x.tobytes() for x in self.ids([w[1:] if w[0] == CUT else w for w in words])]
+
+
+class TextEncoder:
+    """Ids of whole texts. A slice's distinct chunks (between white space) are encoded, all others point to them."""
+
+    def __init__(self, source: str) -> None:
+        library = LibraryEncoder(source)
+        self.words = WordCache(library.cut_other, library.encode)
+        self.hasher = WordHasher(chunk_table())
+        self.known: dict[int, bytes] = {}
+
+    def _chunks(self, chunks: list[str]) -> list[bytes]:
+        """Ids of distinct chunks: plain ones are cut all at once, as every sign of a chunk is in one of its words."""
+        out: list[bytes] = [b""] * len(chunks)
+        plain = [k for k, c in enumerate(chunks) if c.isascii()]
+        if plain and not ODD.search(text := " ".join([chunks[k] for k in plain])):
+            words, raw = self.words.learn(self.words.cut_ascii(text.lower()))
+            ends = np.searchsorted(np.cumsum([len(w) for w in words]), np.cumsum([len(chunks[k]) for k in plain])) + 1
+            parts = [raw[w] for w in words]
+            cuts = np.concatenate([[0], np.cumsum([len(x) for x in parts])[ends - 1]]).tolist()
+            ids = b"".join(parts)
+            for k, a, b in zip(plain, cuts[:-1], cuts[1:], strict=True):
+                out[k] = ids[a:b]
+        else:
+            plain = []
+        other = sorted(set(range(len(chunks))) - set(plain))
+        for k, words in zip(other, self.words.cut([chunks[k] for k in other]), strict=True):
+            out[k] = b"".join([self.words.raw[w] for w in words])
+        return out
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, one after the other, and where each text's ids start (n + 1)."""
+        data, offsets = text_bytes(texts)
+        mapped, starts, ends = self.hasher.spans(data, offsets)
+        hashes = self.hasher.hashes(mapped, starts, ends)
+        chunks, at, which = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.known) > CACHE_CHUNKS:
+            self.known.clear()
+        known = self.known
+        chunks = chunks.tolist()
+        new = [k for k, h in enumerate(chunks) if h not in known]
+        for low in range(0, len(new), 50_000):
+            part = new[low : low + 50_000]
+            texts_of = [data[starts[i] : ends[i]].tobytes().decode() for i in at[part].tolist()]
+            known.update(zip([chunks[k] for k in part], self._chunks(texts_of), strict=True))
+        ids = [known[h] for h in chunks]
+        sizes = np.array([len(x) // 4 for x in ids], np.int64)
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        many = sizes[which]
+        after = np.cumsum(many)
+        place = np.repeat((np.cumsum(sizes) - sizes)[which] - after + many, many) + np.arange(int(many.sum()))
+        return flat[place], np.concatenate([[0], after])[np.searchsorted(starts, offsets)]
 
 
 # --------------------------------------------------------------- writing ----
@@ -152,7 +202,7 @@ def write_documents(docs: DataFrame, tokenizer: str, folder: str, end_id: int =
         gc.set_threshold(200_000, 50, 50)
         files, root = pafs.FileSystem.from_uri(folder)
         part = TaskContext.get().partitionId()
-        cache = file = None
+        encoder = file = None
         seq, done = 0, []
 
         def finish() -> None:
@@ -161,18 +211,17 @@ def write_documents(docs: DataFrame, tokenizer: str, folder: str, end_id: int =
 
         for batch in batches:
             for piece in slices(batch):
-                cache = cache or ChunkCache(library_encoder(source.value))
-                texts = [chunks_of(t) if t else [] for t in piece.column("text").to_pylist()]
-                cache.learn(texts)
-                known = cache.raw
-                for doc_id, chunks in zip(piece.column("doc_id").to_pylist(), texts, strict=True):
+                encoder = encoder or TextEncoder(source.value)
+                ids, first = encoder.encode(piece.column("text"))
+                first = first.tolist()
+                for doc_id, a, b in zip(piece.column("doc_id").to_pylist(), first[:-1], first[1:], strict=True):
                     if file is not None and file.n_ids >= FILE_IDS:
                         finish()
                         file, seq = None, seq + 1
                     if file is None:
                         files.create_dir(root, recursive=True)
                         file = FrameFile(files, f"{root}/part-{part:06d}-{seq:06d}.zst")
-                    file.add(doc_id, b"".join([known[c] for c in chunks]) + end)
+                    file.add(doc_id, ids[a:b].tobytes() + end)
         if file is not None:
             finish()
         columns = list(zip(*done, strict=True)) or [()] * 5

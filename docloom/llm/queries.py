@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import bpe, chat, decontaminate, language, pii, quality, simhash, token_file, toxicity
+from docloom.llm import bpe, chat, decontaminate, embed_dedup, language, pii, quality, simhash, token_file, toxicity
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -77,6 +77,10 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(docs, public_tokenizers.path(VOCABULARY), ids=False, digests=True, keep=["doc_id"])
 
 
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_of(F.col("simhash")).alias("fingerprint"), "component_id")
@@ -91,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_token_file": op7_token_file,
     "op8_bpe": op8_bpe,
+    "op9_embeddings": op9_embeddings,
     "op10_simhash": op10_simhash,
 }
 ORACLES: dict[str, str] = {}

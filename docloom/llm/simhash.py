@@ -2,7 +2,7 @@
 
 A fingerprint has 64 bits; a bit is set if more than half of the text's word
 shingles have it set in their hash. Equal fingerprints are one class. Classes link
-at ``DISTANCE`` differing bits or fewer.
+at ``distance`` differing bits or fewer.
 
 Search: with the bits in ``blocks`` groups, two fingerprints that differ in at most
 d bits agree in at least ``blocks`` - d groups, so they meet under a key of that many
@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as st
 
-from docloom.llm.arrays import by_text
+from docloom.llm.arrays import by_text, mix
 from docloom.llm.components import components
 from docloom.session import materialize
 
@@ -50,11 +50,11 @@ LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 
 
 # --------------------------------------------------------- fingerprints -----
-def fingerprints(texts: list[str | None], shingle: int = SHINGLE) -> np.ndarray:
-    """SimHash of each text; words are what lies between ASCII white space."""
+def fingerprints(texts: list[str | None], shingle: int = SHINGLE, second: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """SimHash of each text, and one of other bits (zero unless asked for); words are what lies between ASCII white space."""
     spread = (np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little")).view(np.uint64).ravel()
     digest = xxhash.xxh64_intdigest
-    out = np.zeros(len(texts), np.uint64)
+    out = np.zeros((2, len(texts)), np.uint64)
     for k, text in enumerate(texts):
         words = text.encode("utf-8", "surrogatepass").translate(LOWER).split() if text else []
         if not words:
@@ -65,22 +65,28 @@ def fingerprints(texts: list[str | None], shingle: int = SHINGLE) -> np.ndarray:
         else:
             ends = list(itertools.accumulate(len(w) + 1 for w in words))
             hashes = np.array([digest(joined[a : b - 1], SEED) for a, b in zip([0, *ends], ends[shingle - 1 :])], np.uint64)
-        # eight counters in a word, up to 255 shingles at a time
-        raw = hashes.view(np.uint8).reshape(-1, 8)
-        starts = np.arange(0, len(raw), 255)
-        counts = np.stack([np.add.reduceat(spread[raw[:, byte]], starts).view(np.uint8).reshape(-1, 8).sum(axis=0, dtype=np.int64) for byte in range(8)])
-        out[k] = np.packbits((counts.ravel() * 2 > len(raw)), bitorder="little").view(np.uint64)[0]
-    return out
+        out[0, k] = majority(hashes, spread)
+        if second:
+            out[1, k] = majority(mix(hashes), spread)
+    return out[0], out[1]
 
 
-def with_fingerprint(docs: DataFrame, keep: list[str] | None = None, shingle: int = SHINGLE) -> DataFrame:
-    """Add ``simhash`` (the 64 bits as a signed long); a column of this name is replaced."""
-    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() != "simhash"]
+def majority(hashes: np.ndarray, spread: np.ndarray) -> np.uint64:
+    """The bits that more than half of the hashes have: eight counters in a word, up to 255 hashes at a time."""
+    raw = hashes.view(np.uint8).reshape(-1, 8)
+    starts = np.arange(0, len(raw), 255)
+    counts = np.stack([np.add.reduceat(spread[raw[:, byte]], starts).view(np.uint8).reshape(-1, 8).sum(axis=0, dtype=np.int64) for byte in range(8)])
+    return np.packbits((counts.ravel() * 2 > len(raw)), bitorder="little").view(np.uint64)[0]
+
+
+def with_fingerprint(docs: DataFrame, keep: list[str] | None = None, shingle: int = SHINGLE, second: bool = False) -> DataFrame:
+    """Add ``simhash`` and ``simhash2`` (the bits as signed longs); columns of these names are replaced."""
+    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ("simhash", "simhash2")]
 
     def work() -> Callable[[pa.RecordBatch], list[pa.Array]]:
-        return lambda batch: [pa.array(fingerprints(batch.column("text").to_pylist(), shingle).view(np.int64))]
+        return lambda batch: [pa.array(x.view(np.int64)) for x in fingerprints(batch.column("text").to_pylist(), shingle, second)]
 
-    return by_text(docs, work, [("simhash", st.LongType())], keep)
+    return by_text(docs, work, [("simhash", st.LongType()), ("simhash2", st.LongType())], keep)
 
 
 # ---------------------------------------------------------- the index -------
@@ -95,8 +101,8 @@ def gray_rank(codes: np.ndarray) -> np.ndarray:
 class GrayIndex:
     """Levels of nodes over codes that are sorted by (group, Gray rank); nodes don't cross groups."""
 
-    def __init__(self, codes: np.ndarray, group: np.ndarray) -> None:
-        self.codes = codes
+    def __init__(self, codes: np.ndarray, group: np.ndarray, distance: int = DISTANCE) -> None:
+        self.codes, self.distance = codes, distance
         level = {"bits": codes, "mask": np.full(len(codes), ~np.uint64(0)), "group": group}
         self.levels = [level]
         for _ in range(LEVELS):
@@ -118,7 +124,7 @@ class GrayIndex:
         return {"bits": ones, "mask": ones | zeros, "group": group[starts], "first": np.append(starts, len(group))}
 
     def pairs(self, low: int, high: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs (query, found) at DISTANCE or nearer, found after query, for the queries low..high."""
+        """Pairs (query, found) at the distance or nearer, found after query, for the queries low..high."""
         top = self.levels[-1]
         begin = np.searchsorted(top["group"], self.levels[0]["group"][low:high], side="left")
         end = np.searchsorted(top["group"], self.levels[0]["group"][low:high], side="right")
@@ -131,7 +137,7 @@ class GrayIndex:
                 continue
             level = self.levels[depth]
             gone = gone + np.bitwise_count((self.codes[query] ^ level["bits"][node]) & level["own"][node])
-            near = gone <= DISTANCE
+            near = gone <= self.distance
             query, node, gone = query[near], node[near], gone[near]
             if not depth:
                 later = node > query
@@ -162,16 +168,17 @@ def join_labels(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
         a, b = a[apart], b[apart]
 
 
-def links_of(codes: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links (code, smallest code of its group there) that connect all codes of a group within DISTANCE."""
-    order = np.lexsort((gray_rank(codes), group))
-    codes, group = codes[order], group[order]
-    index, label = GrayIndex(codes, group), np.arange(len(codes))
-    for low in range(0, len(codes), 1 << 14):
-        for a, b in index.pairs(low, min(low + (1 << 14), len(codes))):
-            join_labels(label, a, b)
-    moved = label != np.arange(len(codes))
-    return codes[moved], codes[label[moved]]
+def links_of(cid: np.ndarray, code: np.ndarray, second: np.ndarray, group: np.ndarray, distance: int = DISTANCE) -> tuple[np.ndarray, np.ndarray]:
+    """Links (cid, first of its group there) that connect all classes of a key that are near."""
+    order = np.lexsort((gray_rank(code), group))
+    cid, code, second, group = cid[order], code[order], second[order], group[order]
+    index, label = GrayIndex(code, group, distance), np.arange(len(code))
+    for low in range(0, len(code), 1 << 14):
+        for a, b in index.pairs(low, min(low + (1 << 14), len(code))):
+            near = np.bitwise_count(second[a] ^ second[b]) <= distance
+            join_labels(label, a[near], b[near])
+    moved = label != np.arange(len(code))
+    return cid[moved], cid[label[moved]]
 
 
 # ------------------------------------------------------------- the join -----
@@ -193,69 +200,67 @@ def signed(n: int) -> int:
     return n - (1 << 64) if n >> 63 else n
 
 
-def keyed(codes: DataFrame, masks: list[int]) -> DataFrame:
-    """A row (code, mask, part) for each key that a code lies under."""
-    choice = F.explode(F.array(*(F.lit(signed(m)) for m in masks)))
-    return codes.select("code", choice.alias("mask")).withColumn("part", F.col("code").bitwiseAND(F.col("mask")))
+def keyed(masks: list[int]) -> Column:
+    """A row for each of these keys."""
+    return F.explode(F.array(*(F.lit(signed(m)) for m in masks))).alias("mask")
 
 
-def links(codes: DataFrame) -> DataFrame:
-    """Links (a, b) that connect all codes (column ``code``, distinct) within DISTANCE."""
-    blocks = block_count(codes.count(), DISTANCE)
-    rows = keyed(codes, key_masks(list(range(64)), blocks, DISTANCE))
+def links(classes: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """Links (a, b) that connect all near classes (columns cid, simhash, simhash2)."""
+    blocks = block_count(classes.count(), distance)
+    part = F.col("simhash").bitwiseAND(F.col("mask")).alias("part")
+    columns = ["cid", "simhash", "simhash2"]
+    rows = classes.select(*columns, keyed(key_masks(list(range(64)), blocks, distance))).select(*columns, "mask", part)
+    key = F.xxhash64("mask", "part").alias("key")
     hot = materialize(rows.groupBy("mask", "part").count().where(F.col("count") > HOT_ROWS).select("mask", "part"), "hot-keys")
+    dealt = rows.select(*columns, key)
     if hot.head(1):
-        again = rows.join(hot, ["mask", "part"])
-        rows = rows.join(hot, ["mask", "part"], "left_anti").withColumn("first", F.lit(None).cast("struct<mask:bigint,part:bigint>"))
-        split = None
+        again = rows.join(hot, ["mask", "part"]).withColumnsRenamed({"mask": "mask1", "part": "part1"})
+        dealt = rows.join(hot, ["mask", "part"], "left_anti").select(*columns, key)
         for mask in [r["mask"] for r in hot.select("mask").distinct().collect()]:  # at most one row per choice of groups
             free = [b for b in range(64) if not (mask >> b) & 1]
-            own = again.where(F.col("mask") == mask).withColumn("first", F.struct("mask", "part"))
-            own = own.select("code", "first", F.explode(F.array(*(F.lit(signed(m)) for m in key_masks(free, DISTANCE + 2, DISTANCE)))).alias("mask"))
-            own = own.withColumn("part", F.col("code").bitwiseAND(F.col("mask"))).select(*rows.columns)
-            split = own if split is None else split.unionByName(own)
-        rows = rows.unionByName(split)
-    else:
-        rows = rows.withColumn("first", F.lit(None).cast("struct<mask:bigint,part:bigint>"))
-    key = F.xxhash64("first", "mask", "part")
-    dealt = rows.select("code", key.alias("key")).repartition("key").sortWithinPartitions("key")
+            split = again.where(F.col("mask1") == mask).select(*columns, "mask1", "part1", keyed(key_masks(free, distance + 2, distance)))
+            dealt = dealt.unionByName(split.select(*columns, F.xxhash64("mask1", "part1", "mask", part).alias("key")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for codes, key in whole_keys(batches):
-            a, b = links_of(codes.view(np.uint64), key)
-            yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
+        for cid, code, second, group in whole_keys(batches, [*columns, "key"]):
+            a, b = links_of(cid, code.view(np.uint64), second.view(np.uint64), group, distance)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
 
 
-def whole_keys(batches: Iterator[pa.RecordBatch], rows: int = 400_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Arrays (code, key) of about ``rows`` rows that never cut a key; rows come sorted by key."""
-    held_code, held_key, held = [], [], 0
+def whole_keys(batches: Iterator[pa.RecordBatch], columns: list[str], rows: int = 400_000) -> Iterator[list[np.ndarray]]:
+    """Columns of about ``rows`` rows that never cut a key, the last column; rows come sorted by it."""
+    held: list[list[np.ndarray]] = []
+    count = 0
     for batch in batches:
-        held_code.append(batch.column("code").to_numpy(zero_copy_only=False))
-        held_key.append(batch.column("key").to_numpy(zero_copy_only=False))
-        held += batch.num_rows
-        if held >= rows:
-            code, key = np.concatenate(held_code), np.concatenate(held_key)
-            cut = int(np.searchsorted(key, key[-1], side="left"))
+        held.append([batch.column(c).to_numpy(zero_copy_only=False) for c in columns])
+        count += batch.num_rows
+        if count >= rows:
+            whole = [np.concatenate(x) for x in zip(*held, strict=True)]
+            cut = int(np.searchsorted(whole[-1], whole[-1][-1], side="left"))
             if cut:
-                yield code[:cut], key[:cut]
-            held_code, held_key, held = [code[cut:]], [key[cut:]], len(code) - cut
-    if held:
-        yield np.concatenate(held_code), np.concatenate(held_key)
-
-
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """Rows (doc_id, simhash, component_id): the smallest doc_id reachable over links, its own included."""
-    prints = materialize(with_fingerprint(docs.select("doc_id", "text"), ["doc_id"], shingle), "fingerprints")
-    classes = prints.groupBy("simhash").agg(F.min("doc_id").alias("least"))
-    codes = materialize(classes, "classes")
-    groups = components(links(codes.select(F.col("simhash").alias("code"))))
-    named = codes.join(groups.select(F.col("node").alias("simhash"), "label"), "simhash", "left")
-    named = named.withColumn("label", F.struct(F.col("label").isNull().alias("alone"), F.coalesce("label", "simhash").alias("of")))
-    least = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    component = named.join(least, "label").select("simhash", "component_id")
-    return prints.join(component, "simhash").select("doc_id", "simhash", "component_id")
+                yield [x[:cut] for x in whole]
+            held, count = [[x[cut:] for x in whole]], count - cut
+    if count:
+        yield [np.concatenate(x) for x in zip(*held, strict=True)]
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, second: bool = False, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Rows (doc_id, keys, simhash, component, component_id) for every document.
+
+    ``component_id`` is the smallest doc_id reachable over links, its own included;
+    ``component`` names the group itself, which differs from any other group's.
+    """
+    prints = materialize(with_fingerprint(docs.select("doc_id", "text", *keys), ["doc_id", *keys], shingle, second), "fingerprints")
+    grouped = prints.groupBy("simhash", "simhash2").agg(F.min("doc_id").alias("least"))
+    classes = materialize(grouped.withColumn("cid", F.monotonically_increasing_id()), "classes")
+    groups = components(links(classes, distance)).select(F.col("node").alias("cid"), "label")
+    named = classes.join(groups, "cid", "left").withColumn("component", F.coalesce("label", "cid"))
+    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    found = named.join(least, "component").select("simhash", "simhash2", "component", "component_id")
+    return prints.join(found, ["simhash", "simhash2"]).select("doc_id", *keys, "simhash", "component", "component_id")
 
 
 def hex_of(fingerprint: Column) -> Column:

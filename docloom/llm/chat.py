@@ -7,8 +7,8 @@ A conversation is its turns in order; a turn is
 and a line feed. The grammar is deterministic: an unescaped ``</turn>`` and line
 feed end a turn, ``### `` and the role (percent-encoded, so free of the grammar's
 signs) up to the first ``: `` open it, and one space parts the text from its end, so
-that no sign of the text touches the end mark. ``###`` and ``</turn>`` are control
-strings; a backslash in front makes one plain text, and reading takes it away.
+that no sign of the text touches the end mark. ``###`` (where a run of signs starts) and
+``</turn>`` are control strings; a backslash in front makes one plain text, and reading takes it away.
 
 Round trip: a turn is first rendered as it is and parsed again. Where the parser
 returns another text (the text holds a control string, or a backslash before one)
@@ -34,10 +34,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 END = " </turn>\n"
-CONTROL = "(###|</turn>)"
+CONTROL = "((?<!#)###|</turn>)"
 ESCAPED = r"\\(###|</turn>)"
 TURN_END = r"(?<!\\)</turn>\n"
-OPEN_INSIDE = r"(?<!\\)###"
+OPEN_INSIDE = r"(?<![\\#])###"
 ROUNDS = 2
 LOSS_ROLE = "assistant"
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.operators.quality import pk_duplicates
 
-_OPEN = "struct<section:int,part:bigint,header:string,page_id:int,text:string>"
-_STATE = f"struct<done:array<{_OPEN}>,open:{_OPEN},chars:bigint>"
+CHUNK = "struct<section:int,part:bigint,header:string,page_id:int,text:string>"
 
 SEARCH_COLUMNS = ["chunk_id", "chunk_to_embed", "chunk_text", "source_path", "company", "fiscal_period", "document_type"]
 
@@ -17,50 +19,44 @@ def chunk_array(elements: Column, max_chars: int = 1200) -> Column:
     """Chunks of one document's elements, in order.
 
     A section header starts a section; inside a section an element belongs to
-    part ``floor(characters before it / max_chars)``. One pass over the row
-    keeps the open chunk and closes it when section or part changes, so a
-    document is chunked where it lies, without a shuffle.
+    part ``floor(characters before it / max_chars)``. One pass over the row's
+    elements, an Arrow batch at a time: a document is chunked where it lies,
+    without a shuffle, and a chunk's text is joined once.
     """
 
-    def step(state: Column, e: Column) -> Column:
-        opened = state["open"]
-        is_header = e["type"] == "section_header"
-        section = opened["section"] + is_header.cast("int")
-        before = F.when(is_header, F.lit(0).cast("bigint")).otherwise(state["chars"])
-        part = F.floor(before / max_chars)
-        same = opened["text"].isNotNull() & (section == opened["section"]) & (part == opened["part"])
-        grown = F.struct(
-            section.alias("section"),
-            part.alias("part"),
-            F.when(is_header, e["content"]).otherwise(opened["header"]).alias("header"),
-            F.when(same, opened["page_id"]).otherwise(e["page_id"]).alias("page_id"),
-            F.when(same, F.concat(opened["text"], F.lit("\n\n"), e["content"])).otherwise(e["content"]).alias("text"),
-        )
-        done = F.when(same | opened["text"].isNull(), state["done"]).otherwise(
-            F.concat(state["done"], F.array(opened))
-        )
-        return F.struct(
-            done.alias("done"), grown.alias("open"), (before + F.length(e["content"])).alias("chars")
-        ).cast(_STATE)
-
-    def finish(state: Column) -> Column:
-        return F.when(state["open"]["text"].isNull(), state["done"]).otherwise(
-            F.concat(state["done"], F.array(state["open"]))
-        )
-
-    empty = F.struct(
-        F.array().cast(f"array<{_OPEN}>").alias("done"),
-        F.struct(
-            F.lit(0).alias("section"),
-            F.lit(0).cast("bigint").alias("part"),
-            F.lit(None).cast("string").alias("header"),
-            F.lit(0).alias("page_id"),
-            F.lit(None).cast("string").alias("text"),
-        ).alias("open"),
-        F.lit(0).cast("bigint").alias("chars"),
-    ).cast(_STATE)
+    @F.arrow_udf(f"array<{CHUNK}>")
+    def chunk(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        kind = pa.list_(pa.struct([("section", pa.int32()), ("part", pa.int64()), ("header", pa.string()), ("page_id", pa.int32()), ("text", pa.string())]))
+        for headers, contents, pages in batches:
+            rows = zip(headers.to_pylist(), contents.to_pylist(), pages.to_pylist(), strict=True)
+            yield pa.array([None if texts is None else _chunks(is_header, texts, page, max_chars) for is_header, texts, page in rows], kind)
+
     readable = F.filter(elements, lambda e: e["content"].isNotNull())
-    return F.aggregate(readable, empty, step, finish)
+    columns = (
+        F.transform(readable, lambda e: F.coalesce(e["type"] == "section_header", F.lit(False))),
+        F.transform(readable, lambda e: e["content"]),
+        F.transform(readable, lambda e: e["page_id"]),
+    )
+    # not marked deterministic: what is built on the chunks must not chunk again
+    return chunk.asNondeterministic()(*columns)
+
+
+def _chunks(is_header: list[bool], texts: list[str], pages: list[int | None], max_chars: int) -> list[dict]:
+    """Chunks of one document as rows of CHUNK."""
+    done: list[dict] = []
+    section, header, before, opened = 0, None, 0, None
+    for starts, text, page in zip(is_header, texts, pages, strict=True):
+        if starts:
+            section, header, before = section + 1, text, 0
+        key = (section, before // max_chars)
+        if key != opened:
+            opened = key
+            done.append({"section": key[0], "part": key[1], "header": header, "page_id": page, "text": []})
+        done[-1]["text"].append(text)
+        before += len(text)
+    for row in done:
+        row["text"] = "\n\n".join(row["text"])
+    return done
 
 
 def chunk_documents(df: DataFrame, key: str = "source_path", elements: str = "elements", max_chars: int = 1200,
@@ -72,11 +68,10 @@ def chunk_documents(df: DataFrame, key: str = "source_path", elements: str = "el
     """
     carry = [c for c in (SEARCH_COLUMNS[3:] if carry is None else carry) if c in df.columns]
     title = F.get(F.filter(F.col(elements), lambda e: e["type"] == "title"), F.lit(0))["content"]
-    chunks = df.select(
-        *dict.fromkeys([key, *carry]),
-        title.alias("_title"),
-        F.posexplode(chunk_array(F.col(elements), max_chars)).alias("_pos", "_chunk"),
+    cut = df.select(
+        *dict.fromkeys([key, *carry]), title.alias("_title"), chunk_array(F.col(elements), max_chars).alias("_chunks")
     )
+    chunks = cut.select("*", F.posexplode("_chunks").alias("_pos", "_chunk"))
     return chunks.select(
         F.concat(F.col(key).cast("string"), F.lit("_chunk"), F.col("_pos").cast("string")).alias("chunk_id"),
         F.concat_ws(

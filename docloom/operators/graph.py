@@ -294,8 +294,9 @@ def entity_lookup_batch(relationships: DataFrame, names: DataFrame, predicate: s
     asked = names.select("entity_name").distinct()
 
     def end(name: str) -> DataFrame:
-        touching = rows.withColumn("entity_name", F.col(name)).join(asked, "entity_name", "left_semi")
-        return _first_n(touching, ["entity_name"], ["predicate", "subject", "object"], limit)
+        # an entity's first rows don't depend on who asks, so they are found before the shuffle
+        first = _first_n(rows.withColumn("entity_name", F.col(name)), ["entity_name"], ["predicate", "subject", "object"], limit)
+        return first.join(asked, "entity_name", "left_semi")
 
     both = end("subject").unionByName(end("object").where(~F.col("subject").eqNullSafe(F.col("object"))))
     return _first_n(both, ["entity_name"], ["predicate", "subject", "object"], limit).select("entity_name", *TRIPLE)
@@ -311,20 +312,19 @@ def pattern_match(relationships: DataFrame, entities: DataFrame, start_type: str
 
 
 def entity_link(ranking: DataFrame, corpus: DataFrame, relationships: DataFrame, *, item_id: str = "chunk_id",
-                text: str = "chunk_text", predicates: list[str] | None = None, per_entity: int = 20,
-                max_words: int | None = None) -> DataFrame:
+                text: str = "chunk_text", predicates: list[str] | None = None, per_entity: int | None = None) -> DataFrame:
     """Relations of the entities that a query's retrieved items mention.
 
-    Word groups of the retrieved texts meet subject names in an equi-join. Each
-    subject offers its ``per_entity`` most mentioned relations.
+    Word groups of the retrieved texts, of those lengths that names have, meet
+    subject names in an equi-join. Each subject offers all its relations, or its
+    ``per_entity`` most mentioned.
     """
     known = relationships if predicates is None else relationships.where(F.col("predicate").isin(predicates))
     totals = known.groupBy(*TRIPLE).agg(F.sum("mention_count").alias("mentions"))
-    best = _first_n(totals, ["subject"], [F.desc("mentions"), "predicate", "object"], per_entity).withColumn(
-        "_name", T.token_key("subject")
-    )
-    if max_words is None:
-        max_words = known.agg(F.max(F.size(T.tokens("subject")))).first()[0] or 1
+    best = totals if per_entity is None else _first_n(totals, ["subject"], [F.desc("mentions"), "predicate", "object"], per_entity)
+    best = best.withColumn("_name", T.token_key("subject"))
+    size = F.size(T.tokens("subject"))
+    sizes = [n for (n,) in known.select(size).distinct().orderBy(size).collect() if n]  # one row per length of a name
     retrieved = materialize(ranking.select("query_id", "item_id"), "ranking").join(
         corpus.select(F.col(item_id).alias("item_id"), T.tokens(text).alias("_words")), "item_id"
     )
@@ -336,6 +336,6 @@ def entity_link(ranking: DataFrame, corpus: DataFrame, relationships: DataFrame,
             F.transform(starts, lambda i: F.array_join(F.slice("_words", i, size), " ")),
         ).otherwise(F.array().cast("array<string>"))
 
-    named = F.array_distinct(F.concat(*[groups(n) for n in range(1, max_words + 1)]))
+    named = F.array_distinct(F.concat(F.array().cast("array<string>"), *[groups(n) for n in sizes]))
     mentioned = retrieved.select("query_id", F.explode(named).alias("_name")).distinct()
     return mentioned.join(best, "_name").select("query_id", *TRIPLE, "mentions")

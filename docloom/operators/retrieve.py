@@ -30,7 +30,8 @@ QUERY_LIMIT = 4096
 QUERY_WEIGHT = 2_000_000
 CELL_ROWS, CELL_WEIGHT = 20_000, 20_000_000
 MATRIX_CELLS = 4_000_000
-MAX_LISTS = 4096
+#: Bytes of centres that every task may hold.
+CENTROID_BYTES = 256 << 20
 DIGITS = 6
 
 K1, B = 1.2, 0.75
@@ -266,10 +267,11 @@ def _size(side: DataFrame, payload: str):
 def _score_all(queries: DataFrame, corpus: DataFrame, make_scorer, k: int, skip_same: bool) -> DataFrame:
     """k best candidates of each query per task (exact; rank them afterwards)."""
     schemas = _arrow_schema(queries, corpus)
+    queries = materialize(queries, "queries")  # what is counted is what is read
     size = _size(queries, "q_payload")
     if size["n"] <= QUERY_LIMIT and size["w"] <= QUERY_WEIGHT:
         schema, arrow = schemas
-        block = corpus.sparkSession.sparkContext.broadcast(queries.limit(QUERY_LIMIT).toArrow())
+        block = corpus.sparkSession.sparkContext.broadcast(queries.toArrow())
 
         def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             table = block.value
@@ -334,11 +336,9 @@ def bm25_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, *, query_id: s
 
     ``item_tokens`` names a stored token array, so an index is not split again.
 
-    The first pass counts, per query term, the items holding it; counts combine
-    before the shuffle, and an empty marker word carries the number of items
-    and their total length through the same aggregate. The query terms are
-    stored beforehand, so that the planner sees their size and, while they are
-    few, filters the corpus words where they are read.
+    The first pass counts the items holding each term; counts combine before
+    they are shuffled and meet the query's terms, so a common word is one row a
+    task. The number of items and their total length are an aggregate of their own.
     """
     items = corpus.where(metadata_filter(filters)) if filters else corpus
     split = F.col(item_tokens) if item_tokens else T.tokens(item_text)
@@ -347,20 +347,14 @@ def bm25_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, *, query_id: s
         F.col(query_id).alias("query_id"),
         F.explode(F.array_distinct(T.tokens(query_text))).alias("term"),
     )
-    wanted = asked.select("term").unionByName(asked.sparkSession.sql("SELECT '' AS term")).distinct()
-    wanted = materialize(wanted, "query-terms")
-    held = words.select(
-        F.size("_words").alias("_length"),
-        F.explode(F.concat(F.array_distinct("_words"), F.array(F.lit("")))).alias("term"),
-    )
-    counts = held.join(wanted, "term").groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("_length").alias("total"))
-    counts = materialize(counts, "term-counts")
-    whole = counts.where(F.col("term") == "").first()
-    number, total = (whole["df"], whole["total"]) if whole else (0, 0)
+    wanted = materialize(asked.select("term").distinct(), "query-terms")
+    held = words.select(F.explode(F.array_distinct("_words")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    counts = materialize(held.join(wanted, "term", "left_semi"), "term-counts")
+    number, total = words.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("_words")), F.lit(0))).first()
     mean_length = float(total) / number if number and total else 1.0
     idf = F.log(1 + (F.lit(float(number)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weighted = (
-        asked.join(counts.where(F.col("term") != "").select("term", idf.alias("idf")), "term")
+        asked.join(counts.select("term", idf.alias("idf")), "term")
         .groupBy("query_id")
         .agg(F.sort_array(F.collect_list(F.struct("term", "idf"))).alias("q_payload"))
     )
@@ -401,19 +395,23 @@ def hybrid_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, *, query_id:
 # -------------------------------------------------------------- approximate --
 def train_centroids(corpus: DataFrame, vector: str = "vector", lists: int | None = None, iterations: int = 8,
                     seed: int = 7) -> np.ndarray:
-    """Centres of ``lists`` direction clusters (about the square root of the corpus, ``MAX_LISTS`` at most).
+    """Centres of ``lists`` direction clusters (by default about the square root of the corpus).
 
-    Their number bounds what every task holds, whatever the corpus. Keep the
-    result to search the same corpus again.
+    ``lists`` is taken as given. Centres beyond ``CENTROID_BYTES``, which every
+    task would hold, are an error. Keep the result to search the same corpus again.
     """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.functions import vector_to_array as array_of
 
     rows = corpus.where(F.exists(vector, lambda x: x != 0)).select(
         array_to_vector(F.col(vector).cast("array<double>")).alias("features")
     )
     rows = materialize(rows, "training")  # every iteration reads it
-    lists = min(lists or math.ceil(math.sqrt(rows.count())), MAX_LISTS)
+    lists = lists or math.ceil(math.sqrt(rows.count()))
+    longest = rows.agg(F.max(F.size(array_of("features")))).first()[0] or 0
+    if lists * longest * 8 > CENTROID_BYTES:
+        raise ValueError(f"{lists} centres of {longest} dimensions exceed CENTROID_BYTES; ask for fewer lists")
     if lists < 2:
         return np.zeros((1, 1))
     model = KMeans(k=lists, seed=seed, maxIter=iterations, distanceMeasure="cosine").fit(rows)
@@ -462,10 +460,11 @@ def ann_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, *, query_id: st
     q_list = _routed(asked, "q_payload", shared, probes)
     i_list = _routed(stored, "i_payload", shared, 1)
 
-    i_size = i_list.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / CELL_ROWS).alias("i_cells"))
+    weight = F.sum(F.size("i_payload")) / CELL_WEIGHT
+    i_size = i_list.groupBy("list").agg(F.ceil(F.greatest(F.count(F.lit(1)) / CELL_ROWS, weight)).alias("i_cells"))
     q_size = q_list.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / QUERY_LIMIT).alias("q_cells"))
-    # one row per list in use, at most MAX_LISTS; stored, since both sides read it
-    cells = F.broadcast(materialize(i_size.join(q_size, "list"), "cells"))
+    # one row per list in use; stored, since both sides read it and the planner sees its size
+    cells = materialize(i_size.join(q_size, "list"), "cells")
 
     def deal(df: DataFrame, key: str, own: str, other: str) -> DataFrame:
         last = F.col(f"{other}_cells") - 1

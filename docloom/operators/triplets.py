@@ -55,12 +55,18 @@ def triplet_json(text: Column | str, patterns=None) -> Column:
                 ),
             )
         )
+        # as strings, which array_distinct hashes; structs it compares pair by pair
+        entities = F.array_distinct(F.transform(ends, lambda e: F.to_json(e.cast(ENTITY))))
         relations = F.transform(found, lambda h: F.struct(h["subject"], h["predicate"], h["object"]))
-        return F.struct(
-            F.struct(F.array_distinct(ends).alias("entities"), relations.alias("relationships")).alias("data")
+        return F.concat(
+            F.lit('{"data":{"entities":['),
+            F.array_join(entities, ","),
+            F.lit('],"relationships":'),
+            F.to_json(relations.cast(f"array<{RELATION}>")),
+            F.lit("}}"),
         )
 
-    bound = F.transform(F.array(hits), lambda found: F.to_json(result(found).cast(RESULT)))[0]
+    bound = F.transform(F.array(hits), result)[0]
     return F.when(column.isNotNull(), bound)
 
 

@@ -71,10 +71,11 @@ def chunks(silver_table: DataFrame, max_chars: int = 1200) -> DataFrame:
     return search_table(T.compute_once(rows, elements=P.from_variant("parsed_document")), max_chars=max_chars)
 
 
-def run_batch(bronze: DataFrame, write: Callable[[DataFrame, str], DataFrame], **options) -> dict[str, DataFrame]:
+def run_batch(bronze: DataFrame, write: Callable[[DataFrame, str], DataFrame], min_rows: int = 50, **options) -> dict[str, DataFrame]:
     """Build and store every table once; ``write(df, name)`` stores and re-reads.
 
-    Each stage reads the stored one before it, so parsing happens once.
+    Each stage reads the stored one before it, so parsing happens once. The
+    gate asks for ``min_rows`` parsed documents.
     """
     out = {"financial_docs_silver": write(silver(bronze, **options), "financial_docs_silver")}
     out["financial_docs_gold"] = write(gold(out["financial_docs_silver"]), "financial_docs_gold")
@@ -82,5 +83,5 @@ def run_batch(bronze: DataFrame, write: Callable[[DataFrame, str], DataFrame], *
         S.investment_summary(out["financial_docs_gold"]), "company_ai_investment_summary"
     )
     out["financial_docs_for_search"] = write(chunks(out["financial_docs_silver"]), "financial_docs_for_search")
-    Q.enforce_gate(Q.quality_gate(out["financial_docs_silver"], out["financial_docs_gold"], min_rows=1))
+    Q.enforce_gate(Q.quality_gate(out["financial_docs_silver"], out["financial_docs_gold"], min_rows=min_rows))
     return out

@@ -567,9 +567,7 @@ ORACLES: dict[str, str] = {
         FROM (SELECT query_id, min(rank) AS r FROM holding LEFT JOIN (SELECT * FROM by_words_documents WHERE rank <= 10) USING (query_id, item_id) GROUP BY query_id)"""),
     "entity_link": sql("by_words chunks text_relationships", f"""
         SELECT query_id, subject, predicate, object, mentions FROM ({ENTITY_ENDS}) JOIN (
-          SELECT * FROM (SELECT subject, predicate, object, mention_count AS mentions, lower(subject) AS name,
-                 row_number() OVER (PARTITION BY subject ORDER BY mention_count DESC, predicate, object) AS rn FROM text_relationships)
-          WHERE rn <= 3) USING (name)"""),
+          SELECT subject, predicate, object, mention_count AS mentions, lower(subject) AS name FROM text_relationships) USING (name)"""),
     # context
     "context_targets": sql("targets", "SELECT * FROM targets"),
     "single_company_filter": sql("asked", "SELECT * FROM asked"),

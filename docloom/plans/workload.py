@@ -132,7 +132,7 @@ def silver_stream(t: Tables) -> DataFrame:
     files = t.spark.readStream.schema(source.schema).option("pathGlobFilter", "documents.parquet").parquet(t.sf_dir)
     rows = M.silver(D.as_bronze(D.document_files(files)), fmt="text", rules=D.FIELD_RULES, aliases=D.ALIASES)
     sink = f"{scratch_folder(t.spark)}/stream-{uuid.uuid4().hex}"
-    ST.streaming_table(rows.drop("parsed_document", "ingested_at"), sink)
+    ST.streaming_table(rows.drop("parsed_document", "ingested_at"), sink, f"{sink}.state")
     return ST.read_table(t.spark, sink)
 
 
@@ -727,7 +727,7 @@ def retrieval_eval(t: Tables) -> DataFrame:
 @query
 def entity_link(t: Tables) -> DataFrame:
     chunks = t.stored("search")
-    return G.entity_link(R.bm25_topk(t.questions, chunks, 5, item_tokens="tokens"), chunks, t.stored("text_relationships"), per_entity=3)
+    return G.entity_link(R.bm25_topk(t.questions, chunks, 5, item_tokens="tokens"), chunks, t.stored("text_relationships"))
 
 
 # ------------------------------------------------------------------ context ----

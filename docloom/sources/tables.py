@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from docloom.session import scratch_root
 
 
 def read_table(spark: SparkSession, name: str, *columns: str) -> DataFrame:
@@ -48,18 +47,18 @@ def append_positional(base: DataFrame, extra: DataFrame) -> DataFrame:
     return base.unionByName(extra)
 
 
-def streaming_table(df: DataFrame, name: str, checkpoint: str | None = None,
+def streaming_table(df: DataFrame, name: str, checkpoint: str,
                     properties: dict[str, str] | None = None, comment: str | None = None) -> StreamingQuery:
     """Append everything a stream has now to a table (or a parquet path), then stop.
 
-    The checkpoint remembers what was delivered: a rerun adds new input only.
+    The folder ``checkpoint`` remembers what was delivered: a rerun with the same
+    one adds new input only.
     """
     spark = df.sparkSession
     is_path = "/" in name
-    where = checkpoint or (f"{name}.state" if is_path else f"{scratch_root(spark).rstrip('/')}/streams/{name}")
     writer = (
         df.writeStream.outputMode("append").trigger(availableNow=True)
-        .option("checkpointLocation", where).format("parquet")
+        .option("checkpointLocation", checkpoint).format("parquet")
     )
     query = writer.start(name) if is_path else writer.toTable(name)
     query.awaitTermination()

@@ -41,14 +41,14 @@ def test_ingest_batch_and_inventory(spark, tmp_path):
 
 
 def test_two_triggered_runs(spark, tmp_path):
-    tables = ["financial_docs_bronze", "financial_docs_silver", "financial_docs_gold", "company_ai_investment_summary", "financial_docs_for_search"]
+    tables = [I.EVENT_LOG, "financial_docs_bronze", "financial_docs_silver", "financial_docs_gold", "company_ai_investment_summary", "financial_docs_for_search"]
     drop(spark, *tables)
     root, state = str(tmp_path / "financial_docs_raw"), str(tmp_path / "state")
     put(root, "10-K/Microsoft_FY24Q1.txt", LONG)
     put(root, "10-Q/Oracle_x.txt", LONG.replace("Microsoft", "Oracle"))
     put(root, "10-Q/short.txt", "too short")
     put(root, "10-Q/skipped.log", LONG)
-    views = I.refresh(spark, root, "*.txt", state, fmt="text")
+    views = I.refresh(spark, root, "*.txt", state, fmt="text", min_rows=1, min_company=0.3)
     assert spark.table("financial_docs_bronze").count() == 3
     silver = {os.path.basename(r.source_path): r for r in spark.table("financial_docs_silver").collect()}
     assert set(silver) == {"Microsoft_FY24Q1.txt", "Oracle_x.txt"}
@@ -63,11 +63,16 @@ def test_two_triggered_runs(spark, tmp_path):
     I.bronze_stream(spark, root, "*.txt", checkpoint=f"{state}/bronze")
     query = I.silver_stream(spark, checkpoint=f"{state}/silver", fmt="text")
     assert [m["input_rows"] for m in I.quality_metrics(query) if m["input_rows"]] == [1]
-    views = I.refresh(spark, root, "*.txt", state, fmt="text")
+    views = I.refresh(spark, root, "*.txt", state, fmt="text", min_rows=1, min_company=0.3)
     assert spark.table("financial_docs_bronze").count() == 4 and spark.table("financial_docs_silver").count() == 3
     assert spark.table("company_ai_investment_summary").agg(F.sum("document_count")).first()[0] == before + 1
     chunks = spark.table("financial_docs_for_search")
     assert chunks.select("source_path").distinct().count() == 3
+    assert {r[0]: r[1] for r in views["row_counts"].collect()}["financial_docs_silver"] == 3
+    logged = spark.table(I.EVENT_LOG).where("name = 'input_rows'").agg(F.sum("value")).first()[0]
+    assert logged == 3  # the third batch was logged by no refresh
+    with pytest.raises(Exception, match="row count"):
+        I.refresh(spark, root, "*.txt", state, fmt="text")
     properties = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES financial_docs_silver").collect()}
     assert properties["quality"] == "silver"
     drop(spark, *tables)
@@ -89,7 +94,7 @@ def test_run_batch_builds_every_table(spark, tmp_path):
     root = str(tmp_path / "financial_docs_raw")
     put(root, "10-K/Microsoft_1.html", f"<html><title>T</title><h1>H</h1><p>{LONG}</p></html>")
     put(root, "10-K/Apple_1.txt", LONG.replace("Microsoft", "Apple"))
-    built = M.run_batch(SF.ingest_batch(spark, root), lambda df, name: SS.materialize(df, name))
+    built = M.run_batch(SF.ingest_batch(spark, root), lambda df, name: SS.materialize(df, name), min_rows=1)
     assert {n: df.count() for n, df in built.items()} == {
         "financial_docs_silver": 2, "financial_docs_gold": 2, "company_ai_investment_summary": 2, "financial_docs_for_search": 3}
     page = built["financial_docs_for_search"].where(F.col("source_path").contains("Microsoft")).orderBy("chunk_id").collect()
@@ -149,7 +154,7 @@ def test_shuffle_partitions_follow_the_data(spark):
 def test_stream_to_a_path(spark, tmp_path, rows):
     source, sink = str(tmp_path / "in"), str(tmp_path / "out")
     spark.range(3).write.parquet(source)
-    ST.streaming_table(ST.read_stream_table(spark, source), sink)
+    ST.streaming_table(ST.read_stream_table(spark, source), sink, str(tmp_path / "state"))
     assert rows(ST.read_table(spark, sink, "id")) == [(0,), (1,), (2,)]
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import types as st
 from docloom.llm.arrays import Member, WordHasher, arrow_batches, bounded_sample, by_text, mix, slices, sums_by_text
 
 #: Bounds of the sample that is learned from.
-SAMPLE_ROWS, SAMPLE_CHARS = 12_000, 6_000
+SAMPLE_ROWS, SAMPLE_CHARS = 6_000, 6_000
 PASSES, BATCH_ROWS = 10, 16
 ALPHA, BETA, L1, L2 = 4.0, 1.0, 12.0, 0.0
 #: Coordinates must occur in so many documents of the sample.
@@ -69,18 +69,17 @@ def sample_features(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray, np.nda
     lists = table.column("hashes").combine_chunks()
     sizes = np.diff(lists.offsets.to_numpy())
     labels = table.column("label").to_numpy().astype(float)
-    return labels, np.repeat(np.arange(len(labels)), sizes), lists.values.to_numpy()[lists.offsets[0].as_py() :].view(np.uint64)
+    return labels, np.repeat(np.arange(len(labels), dtype=np.int32), sizes), lists.values.to_numpy()[lists.offsets[0].as_py() :].view(np.uint64)
 
 
 def fit(labels: np.ndarray, row: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
     """FTRL-proximal over small batches; the sorted hashes and weights that aren't zero, and the bias."""
     if not len(labels) or labels.min() == labels.max():
         return np.zeros(0, np.uint64), np.zeros(0), (-50.0 if not labels.sum() else 50.0)
-    keys, coordinate, seen = np.unique(hashes, return_inverse=True, return_counts=True)
-    kept = seen >= LEAST_DOCS
-    place = np.cumsum(kept) - 1
-    row, coordinate = row[kept[coordinate]], place[coordinate[kept[coordinate]]]
-    keys = keys[kept]
+    keys, seen = np.unique(hashes, return_counts=True)
+    keys = keys[seen >= LEAST_DOCS]
+    at, coordinate = Member(keys).find(hashes)
+    row = row[at]
     bias = len(keys)  # the last coordinate, in every row
     z, n = np.zeros(bias + 1), np.zeros(bias + 1)
     begin = np.searchsorted(row, np.arange(len(labels) + 1))

@@ -47,9 +47,12 @@ def words_of(text: Column) -> Column:
 def windows_of(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Distinct windows (words joined by spaces, number of words) with the sorted ids of the items that have them."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), words_of(F.col("text")).alias("words")).where(F.size("words") > 0)
-    starts = F.sequence(F.lit(1), F.greatest(F.size("words") - window + 1, F.lit(1)))
-    cut = items.select("item", F.explode(F.transform(starts, lambda i: F.slice("words", i, window))).alias("words"))
-    return cut.groupBy(F.array_join("words", " ").alias("window")).agg(F.max(F.size("words")).alias("n"), F.sort_array(F.collect_set("item")).alias("items"))
+    size, long = F.size("words"), F.col("words")
+    for k in range(1, window):  # a word more each time, for all windows at once
+        long = F.zip_with(F.slice(long, 1, size - k), F.slice("words", k + 1, size - k), lambda a, b: F.concat(a, F.lit(" "), b))
+    cut = F.when(size >= window, long).otherwise(F.array(F.array_join("words", " ")))
+    rows = items.select("item", F.least(size, F.lit(window)).alias("n"), F.explode(cut).alias("window"))
+    return rows.groupBy("window").agg(F.max("n").alias("n"), F.sort_array(F.collect_set("item")).alias("items"))
 
 
 def word_counts(docs: DataFrame, words: np.ndarray) -> DataFrame:

@@ -53,23 +53,21 @@ CONTEXT_CHARS = 64
 
 
 # ------------------------------------------------------- running totals -----
-def _fold(values: Column, start: Column, step: Callable[[Column, Column], Column]) -> Column:
-    return F.aggregate(values, start, step)
-
-
 def running(df: DataFrame, out: str, values: Column, start: Column, step: Callable[[Column, Column], Column]) -> DataFrame:
     """Add ``out``: for each entry of ``values`` the fold of all entries before it, and last that of all."""
     df = compute_once(df, __values=values)
     size = F.size("__values")
     width = F.greatest(F.ceil(F.sqrt(size)).cast("int"), F.lit(1))
     blocks = F.sequence(F.lit(0), F.floor(size / width).cast("int"))
-    df = compute_once(df, __width=width, __sums=F.transform(blocks, lambda b: _fold(F.slice("__values", b * width + 1, width), start, step)))
-    df = compute_once(df, __base=F.transform(F.sequence(F.lit(1), F.size("__sums")), lambda k: _fold(F.slice("__sums", F.lit(1), k - 1), start, step)))
+    df = compute_once(df, __width=width, __blocks=F.transform(blocks, lambda b: F.slice("__values", b * width + 1, width)))
+    df = compute_once(df, __sums=F.transform("__blocks", lambda x: F.aggregate(x, start, step)))
+    df = compute_once(df, __base=F.transform(F.sequence(F.lit(1), F.size("__sums")), lambda k: F.aggregate(F.slice("__sums", F.lit(1), k - 1), start, step)))
     places = F.sequence(F.lit(0), F.size("__values"))
     block = lambda i: F.floor(i / F.col("__width")).cast("int")
-    within = lambda i: F.slice("__values", block(i) * F.col("__width") + 1, i - block(i) * F.col("__width"))
-    df = compute_once(df, **{out: F.transform(places, lambda i: _fold(within(i), F.get("__base", block(i)), step))})
-    return df.drop("__values", "__width", "__sums", "__base")
+    # a block is a short array of its own: a slice costs its length, not the whole array's
+    within = lambda i: F.slice(F.get("__blocks", block(i)), F.lit(1), i - block(i) * F.col("__width"))
+    df = compute_once(df, **{out: F.transform(places, lambda i: F.aggregate(within(i), F.get("__base", block(i)), step))})
+    return df.drop("__values", "__width", "__blocks", "__sums", "__base")
 
 
 # --------------------------------------------------------------- matches ----
@@ -121,6 +119,18 @@ def base_spans(df: DataFrame) -> DataFrame:
     return compute_once(df, base=F.array_sort(F.concat(*(F.col(f"__{k}") for k in PATTERNS)))).drop(*(f"__{k}" for k in PATTERNS))
 
 
+def apart(df: DataFrame, tokens: str, out: str) -> DataFrame:
+    """Add ``out``: the tokens that touch no base span. Both lie in one order of starts: a token is apart if no span before it reaches into it and none after it starts in it."""
+    far = F.lit(2**62)
+    row = lambda s, is_token: F.struct(s["start"].alias("start"), F.lit(is_token).alias("is_token"), s["end"].alias("end"), s["kind_no"].alias("kind_no"), s["before"].alias("before"), s["value"].alias("value"))
+    df = compute_once(df, __all=F.array_sort(F.concat(F.transform("base", lambda s: row(s, 0)), F.transform(tokens, lambda s: row(s, 1)))))
+    df = running(df, "__reach", F.transform("__all", lambda e: F.when(e["is_token"] == 0, e["end"]).otherwise(F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda a, b: F.greatest(a, b))
+    df = running(df, "__next", F.reverse(F.transform("__all", lambda e: F.when(e["is_token"] == 0, e["start"]).otherwise(far))), far, lambda a, b: F.least(a, b))
+    last = F.size("__all") - 1
+    marked = F.transform("__all", lambda e, i: F.struct(e.alias("e"), ((e["is_token"] == 1) & (F.get("__reach", i) <= e["start"]) & (F.get("__next", last - i) >= e["end"])).alias("apart")))
+    return compute_once(df, **{out: F.transform(F.filter(marked, lambda m: m["apart"]), lambda m: m["e"])}).drop("__all", "__reach", "__next")
+
+
 def context(before: Column) -> Column:
     """The last two words, lower-cased, digits as 0; empty if there is none."""
     return F.regexp_replace(F.lower(F.regexp_extract(before, r"(\S+\s+)?\S+\s*$", 0)), "[0-9]", "0")
@@ -146,12 +156,12 @@ def find(docs: DataFrame, rounds: int = ROUNDS, confident: float = CONFIDENT, su
     rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
     rows = base_spans(rows)
     rows = places(rows, "token", len(PATTERNS), TOKEN, F.col("text").rlike("[0-9]"), lambda v: F.lit(True))
-    apart = lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
+    rows = apart(rows, "token", "apart")
     instance = lambda s: F.struct(context(s["before"]).alias("pattern"), F.xxhash64(F.lower(s["value"])).alias("instance"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"))
     plain = lambda s: F.struct(s["start"].alias("start"), s["kind_no"].alias("kind_no"), s["end"].alias("end"))
     likely = lambda s: (F.length(s["value"]).between(LEAST_CHARS, MOST_CHARS)) & (F.length(digits_of(s["value"])) >= LEAST_DIGITS)
     shaped = lambda t: F.struct(t["pattern"].alias("pattern"), t["instance"].alias("instance"), t["start"].alias("start"), t["end"].alias("end"), likely(t).alias("likely"))
-    rows = rows.select("doc_id", F.xxhash64("text").alias("text_key"), F.transform("base", plain).alias("base"), F.transform(F.transform("base", instance), shaped).alias("seeds"), F.transform(F.transform(F.filter("token", apart), instance), shaped).alias("tokens"))
+    rows = rows.select("doc_id", F.xxhash64("text").alias("text_key"), F.transform("base", plain).alias("base"), F.transform(F.transform("base", instance), shaped).alias("seeds"), F.transform(F.transform(F.col("apart"), instance), shaped).alias("tokens"))
     rows = materialize(rows, "pii-spans")
     seen = rows.select(F.explode("seeds").alias("s"), F.lit(1).alias("seed")).unionByName(rows.select(F.explode("tokens").alias("s"), F.lit(0).alias("seed")))
     pairs = seen.select("s.pattern", "s.instance", "seed").where("pattern <> ''").groupBy("pattern", "instance").agg(F.max("seed").alias("seed"))

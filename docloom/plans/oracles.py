@@ -13,6 +13,9 @@ from docloom.operators.context import CONTEXT_PREDICATES, HEADINGS, PROMPT
 from docloom.plans import standin as D
 
 
+TABLE_NAMES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+
+
 def lit(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -375,6 +378,12 @@ ORACLES: dict[str, str] = {
                grouping(folder) = 1 AND count(*) < 50 AS below_minimum
         FROM (SELECT text, regexp_extract(source_path, '([^/]+)/[^/]+$', 1) AS folder FROM bronze) GROUP BY ROLLUP (folder)"""),
     "read_table": "SELECT s_suppkey, s_name, s_acctbal FROM supplier",
+    "overwrite_table": "SELECT o_orderpriority, count(*) AS n_orders FROM orders GROUP BY ALL",
+    "materialized_view": "SELECT n_name, count(*) AS customers FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL",
+    "read_stream_table": "SELECT s_suppkey, s_name, s_acctbal FROM supplier",
+    "ingest_batch": f"SELECT unnest([{strings(TABLE_NAMES)}]) AS table_name, true AS whole",
+    "ingest_stream": f"SELECT unnest([{strings(TABLE_NAMES)}]) AS table_name, true AS whole",
+    "extract_with_model": "SELECT doc_id, '{\"characters\": ' || (length('Read: ') + length(text)) || '}' AS result FROM documents",
     "append_positional": """SELECT 'supplier' AS kind, s_name AS name, s_acctbal AS balance FROM supplier
         UNION ALL SELECT 'customer', c_name, c_acctbal FROM customer""",
     "ctas_grouped": sql("summary", "SELECT company, fiscal_period, ai_investment_category, count(*) AS doc_count FROM summary GROUP BY ALL"),

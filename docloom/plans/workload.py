@@ -80,12 +80,70 @@ def append_positional(t: Tables) -> DataFrame:
     """Customers appended to suppliers although their columns come in another order."""
     base = t("supplier").select(F.lit("supplier").alias("kind"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("balance"))
     extra = t("customer").select(F.col("c_acctbal").alias("balance"), F.lit("customer").alias("kind"), F.col("c_name").alias("name"))
-    return ST.append_positional(base, extra)
+    name = fresh_table("parties")
+    ST.overwrite_table(base, name)
+    ST.append_by_name(extra, name)
+    return ST.read_table(t.spark, name)
 
 
 @query
 def ctas_grouped(t: Tables) -> DataFrame:
-    return store(S.analysis_rows(t.stored("summary")), "analysis")
+    return ST.overwrite_table(S.analysis_rows(t.stored("summary")), fresh_table("analysis"))
+
+
+def fresh_table(label: str) -> str:
+    """A table name of this call's own."""
+    return f"docloom_{label}_{uuid.uuid4().hex}"
+
+
+@query
+def overwrite_table(t: Tables) -> DataFrame:
+    """The second write replaces the first one's rows and columns."""
+    name = fresh_table("orders")
+    ST.overwrite_table(t("nation").select("n_name"), name)
+    return ST.overwrite_table(t("orders").groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n_orders")), name)
+
+
+@query
+def materialized_view(t: Tables) -> DataFrame:
+    named = t("customer").join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return ST.materialized_view(t.spark, fresh_table("customers"), lambda: named.groupBy("n_name").agg(F.count(F.lit(1)).alias("customers")), {"quality": "gold"})
+
+
+@query
+def read_stream_table(t: Tables) -> DataFrame:
+    """A stored table streamed into another; a second run finds nothing new."""
+    folder = f"{scratch_folder(t.spark)}/stream-{uuid.uuid4().hex}"
+    t("supplier").select("s_suppkey", "s_name", "s_acctbal").write.parquet(f"{folder}/in")
+    for _ in range(2):
+        ST.streaming_table(ST.read_stream_table(t.spark, f"{folder}/in"), f"{folder}/out", f"{folder}/state")
+    return ST.read_table(t.spark, f"{folder}/out")
+
+
+def _files(files: DataFrame) -> DataFrame:
+    """Name of the table a file belongs to, and whether its content came whole."""
+    whole = F.col("file_size_bytes") == F.octet_length("content")
+    return files.select(F.regexp_extract("source_path", r"([a-z]+)\.parquet", 1).alias("table_name"), whole.alias("whole"))
+
+
+@query
+def ingest_batch(t: Tables) -> DataFrame:
+    return _files(SF.ingest_batch(t.spark, t.sf_dir, "*.parquet")).groupBy("table_name").agg(F.every("whole").alias("whole"))
+
+
+@query
+def ingest_stream(t: Tables) -> DataFrame:
+    """The table files as a stream of binary rows, two files a batch."""
+    folder = f"{scratch_folder(t.spark)}/stream-{uuid.uuid4().hex}"
+    ST.streaming_table(_files(SF.ingest_stream(t.spark, t.sf_dir, "*.parquet", 2)), f"{folder}/out", f"{folder}/state")
+    return ST.read_table(t.spark, f"{folder}/out").groupBy("table_name").agg(F.every("whole").alias("whole"))
+
+
+@query
+def extract_with_model(t: Tables) -> DataFrame:
+    """A rule in the place of a user's model: it answers with the length of its prompt."""
+    answer = lambda prompts: [f'{{"characters": {len(p)}}}' for p in prompts]
+    return TR.extract_with_model(t("documents").select("doc_id", "text"), answer, "Read: ", text="text").select("doc_id", "result")
 
 
 @query

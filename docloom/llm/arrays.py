@@ -189,9 +189,17 @@ def fraction_of(n_rows: int, wanted: int) -> float:
 
 
 def bounded_sample(df: DataFrame, wanted: int, *columns: str) -> DataFrame:
-    """At most ``wanted`` rows, chosen by a hash of ``columns``: a share of the rows, then a limit on that share."""
-    share = fraction_of(df.count(), wanted)
-    rank = F.xxhash64(*columns)
-    if share < 1.0:
-        df = df.where(rank < F.lit(int(-(2**63) + share * 2**64)))
-    return df.orderBy(rank).limit(wanted)
+    """At most ``wanted`` rows, those whose hash of ``columns`` is smallest; all rows where they are no more.
+
+    Only hashes are sorted for the cut; the rows stay in their tasks, unless so
+    many share the last hash that a limit must choose among them.
+    """
+    n_rows, rank = df.count(), F.xxhash64(*columns)
+    if n_rows <= wanted:
+        return df
+    likely = rank < F.lit(int(-(2**63) + fraction_of(n_rows, wanted) * (2**64 - 1)))
+    last = df.where(likely).select(rank.alias("rank")).orderBy("rank").limit(wanted).agg(F.max("rank")).first()[0]
+    if last is None:  # few distinct hashes, none of them likely
+        return df.orderBy(rank).limit(wanted)
+    kept = df.where(rank <= F.lit(last))
+    return kept if kept.count() <= wanted else kept.orderBy(rank).limit(wanted)

@@ -86,7 +86,7 @@ def count_grams(labelled: DataFrame, buckets: int) -> DataFrame:
 
 def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[list[str], np.ndarray]:
     """Languages in order and their log probabilities (bucket x language), the prior in an extra last row."""
-    sample = bounded_sample(labelled.where("lang IS NOT NULL").select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("text")), rows, "doc_id", "lang", "text")
+    sample = bounded_sample(labelled.where("lang IS NOT NULL").select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("text")), rows, "doc_id", "lang")
     held = sample.groupBy("lang").count().orderBy("lang").collect()
     langs = [r["lang"] for r in held]
     if not langs:

@@ -197,3 +197,12 @@ def test_run_is_the_stages_one_after_the_other(spark):
         docs = spark.createDataFrame(out.collect(), out.schema)
     whole = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert sorted(map(tuple, whole.collect()), key=repr) == sorted(map(tuple, docs.collect()), key=repr)
+
+
+def test_samples_are_bounded_whatever_repeats(spark):
+    from docloom.llm.arrays import bounded_sample
+
+    for rows in (spark.range(500), spark.range(500).selectExpr("id % 3 AS id"), spark.range(500).selectExpr("1 AS id")):
+        assert bounded_sample(rows, 1000, "id").count() == 500
+        assert 0 < bounded_sample(rows, 50, "id").count() <= 50
+        assert bounded_sample(rows, 50, "id").count() == 50 or rows.distinct().count() < 50

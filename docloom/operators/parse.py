@@ -16,9 +16,16 @@ ELEMENT = "struct<id:int,type:string,content:string,page_id:int>"
 ELEMENTS = f"array<{ELEMENT}>"
 
 _HIDDEN = r"(?is)<script(?:\s[^>]*)?>.*?</script>|<style(?:\s[^>]*)?>.*?</style>|<!--.*?-->"
-_BLOCK = r"(?is)<(?:h[1-6]|p|li)(?:\s[^>]*)?>.*?</(?:h[1-6]|p|li)>"
-_TITLE = r"(?is)<title(?:\s[^>]*)?>(.*?)</title>"
+# Tags that end the text before them; all others stand inside a text.
+BLOCK_TAGS = (
+    "address|article|aside|blockquote|body|caption|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|head|header|hr|html|"
+    "legend|li|main|nav|ol|option|p|pre|section|table|tbody|td|tfoot|th|thead|title|tr|ul"
+)
+BLOCK = rf"(?is)<(/?(?:{BLOCK_TAGS}))(?:\s[^>]*)?/?>"
+KINDS = {"title": "title", "li": "list_item", "td": "table_cell", "th": "table_cell", "pre": "preformatted"}
 _TAG = r"<[^>]*>"
+_OPEN, _CLOSE = "\x01", "\x02"
+PAGE_BREAK = "\f"
 
 
 def decode_content(content: Column | str) -> Column:
@@ -26,20 +33,20 @@ def decode_content(content: Column | str) -> Column:
     return F.make_valid_utf8(F.col(content).cast("string") if isinstance(content, str) else content.cast("string"))
 
 
-def _numbered(kinds_and_texts: Column) -> Column:
+def _numbered(rows: Column) -> Column:
     return F.transform(
-        kinds_and_texts,
+        rows,
         lambda e, i: F.struct(
             i.cast("int").alias("id"),
             e["type"].alias("type"),
             e["content"].alias("content"),
-            F.lit(0).alias("page_id"),
+            e["page_id"].alias("page_id"),
         ),
     )
 
 
-def _pair(kind: Column, content: Column) -> Column:
-    return F.struct(kind.alias("type"), content.alias("content"))
+def _row(kind: Column, content: Column, page: Column) -> Column:
+    return F.struct(kind.alias("type"), content.alias("content"), page.cast("int").alias("page_id"))
 
 
 def _visible(markup: Column) -> Column:
@@ -47,33 +54,34 @@ def _visible(markup: Column) -> Column:
 
 
 def html_elements(html: Column | str) -> Column:
-    """Title, headers, paragraphs and list items of a page, in page order."""
-    page = F.regexp_replace(html, _HIDDEN, "")
-    title = F.regexp_extract_all(page, F.lit(_TITLE), 1)
-    blocks = F.regexp_extract_all(page, F.lit(_BLOCK), 0)
-
-    def block(markup: Column) -> Column:
-        tag = F.lower(F.substring(markup, 2, 1))
-        kind = (
-            F.when(tag == "h", "section_header").when(tag == "l", "list_item").otherwise("text")
-        )
-        return _pair(kind, _visible(markup))
+    """All visible text of a page, in page order: what stands between two block tags is one element.
+
+    The tag in front names its type: title, section_header, list_item,
+    table_cell, preformatted, and text for any other or none.
+    """
+    page = F.translate(F.regexp_replace(html, _HIDDEN, ""), _OPEN + _CLOSE, "")
+    marked = F.concat(F.lit(_CLOSE), F.regexp_replace(page, BLOCK, f"{_OPEN}$1{_CLOSE}"))
 
-    head = F.transform(F.slice(title, 1, 1), lambda t: _pair(F.lit("title"), _visible(t)))
-    return _numbered(F.concat(head, F.transform(blocks, block)))
+    def element(piece: Column) -> Column:
+        tag = F.lower(F.substring_index(piece, _CLOSE, 1))
+        kind = F.when(tag.rlike("^h[1-6]$"), "section_header")
+        for name, label in KINDS.items():
+            kind = kind.when(tag == name, label)
+        return _row(kind.otherwise("text"), _visible(F.substring_index(piece, _CLOSE, -1)), F.lit(0))
+
+    return _numbered(F.filter(F.transform(F.split(marked, _OPEN), element), lambda e: e["content"].rlike(r"\S")))
 
 
 def text_elements(text: Column | str, title_first: bool = False) -> Column:
-    """One element per non-blank line; line 0 is the title only when asked for."""
-    lines = F.filter(F.split(text, "\n"), lambda line: F.trim(line) != "")
-    if not title_first:
-        return _numbered(F.transform(lines, lambda line: _pair(F.lit("text"), line)))
-    return _numbered(
-        F.transform(
-            lines,
-            lambda line, i: _pair(F.when(i == 0, "title").otherwise("text"), line),
-        )
-    )
+    """One element per non-blank line; form feeds break pages. Line 0 is the title only when asked for."""
+
+    def lines(page: Column, number: Column) -> Column:
+        return F.transform(F.filter(F.split(page, "\n"), lambda line: F.trim(line) != ""), lambda line: _row(F.lit("text"), line, number))
+
+    rows = F.flatten(F.transform(F.split(text, PAGE_BREAK), lines))
+    if title_first:
+        rows = F.transform(rows, lambda e, i: _row(F.when(i == 0, "title").otherwise("text"), e["content"], e["page_id"]))
+    return _numbered(rows)
 
 
 def to_variant(elements: Column) -> Column:

@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 from docloom.functions import vocab as V
+from docloom.operators.parse import BLOCK
 from docloom.operators.context import CONTEXT_PREDICATES, HEADINGS, PROMPT
 from docloom.plans import standin as D
 
@@ -111,14 +112,14 @@ RELATIONS: dict[str, tuple[str, str]] = {
         WITH bare AS (SELECT page_id, regexp_replace(html,
                  '(?is)<script(?:\s[^>]*)?>.*?</script>|<style(?:\s[^>]*)?>.*?</style>|<!--.*?-->', '', 'g') AS html FROM pages),
         found AS (
-          SELECT page_id, 0 AS ord, 'title' AS element_type, regexp_extract(html, '(?is)<title(?:\s[^>]*)?>(.*?)</title>', 1) AS content FROM bare
-          UNION ALL
-          SELECT page_id, i, CASE lower(b[i][2]) WHEN 'h' THEN 'section_header' WHEN 'l' THEN 'list_item' ELSE 'text' END, b[i]
-          FROM (SELECT page_id, regexp_extract_all(html, '(?is)<(?:h[1-6]|p|li)(?:\s[^>]*)?>.*?</(?:h[1-6]|p|li)>') AS b FROM bare),
-               unnest(generate_series(1, len(b))) g(i))
-        SELECT page_id, (row_number() OVER (PARTITION BY page_id ORDER BY ord) - 1)::INTEGER AS element_id, element_type,
+          SELECT page_id, i AS ord, lower(split_part(p[i], chr(2), 1)) AS tag, split_part(p[i], chr(2), 2) AS content
+          FROM (SELECT page_id, string_split(chr(2) || regexp_replace(html, '""" + BLOCK + r"""', chr(1) || '\1' || chr(2), 'g'), chr(1)) AS p FROM bare),
+               unnest(generate_series(1, len(p))) g(i))
+        SELECT page_id, (row_number() OVER (PARTITION BY page_id ORDER BY ord) - 1)::INTEGER AS element_id,
+               CASE WHEN regexp_full_match(tag, 'h[1-6]') THEN 'section_header' WHEN tag = 'title' THEN 'title' WHEN tag = 'li' THEN 'list_item'
+                    WHEN tag IN ('td', 'th') THEN 'table_cell' WHEN tag = 'pre' THEN 'preformatted' ELSE 'text' END AS element_type,
                trim(regexp_replace(content, '<[^>]*>', '', 'g')) AS content
-        FROM found"""),
+        FROM found WHERE regexp_matches(trim(regexp_replace(content, '<[^>]*>', '', 'g')), '\S')"""),
     "sectioned": ("elements", """
         SELECT *, sum((element_type = 'section_header')::INT) OVER (PARTITION BY page_id ORDER BY element_id) AS section FROM elements"""),
     "page_parts": ("sectioned", """

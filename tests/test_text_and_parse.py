@@ -53,12 +53,25 @@ def test_html_elements(spark):
         (0, "title", "A page"),
         (1, "section_header", "Risk Factors"),
         (2, "text", "First."),
-        (3, "list_item", "one"),
-        (4, "list_item", "two"),
-        (5, "text", "Last"),
+        (3, "preformatted", "not a paragraph"),
+        (4, "list_item", "one"),
+        (5, "list_item", "two"),
+        (6, "text", "Last"),
     ]
 
 
+def test_all_visible_text_of_a_page_is_in_its_elements(spark):
+    page = "loose<div>in a div<p>par<table><tr><th>h</th><td>c <b>1</b></td></tr></table>after<footer>foot"
+    elements = one(spark, page).select(P.html_elements("x")).first()[0]
+    assert [(e.type, e.content) for e in elements] == [
+        ("text", "loose"), ("text", "in a div"), ("text", "par"), ("table_cell", "h"), ("table_cell", "c 1"), ("text", "after"), ("text", "foot")]
+
+
+def test_form_feeds_break_pages(spark):
+    elements = one(spark, "a\n\x0cb\nc\x0c\n\x0cd").select(P.text_elements("x", title_first=True)).first()[0]
+    assert [(e.type, e.content, e.page_id) for e in elements] == [("title", "a", 0), ("text", "b", 1), ("text", "c", 1), ("text", "d", 3)]
+
+
 def test_parse_chooses_by_content_and_reads_bytes(spark):
     docs = spark.createDataFrame([(1, bytearray(HTML, "utf-8")), (2, bytearray(b"plain \xff text"))], "id int, content binary")
     parsed = {r.id: r.elements for r in P.parse_document(docs, "content", "auto").collect()}

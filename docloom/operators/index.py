@@ -1,0 +1,36 @@
+"""The search index: chunks with their words and vectors, kept in step with their source."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from docloom.functions import text as T
+from docloom.operators.embed import embed_text
+from docloom.session import materialize
+from docloom.sources.tables import chunk_changes
+
+BUILT = ("tokens", "vector")
+
+
+def build_index(chunks: DataFrame, text: str = "chunk_text", embedded: str = "chunk_to_embed", dim: int = 64) -> DataFrame:
+    """Chunks with ``tokens`` of ``text`` and the ``vector`` of ``embedded``."""
+    return embed_text(chunks.withColumn("tokens", T.tokens(text)), embedded, dim, into="vector")
+
+
+def stale_chunks(changes: DataFrame, chunks: DataFrame, key: str = "chunk_id") -> DataFrame:
+    """Chunks that were inserted or updated: what a sync has to build."""
+    return chunks.join(changes.where(F.col("change").isin("insert", "update")).select(key), key, "left_semi").select(chunks.columns)
+
+
+def sync_index(index: DataFrame, chunks: DataFrame, key: str = "chunk_id", text: str = "chunk_text",
+               embedded: str = "chunk_to_embed", dim: int = 64) -> DataFrame:
+    """The index of the present chunks: only inserted and updated rows are split and embedded, the rest is kept.
+
+    The change set is stored, as both halves read it; content hashes are what it shuffles.
+    """
+    source = [c for c in index.columns if c not in BUILT]
+    changes = materialize(chunk_changes(index.select(source), chunks.select(source), key), "index-changes")
+    kept = index.join(changes.where(F.col("change") == "same").select(key), key, "left_semi").select(*source, *BUILT)
+    fresh = build_index(stale_chunks(changes, chunks.select(source), key), text, embedded, dim)
+    return kept.unionByName(fresh)

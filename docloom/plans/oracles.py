@@ -393,6 +393,10 @@ ORACLES: dict[str, str] = {
     "apply_changes": sql("changes versions", """
         SELECT chunk_id, chunk_to_embed || CASE change WHEN 'update' THEN ' (revised)' ELSE '' END AS chunk_to_embed, company, document_type
         FROM versions JOIN changes USING (chunk_id) WHERE change <> 'delete'"""),
+    "sync_index": sql("changes versions", f"""
+        SELECT chunk_id, chunk_to_embed || CASE change WHEN 'update' THEN ' (revised)' ELSE '' END AS chunk_to_embed,
+               len({tokens('chunk_text')})::INTEGER AS n_tokens, 64 AS dim
+        FROM versions JOIN changes USING (chunk_id) WHERE change <> 'delete'"""),
     "silver_stream": sql("silver", f"SELECT * FROM silver WHERE source_path NOT LIKE '%/Earnings Call/%'"),
     # projections and predicates
     "silver": sql("silver", "SELECT * FROM silver"),
@@ -542,8 +546,8 @@ ORACLES: dict[str, str] = {
         WHERE a.subject ILIKE 'supplier%' AND a.predicate = 'supplies_to' AND b.predicate = 'uses_technology' AND b.object NOT ILIKE 'supplier%'"""),
     "pair_relations": sql("relationships", """SELECT DISTINCT subject, predicate, object, company AS mentioned_in, fiscal_period FROM relationships
         WHERE (subject ILIKE 'customer%' AND object = 'BUILDING') OR (subject = 'BUILDING' AND object ILIKE 'customer%')"""),
-    "title_join": sql("all_entities relationships", """SELECT entity_name AS chief_person, description AS title, predicate, object AS mentioned_entity
-        FROM all_entities e JOIN relationships r ON e.entity_name = r.subject WHERE entity_type = 'Person' AND description ILIKE '%chief%'"""),
+    "title_join": sql("entities relationships", """SELECT entity_name AS chief_person, description AS title, predicate, object AS mentioned_entity
+        FROM entities e JOIN relationships r ON e.entity_name = r.subject WHERE entity_type = 'Person' AND description ILIKE '%chief%'"""),
     "entity_lookup": sql("relationships", """SELECT subject, predicate, object FROM relationships WHERE subject = 'NATION_3' OR object = 'NATION_3'
         ORDER BY predicate, subject, object LIMIT 20"""),
     "entity_lookup_batch": sql("relationships all_entities", """

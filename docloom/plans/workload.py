@@ -15,6 +15,7 @@ from docloom.operators import classify as C
 from docloom.operators import context as H
 from docloom.operators import extract as X
 from docloom.operators import graph as G
+from docloom.operators import index as IX
 from docloom.operators import parse as P
 from docloom.operators import quality as Q
 from docloom.operators import retrieve as R
@@ -183,6 +184,15 @@ def apply_changes(t: Tables) -> DataFrame:
     return ST.apply_changes(old, new, changes).select("chunk_id", "chunk_to_embed", "company", "document_type")
 
 
+@query
+def sync_index(t: Tables) -> DataFrame:
+    """The index of the first version brought in step with the second."""
+    old, new = _chunk_versions(t)
+    index = store(IX.build_index(old), "index")
+    synced = IX.sync_index(index, store(new, "revised"))
+    return synced.select("chunk_id", "chunk_to_embed", F.size("tokens").alias("n_tokens"), F.size("vector").alias("dim"))
+
+
 @query
 def silver_stream(t: Tables) -> DataFrame:
     """Documents streamed in, silver streamed out, everything available now."""

@@ -161,3 +161,16 @@ def test_stream_to_a_path(spark, tmp_path, rows):
 def test_summary_is_recomputed_from_gold(spark):
     gold = spark.createDataFrame([("A", "P", "T", "C", "S")] * 3, S.SUMMARY_KEYS)
     assert S.ordered_summary(S.investment_summary(gold)).first().document_count == 3
+
+
+def test_an_unchanged_sync_builds_nothing(spark, rows):
+    from docloom.operators import index as IX
+
+    columns = "chunk_id string, chunk_to_embed string, chunk_text string"
+    old = spark.createDataFrame([("a", "x one", "one"), ("b", "x two", "two"), ("c", "x three", "three")], columns)
+    new = spark.createDataFrame([("a", "x one", "one"), ("b", "x two", "two and more"), ("d", "x four", "four")], columns)
+    index = SS.materialize(IX.build_index(old), "index")
+    assert IX.stale_chunks(ST.chunk_changes(old, old), old).count() == 0
+    assert rows(IX.stale_chunks(ST.chunk_changes(old, new), new), "chunk_id") == [("b",), ("d",)]
+    synced = IX.sync_index(index, new)
+    assert rows(synced) == rows(IX.build_index(new)) and rows(IX.sync_index(index, old)) == rows(index)

@@ -29,6 +29,8 @@ from docloom.llm.arrays import Member, WordHasher, arrow_batches, bounded_sample
 SAMPLE_ROWS, SAMPLE_CHARS = 6_000, 6_000
 PASSES, BATCH_ROWS = 10, 16
 ALPHA, BETA, L1, L2 = 4.0, 1.0, 12.0, 0.0
+#: Weight of the rows of label 1: this share of what would make both labels weigh the same.
+BALANCE = 0.5
 #: Coordinates must occur in so many documents of the sample.
 LEAST_DOCS = 3
 SKIPS = (1, 2)
@@ -87,6 +89,8 @@ def fit(labels: np.ndarray, row: np.ndarray, hashes: np.ndarray) -> tuple[np.nda
     own = np.array([int(hashes_of.sum(dtype=np.uint64)) if len(hashes_of := keys[coordinate[begin[i] : begin[i + 1]]]) else 0 for i in range(len(labels))], np.uint64)
     order = np.argsort(mix(own), kind="stable")
 
+    rare = max(1.0, BALANCE * float((len(labels) - labels.sum()) / labels.sum()))  # label 1 is seldom: its rows weigh more
+
     def weights(at: np.ndarray) -> np.ndarray:
         shrunk = np.sign(z[at]) * np.maximum(np.abs(z[at]) - L1 * (at != bias), 0)
         return -shrunk / ((BETA + np.sqrt(n[at])) / ALPHA + L2)
@@ -99,7 +103,7 @@ def fit(labels: np.ndarray, row: np.ndarray, hashes: np.ndarray) -> tuple[np.nda
             of = np.repeat(np.arange(len(rows)), [len(p) for p in parts])
             w = weights(at)
             p = 1 / (1 + np.exp(-np.clip(np.bincount(of, w[back], len(rows)), -35, 35)))
-            g = np.bincount(back, (p - labels[rows])[of], len(at))
+            g = np.bincount(back, ((p - labels[rows]) * np.where(labels[rows] == 1, rare, 1.0))[of], len(at))
             sigma = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / ALPHA
             z[at] += g - sigma * w
             n[at] += g * g

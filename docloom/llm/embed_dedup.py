@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docloom.functions.text import compute_once
 from docloom.llm.components import components
 from docloom.session import materialize
 
@@ -59,12 +60,15 @@ def usable(vector: Column) -> Column:
     return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def unit(vector: Column) -> Column:
-    """The vector at length one; scaled by its largest part first, so that squares neither overflow nor vanish."""
-    largest = F.aggregate(vector, F.lit(0.0), lambda m, x: F.greatest(m, F.abs(x)))
-    scaled = F.transform(vector, lambda x: x / largest)
-    length = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda s, x: s + x * x))
-    return F.transform(scaled, lambda x: x / length)
+def with_unit(df: DataFrame, vector: str) -> DataFrame:
+    """Add ``unit``, the vector at length one; scaled by its largest part first, so that squares neither overflow nor vanish.
+
+    Each step is a column of its own: inside a lambda an expression would be computed anew for every part.
+    """
+    df = compute_once(df, __largest=F.aggregate(vector, F.lit(0.0), lambda m, x: F.greatest(m, F.abs(x))))
+    df = compute_once(df, __scaled=F.transform(vector, lambda x: x / F.col("__largest")))
+    df = compute_once(df, __length=F.sqrt(F.aggregate("__scaled", F.lit(0.0), lambda s, x: s + x * x)))
+    return compute_once(df, unit=F.transform("__scaled", lambda x: x / F.col("__length"))).drop("__largest", "__scaled", "__length")
 
 
 def projected(classes: DataFrame, planes: int, projections: int) -> DataFrame:
@@ -146,7 +150,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, recall: float =
     rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
     rows = rows.withColumn("embedding", F.when(usable(F.col("embedding")), F.col("embedding")))
     grouped = rows.where("embedding IS NOT NULL").groupBy("embedding").agg(F.min("vec_id").alias("least"), F.count("*").alias("n"))
-    classes = materialize(grouped.select(F.monotonically_increasing_id().alias("cid"), "embedding", unit(F.col("embedding")).alias("unit"), "least", "n"), "vector-classes")
+    classes = materialize(with_unit(grouped.withColumn("cid", F.monotonically_increasing_id()), "embedding"), "vector-classes")
     planes, projections = calibrate(classes.count(), cosine, recall)
     counted = collisions(projected(classes, planes, projections)).groupBy("a", "b").agg(F.count("*").alias("n")).where(F.col("n") >= COUNT)
     units = classes.select("cid", "unit")

@@ -10,6 +10,10 @@ groups. More groups are taken for more fingerprints, so a key's rows stay few on
 average; keys that still hold more than ``HOT_ROWS`` are split again, by the same rule
 on the bits outside the key. No rule leaves a pair out.
 
+With ``second``, each text has a fingerprint of 64 more bits. A pair then links if one of
+the two differs in at most ``distance`` bits and the other in at most ``second``: the wider
+one turns away texts that are near by chance, and both are searched.
+
 Within a key the fingerprints are sorted by Gray rank, in which neighbours share
 bits. Groups of ``FAN`` neighbours make nodes, groups of nodes the next level: a node
 keeps the bits that all below it share and that its parent hasn't taken. A search
@@ -168,14 +172,14 @@ def join_labels(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
         a, b = a[apart], b[apart]
 
 
-def links_of(cid: np.ndarray, code: np.ndarray, second: np.ndarray, group: np.ndarray, distance: int = DISTANCE) -> tuple[np.ndarray, np.ndarray]:
+def links_of(cid: np.ndarray, code: np.ndarray, other: np.ndarray, group: np.ndarray, distance: int = DISTANCE, second: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Links (cid, first of its group there) that connect all classes of a key that are near."""
     order = np.lexsort((gray_rank(code), group))
-    cid, code, second, group = cid[order], code[order], second[order], group[order]
+    cid, code, other, group = cid[order], code[order], other[order], group[order]
     index, label = GrayIndex(code, group, distance), np.arange(len(code))
     for low in range(0, len(code), 1 << 14):
         for a, b in index.pairs(low, min(low + (1 << 14), len(code))):
-            near = np.bitwise_count(second[a] ^ second[b]) <= distance
+            near = np.bitwise_count(other[a] ^ other[b]) <= second
             join_labels(label, a[near], b[near])
     moved = label != np.arange(len(code))
     return cid[moved], cid[label[moved]]
@@ -205,8 +209,16 @@ def keyed(masks: list[int]) -> Column:
     return F.explode(F.array(*(F.lit(signed(m)) for m in masks))).alias("mask")
 
 
-def links(classes: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """Links (a, b) that connect all near classes (columns cid, simhash, simhash2)."""
+def links(classes: DataFrame, distance: int = DISTANCE, second: int = 0) -> DataFrame:
+    """Links (a, b) that connect all near classes (columns cid, simhash, simhash2; the last is zero without ``second``)."""
+    found = _links(classes, distance, second)
+    if second:
+        swapped = classes.select("cid", F.col("simhash2").alias("simhash"), F.col("simhash").alias("simhash2"))
+        found = found.unionByName(_links(swapped, distance, second))
+    return found
+
+
+def _links(classes: DataFrame, distance: int, second: int) -> DataFrame:
     blocks = block_count(classes.count(), distance)
     part = F.col("simhash").bitwiseAND(F.col("mask")).alias("part")
     columns = ["cid", "simhash", "simhash2"]
@@ -223,8 +235,8 @@ def links(classes: DataFrame, distance: int = DISTANCE) -> DataFrame:
             dealt = dealt.unionByName(split.select(*columns, F.xxhash64("mask1", "part1", "mask", part).alias("key")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for cid, code, second, group in whole_keys(batches, [*columns, "key"]):
-            a, b = links_of(cid, code.view(np.uint64), second.view(np.uint64), group, distance)
+        for cid, code, other, group in whole_keys(batches, [*columns, "key"]):
+            a, b = links_of(cid, code.view(np.uint64), other.view(np.uint64), group, distance, second)
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     return dealt.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
@@ -247,16 +259,16 @@ def whole_keys(batches: Iterator[pa.RecordBatch], columns: list[str], rows: int
         yield [np.concatenate(x) for x in zip(*held, strict=True)]
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, second: bool = False, keys: tuple[str, ...] = ()) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, second: int = 0, keys: tuple[str, ...] = ()) -> DataFrame:
     """Rows (doc_id, keys, simhash, component, component_id) for every document.
 
     ``component_id`` is the smallest doc_id reachable over links, its own included;
     ``component`` names the group itself, which differs from any other group's.
     """
-    prints = materialize(with_fingerprint(docs.select("doc_id", "text", *keys), ["doc_id", *keys], shingle, second), "fingerprints")
+    prints = materialize(with_fingerprint(docs.select("doc_id", "text", *keys), ["doc_id", *keys], shingle, bool(second)), "fingerprints")
     grouped = prints.groupBy("simhash", "simhash2").agg(F.min("doc_id").alias("least"))
     classes = materialize(grouped.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    groups = components(links(classes, distance)).select(F.col("node").alias("cid"), "label")
+    groups = components(links(classes, distance, second)).select(F.col("node").alias("cid"), "label")
     named = classes.join(groups, "cid", "left").withColumn("component", F.coalesce("label", "cid"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     found = named.join(least, "component").select("simhash", "simhash2", "component", "component_id")

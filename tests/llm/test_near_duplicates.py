@@ -162,3 +162,12 @@ def test_small_chunks_lose_no_collision(spark, monkeypatch):
     monkeypatch.setattr(embed_dedup, "ROWS", 7)
     monkeypatch.setattr(embed_dedup, "PAIRS", 5)
     assert sorted(map(tuple, embed_dedup.near_duplicates(vectors).collect())) == whole
+
+
+def test_either_fingerprint_may_be_the_nearer_one(spark):
+    near, far = (1 << 10) - 1, (1 << 14) - 1
+    codes = [(0, 0), (near, far), (1 << 40, 1 << 50 | far << 20), (1 << 40 | far << 20, 1 << 50 | near << 2 | far << 20)]
+    classes = spark.createDataFrame([(n, a, b) for n, (a, b) in enumerate(codes)], "cid long, simhash long, simhash2 long")
+    found = {r["node"]: r["label"] for r in components(simhash.links(classes, 10, 14)).collect()}
+    assert found[0] == found[1] and found[2] == found[3] and found[0] != found[2]
+    assert components(simhash.links(classes, 9, 14)).count() == 0

@@ -47,6 +47,8 @@ from docloom.session import materialize
 SHINGLE, SEED, DISTANCE = 4, 42, 4
 #: Rows that a key holds on average at most, and beyond which a key is split again.
 MEAN_ROWS, HOT_ROWS = 2_000, 50_000
+#: Bits that a key has at least: fewer give too few keys to spread over many tasks.
+LEAST_BITS = 10
 FAN, LEVELS = 16, 3
 #: (query, node) pairs looked at together.
 FRONT = 1 << 20
@@ -187,9 +189,10 @@ def links_of(cid: np.ndarray, code: np.ndarray, other: np.ndarray, group: np.nda
 
 # ------------------------------------------------------------- the join -----
 def block_count(n: int, distance: int, bits: int = 64) -> int:
-    """Fewest groups of bits for which a key's rows are few on average."""
+    """Fewest groups of bits for which a key has bits enough to spread and its rows are few on average."""
     for blocks in range(distance + 1, distance + 5):
-        if n <= MEAN_ROWS * 2.0 ** (bits * (blocks - distance) / blocks):
+        width = bits * (blocks - distance) / blocks
+        if width >= LEAST_BITS and n <= MEAN_ROWS * 2.0**width:
             break
     return blocks
 

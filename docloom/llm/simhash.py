@@ -56,21 +56,26 @@ LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 
 
 # --------------------------------------------------------- fingerprints -----
+def shingle_hashes(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """Hashes of a text's word shingles in order, of all its words if they are fewer; words are what lies between ASCII white space."""
+    words = text.encode("utf-8", "surrogatepass").translate(LOWER).split() if text else []
+    if not words:
+        return np.zeros(0, np.uint64)
+    digest, joined = xxhash.xxh64_intdigest, b" ".join(words)
+    if len(words) <= shingle:
+        return np.array([digest(joined, SEED)], np.uint64)
+    ends = list(itertools.accumulate(len(w) + 1 for w in words))
+    return np.array([digest(joined[a : b - 1], SEED) for a, b in zip([0, *ends], ends[shingle - 1 :])], np.uint64)
+
+
 def fingerprints(texts: list[str | None], shingle: int = SHINGLE, second: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """SimHash of each text, and one of other bits (zero unless asked for); words are what lies between ASCII white space."""
+    """SimHash of each text, and one of other bits (zero unless asked for)."""
     spread = (np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little")).view(np.uint64).ravel()
-    digest = xxhash.xxh64_intdigest
     out = np.zeros((2, len(texts)), np.uint64)
     for k, text in enumerate(texts):
-        words = text.encode("utf-8", "surrogatepass").translate(LOWER).split() if text else []
-        if not words:
+        hashes = shingle_hashes(text, shingle)
+        if not len(hashes):
             continue
-        joined = b" ".join(words)
-        if len(words) <= shingle:
-            hashes = np.array([digest(joined, SEED)], np.uint64)
-        else:
-            ends = list(itertools.accumulate(len(w) + 1 for w in words))
-            hashes = np.array([digest(joined[a : b - 1], SEED) for a, b in zip([0, *ends], ends[shingle - 1 :])], np.uint64)
         out[0, k] = majority(hashes, spread)
         if second:
             out[1, k] = majority(mix(hashes), spread)

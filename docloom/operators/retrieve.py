@@ -32,6 +32,8 @@ CELL_ROWS, CELL_WEIGHT = 20_000, 20_000_000
 MATRIX_CELLS = 4_000_000
 #: Bytes of centres that every task may hold.
 CENTROID_BYTES = 256 << 20
+#: Share of the true neighbours that approximate search is to find, and queries it is calibrated on.
+RECALL, PROBE_QUERIES = 0.95, 256
 DIGITS = 6
 
 K1, B = 1.2, 0.75
@@ -440,12 +442,46 @@ def _routed(df: DataFrame, vector: str, centroids, probes: int) -> DataFrame:
     return df.mapInArrow(route, schema)
 
 
+def probes_for(recall: float, queries: DataFrame, items: DataFrame, k: int, centroids: np.ndarray, *, query_id: str,
+               item_id: str, query_vector: str, item_vector: str, skip_same: bool = False) -> int:
+    """Fewest lists that hold ``recall`` of the true neighbours of ``PROBE_QUERIES`` queries, found by one exact scan."""
+    some = queries.where(F.exists(query_vector, lambda x: x != 0)).select(query_id, query_vector)
+    some = materialize(some.orderBy(F.xxhash64(query_id)).limit(PROBE_QUERIES), "probe-queries")
+    truth = materialize(vector_topk(some, items, k, query_id=query_id, item_id=item_id, query_vector=query_vector,
+                                    item_vector=item_vector, skip_same=skip_same).select("query_id", "item_id"), "probe-truth")
+    asked = some.select(F.col(query_id).alias("query_id"), F.col(query_vector).alias("q"))
+    stored = items.select(F.col(item_id).alias("item_id"), F.col(item_vector).alias("i"))
+    shared = items.sparkSession.sparkContext.broadcast(centroids)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centres = _unit(shared.value)
+        for batch in batches:
+            if batch.num_rows:
+                near, home = (_matrix(batch.column(c)) @ centres.T for c in "qi")
+                at = near[np.arange(len(near)), home.argmax(axis=1)]
+                yield pa.RecordBatch.from_arrays([pa.array((near >= at[:, None]).sum(axis=1), pa.int32())], names=["place"])
+
+    if len(centroids) == 1:
+        return 1
+    found = truth.join(asked, "query_id").join(stored, "item_id").select("q", "i").mapInArrow(place, "place int")
+    counts = sorted((r["place"], r["count"]) for r in found.groupBy("place").count().collect())  # at most a row per list
+    wanted, seen = recall * sum(n for _, n in counts), 0
+    for place_no, n in counts:
+        seen += n
+        if seen >= wanted:
+            return place_no
+    return len(centroids)
+
+
 def ann_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, *, query_id: str = "query_id",
              item_id: str = "chunk_id", query_vector: str = "vector", item_vector: str = "vector",
-             filters: str | dict | None = None, centroids: np.ndarray | None = None, probes: int = 16,
-             skip_same: bool = False) -> DataFrame:
+             filters: str | dict | None = None, centroids: np.ndarray | None = None, probes: int | None = None,
+             skip_same: bool = False, recall: float = RECALL) -> DataFrame:
     """Approximate cosine top-k: exact scores within the ``probes`` nearest lists of each query.
 
+    Without ``probes``, as many as hold ``recall`` of the true neighbours of a sample
+    of the queries in this corpus, so the share of lists follows the data and its size.
+
     Every item is in the list of its nearest centre. A list is only a routing
     key: its measured size decides into how many cells its items and its
     queries are dealt, so a list holding a third of the corpus becomes many
@@ -456,6 +492,9 @@ def ann_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, *, query_id: st
     stored = _item_side(items, item_id, F.col(item_vector), None)
     if centroids is None:
         centroids = train_centroids(items, item_vector)
+    if probes is None:
+        probes = probes_for(recall, queries, items, k, centroids, query_id=query_id, item_id=item_id,
+                            query_vector=query_vector, item_vector=item_vector, skip_same=skip_same)
     shared = corpus.sparkSession.sparkContext.broadcast(centroids)
     q_list = _routed(asked, "q_payload", shared, probes)
     i_list = _routed(stored, "i_payload", shared, 1)

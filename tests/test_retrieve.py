@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from docloom.operators import retrieve as R
 from docloom.operators.embed import embed_text
+from docloom.plans.workload import QUERIES
 from docloom.sources import tables as ST
 
 
@@ -99,6 +100,20 @@ def test_ann_finds_most_neighbours_and_splits_hot_lists(spark, monkeypatch):
     assert every == want  # all lists probed: exact
 
 
+@pytest.mark.parametrize("lists", [None, 150])
+def test_ann_finds_the_wanted_share_however_many_lists(spark, lists):
+    sf = "/root/testdata/sf0.01"
+    every = spark.read.parquet(f"{sf}/embeddings.parquet")
+    names = dict(query_id="vec_id", item_id="vec_id", query_vector="embedding", item_vector="embedding", skip_same=True)
+    if lists:
+        found = R.ann_topk(every, every, 10, centroids=R.train_centroids(every, "embedding", lists=lists), **names)
+    else:
+        found = QUERIES["ann_topk"](spark, sf)
+    got, want = ranked(found), ranked(R.vector_topk(every, every, 10, **names))
+    hits = [len(set(got.get(q, [])) & set(w)) for q, w in want.items()]
+    assert sum(hits) >= 0.9 * sum(map(len, want.values()))
+
+
 def test_ann_on_tiny_inputs(spark):
     one = spark.createDataFrame([(1, [1.0, 2.0]), (2, None)], "id bigint, v array<double>")
     assert ranked(R.ann_topk(one, one, 3, **KEYS)) == {1: [1]}

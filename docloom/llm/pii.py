@@ -5,9 +5,10 @@ their kind. Places are found without a row for each match: a text is split at th
 matches, and lengths of gaps and matches are added up. Possessive loops and starts
 at run borders keep every expression linear in the text and free of recursion.
 
-Bootstrap: base matches are seed instances. The one or two words in front of an
-instance, lower-cased with digits folded, are a lexical pattern. All other tokens
-with a digit, with the pattern in front of them, are candidate instances. Patterns
+Bootstrap: base matches are seed instances. The last word in front of an instance and
+the last two, lower-cased with digits folded, are two lexical patterns; both are read
+from the text in front, whatever matches lie in it. All other tokens with a digit,
+with the patterns in front of them, are candidate instances. Patterns
 and instances make a graph of distinct pairs. In each of ``ROUNDS`` rounds a pattern
 scores the mean of its instances' scores (seeds 1, others what they have so far), if
 enough distinct instances support it; an instance scores the best of its patterns.
@@ -105,9 +106,12 @@ def _found(text: Column, pattern: str, hint: Column) -> Column:
 def places(df: DataFrame, out: str, kind_no: int, pattern: str, hint: Column, kept: Callable[[Column], Column]) -> DataFrame:
     """Add ``out``: valid matches (start, kind_no, end, before, value) of ``text`` in order."""
     df = compute_once(df, __found=_found(F.col("text"), pattern, hint))
+    # the end of the text up to each match: gaps and matches before it, as far as a context reaches
+    end = lambda a, b: F.substr(F.concat(a, b), F.lit(-CONTEXT_CHARS))
+    df = running(df, "__tail", F.transform("__found", lambda m: end(m["before"], m["value"])), F.lit(""), end)
     df = running(df, "__at", F.transform("__found", lambda m: (m["gap"] + m["size"]).cast("long")), F.lit(0).cast("long"), lambda a, b: a + b)
-    spans = F.transform("__found", lambda m, i: F.struct((F.get("__at", i) + m["gap"]).alias("start"), F.lit(kind_no).alias("kind_no"), (F.get("__at", i) + m["gap"] + m["size"]).alias("end"), m["before"].alias("before"), m["value"].alias("value")))
-    return compute_once(df, **{out: F.filter(spans, lambda s: kept(s["value"]))}).drop("__found", "__at")
+    spans = F.transform("__found", lambda m, i: F.struct((F.get("__at", i) + m["gap"]).alias("start"), F.lit(kind_no).alias("kind_no"), (F.get("__at", i) + m["gap"] + m["size"]).alias("end"), end(F.get("__tail", i), m["before"]).alias("before"), m["value"].alias("value")))
+    return compute_once(df, **{out: F.filter(spans, lambda s: kept(s["value"]))}).drop("__found", "__at", "__tail")
 
 
 def base_spans(df: DataFrame) -> DataFrame:
@@ -132,8 +136,15 @@ def apart(df: DataFrame, tokens: str, out: str) -> DataFrame:
 
 
 def context(before: Column) -> Column:
-    """The last two words, lower-cased, digits as 0; empty if there is none."""
-    return F.regexp_replace(F.lower(F.regexp_extract(before, r"(\S+\s+)?\S+\s*$", 0)), "[0-9]", "0")
+    """The last two words and what parts them from the instance, white space as one space, lower-cased, digits as 0; empty if there is none."""
+    words = F.regexp_extract(F.lower(before), r"(\S+\s+)?\S+\s*$", 0)
+    return F.regexp_replace(F.regexp_replace(words, r"\s+", " "), "[0-9]", "0")
+
+
+def patterns_of(context: Column) -> Column:
+    """Both words, and the last one alone if it has a letter: signs and numbers alone are no cue."""
+    last = F.regexp_extract(context, r"\S*\p{L}\S* ?$", 0)
+    return F.array_distinct(F.array(context, last))
 
 
 # ------------------------------------------------------------- bootstrap ----
@@ -164,9 +175,9 @@ def find(docs: DataFrame, rounds: int = ROUNDS, confident: float = CONFIDENT, su
     rows = rows.select("doc_id", F.xxhash64("text").alias("text_key"), F.transform("base", plain).alias("base"), F.transform(F.transform("base", instance), shaped).alias("seeds"), F.transform(F.transform(F.col("apart"), instance), shaped).alias("tokens"))
     rows = materialize(rows, "pii-spans")
     seen = rows.select(F.explode("seeds").alias("s"), F.lit(1).alias("seed")).unionByName(rows.select(F.explode("tokens").alias("s"), F.lit(0).alias("seed")))
-    pairs = seen.select("s.pattern", "s.instance", "seed").where("pattern <> ''").groupBy("pattern", "instance").agg(F.max("seed").alias("seed"))
+    pairs = seen.select(F.explode(patterns_of(F.col("s.pattern"))).alias("pattern"), "s.instance", "seed").where("pattern <> ''").groupBy("pattern", "instance").agg(F.max("seed").alias("seed"))
     patterns = confident_patterns(materialize(pairs, "pii-pairs"), rounds, confident, support)
-    tokens = rows.select("doc_id", "text_key", F.explode("tokens").alias("t")).where("t.likely").select("doc_id", "text_key", "t.pattern", "t.start", "t.end")
+    tokens = rows.select("doc_id", "text_key", F.explode("tokens").alias("t")).where("t.likely").select("doc_id", "text_key", F.explode(patterns_of(F.col("t.pattern"))).alias("pattern"), "t.start", "t.end")
     extra = tokens.join(patterns.select("pattern"), "pattern").groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set(F.struct("start", F.lit(len(PATTERNS)).alias("kind_no"), "end"))).alias("extra"))
     extra = extra.select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"), "extra")
     none = F.array().cast("array<struct<start:bigint,kind_no:int,end:bigint>>")

@@ -89,6 +89,21 @@ def test_redaction(spark):
         assert row["text"] == (None if text is None else want + text[at:])
 
 
+@pytest.mark.parametrize(
+    "known, hidden",
+    [
+        ("call 24 phone: {}", "call 24 phone: 55512345"),  # a digit token in front
+        ("ids 1234567 {} end", "ids 1234567 2345678 end"),  # right behind another
+        ("{1} passport: {0}", "zulu  passport:\n55512345"),  # a cue of one word
+    ],
+)
+def test_contexts_are_read_from_the_text_in_front(spark, known, hidden):
+    rows = [(n, known.format(f"+1 784 555 92{n}3", "word" + "abcdefgh"[n])) for n in range(8)] + [(9, hidden)]
+    found = {r["doc_id"]: r["extra"] for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    value = next(v for v in ("55512345", "2345678") if v in hidden.split())
+    assert (hidden.rindex(value), 4, hidden.rindex(value) + len(value)) in {tuple(s) for s in found[9]}
+
+
 def held_out(rows, n):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % n == (2 if n == 4 else 0)) for r in rows)
     return [r for r in rows if r["held_out"]]

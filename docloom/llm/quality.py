@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as st
 
 from docloom.llm.arrays import arrow_batches, bounded_sample, by_text, slices, text_bytes
+from docloom.session import materialize
 
 SAMPLE_ROWS, SAMPLE_BYTES = 3_000, 12_000
 PASSAGE_BYTES = 1024
@@ -168,7 +169,9 @@ def fit_on(docs: DataFrame, labels: DataFrame, label: str = "quality", learn: Co
     """Fit on a bounded sample of documents with a label; ``learn`` says which document ids may be learned from."""
     told = labels.select(F.col("doc_id").alias("doc_id"), F.col(label).cast("int").alias("label")).where("label IS NOT NULL AND doc_id IS NOT NULL")
     told = told if learn is None else told.where(learn)
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(bounded_sample(told, SAMPLE_ROWS, "doc_id", "label"), "doc_id")
+    # at most SAMPLE_ROWS ids and labels, so that texts are never shuffled to meet them
+    sample = F.broadcast(materialize(bounded_sample(told, SAMPLE_ROWS, "doc_id", "label"), "label-sample"))
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(sample, "doc_id")
     rows = rows.where(F.octet_length("text") <= SAMPLE_BYTES).orderBy(F.xxhash64("doc_id", "text")).limit(SAMPLE_ROWS)
     return fit(*sample_passages(rows))
 

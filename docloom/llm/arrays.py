@@ -19,6 +19,8 @@ from pyspark.sql import types as st
 SLICE_BYTES = 4 << 20
 #: Bytes whose running hash is taken at once.
 HASH_BYTES = 1 << 20
+#: Bytes beyond which two spans are compared by themselves.
+LONG_SPAN = 256
 MULTIPLIER = 0x9E3779B97F4A7C15
 
 
@@ -123,6 +125,43 @@ class WordHasher:
         return lowered, starts, ends, self.hashes(lowered, starts, ends), np.searchsorted(starts, offsets)
 
 
+def differing(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Which spans differ in length or bytes from the span ``of`` names for them."""
+    size = ends - starts
+    wrong = size != size[of]
+    left = np.flatnonzero(~wrong & (of != np.arange(len(of))))
+    for i in left[size[left] > LONG_SPAN].tolist():
+        k = of[i]
+        wrong[i] = not np.array_equal(data[starts[i] : ends[i]], data[starts[k] : ends[k]])
+    left = left[size[left] <= LONG_SPAN]
+    eight = np.ndarray(len(data) + 1, "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))  # the eight bytes from each place on
+    low = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+    at = 0
+    while len(left):
+        rest = size[left] - at
+        off = (eight[starts[left] + at] ^ eight[starts[of[left]] + at]) & low[np.minimum(rest, 8)]
+        wrong[left[off != 0]] = True
+        left = left[(off == 0) & (rest > 8)]
+        at += 8
+    return wrong
+
+
+def distinct_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A span for each distinct one, and which of them every span is. Hashes find them; their bytes are compared, so equal hashes settle nothing."""
+    n = len(starts)
+    which = pa.array(hashes).dictionary_encode().indices.to_numpy().astype(np.int64)
+    at = np.zeros(int(which.max()) + 1 if n else 0, np.int64)
+    at[which[::-1]] = np.arange(n)[::-1]
+    wrong = np.flatnonzero(differing(data, starts, ends, at[which]))
+    if len(wrong):
+        own: dict[bytes, int] = {}
+        raw = [data[starts[i] : ends[i]].tobytes() for i in wrong.tolist()]
+        which[wrong] = [own.setdefault(b, len(at) + len(own)) for b in raw]
+        first = {b: i for b, i in zip(raw[::-1], wrong[::-1].tolist(), strict=True)}
+        at = np.concatenate([at, [first[b] for b in own]])
+    return at, which
+
+
 def sums_by_text(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Sum of the values of each text; ``first`` has the first position of each text and the total length."""
     out = np.zeros(len(first) - 1, np.float64)

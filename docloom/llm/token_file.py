@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docloom.llm.arrays import WordHasher, arrow_batches, chunk_table, slices, text_bytes
+from docloom.llm.arrays import WordHasher, arrow_batches, chunk_table, distinct_spans, slices, text_bytes
 from docloom.llm.bpe import CUT, ODD, WORD_END, WordCache, read_text
 from docloom.session import materialize, scratch_folder
 
@@ -102,7 +102,7 @@ class TextEncoder:
         library = LibraryEncoder(source)
         self.words = WordCache(library.cut_other, library.encode)
         self.hasher = WordHasher(chunk_table())
-        self.known: dict[int, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
         """Ids of distinct chunks: plain ones are cut all at once, as every sign of a chunk is in one of its words."""
@@ -128,17 +128,18 @@ class TextEncoder:
         data, offsets = text_bytes(texts)
         mapped, starts, ends = self.hasher.spans(data, offsets)
         hashes = self.hasher.hashes(mapped, starts, ends)
-        chunks, at, which = np.unique(hashes, return_index=True, return_inverse=True)
+        at, which = distinct_spans(data, starts, ends, hashes)
         if len(self.known) > CACHE_CHUNKS:
             self.known.clear()
         known = self.known
-        chunks = chunks.tolist()
-        new = [k for k, h in enumerate(chunks) if h not in known]
+        bounds = zip(starts[at].tolist(), ends[at].tolist(), strict=True)
+        raw = data.tobytes()
+        chunks = [raw[a:b] for a, b in bounds]
+        new = [c for c in chunks if c not in known]
         for low in range(0, len(new), 50_000):
             part = new[low : low + 50_000]
-            texts_of = [data[starts[i] : ends[i]].tobytes().decode() for i in at[part].tolist()]
-            known.update(zip([chunks[k] for k in part], self._chunks(texts_of), strict=True))
-        ids = [known[h] for h in chunks]
+            known.update(zip(part, self._chunks([c.decode() for c in part]), strict=True))
+        ids = [known[c] for c in chunks]
         sizes = np.array([len(x) // 4 for x in ids], np.int64)
         flat = np.frombuffer(b"".join(ids), "<u4")
         many = sizes[which]

@@ -87,6 +87,20 @@ def test_token_files_round_trip(spark, library, tmp_path, monkeypatch):
     assert token_file.write_documents(docs_of(spark, []), PATH, str(tmp_path / "none")).count() == 0
 
 
+@pytest.mark.parametrize("n", [1024, 2048, 4096])
+def test_chunks_of_equal_hashes_keep_their_own_ids(library, n):
+    """A Thue-Morse word and its complement have equal polynomial hashes modulo 2^64."""
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    encoder = token_file.TextEncoder(bpe.read_text(PATH))
+    for texts in ([word, other, f"{other} {word} {other}"], [other], [word]):  # in one slice, and across slices
+        ids, first = encoder.encode(pa.array(texts))
+        for k, text in enumerate(texts):
+            assert ids[first[k] : first[k + 1]].tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_a_reader_decompresses_only_the_frames_asked_for_and_checks_them(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(token_file, "FRAME_IDS", 10)
     rows = [(n, "word " * 8, "x") for n in range(20)]

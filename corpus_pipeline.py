@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import bpe, decontaminate, near_copies, pii, toxicity
+from docloom.llm import bpe, decontaminate, pii, simhash, toxicity
 from docloom.llm.queries import VOCABULARY, table
 from docloom.session import materialize, scratch_folder
 
@@ -20,17 +20,20 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one of the smallest doc_id, then of the smallest text hash.
+    """One document of each SimHash group stays: the one of the smallest doc_id (NULL last), then of the smallest text hash.
 
-    Only what goes is joined back to the texts; equal rows are told apart last.
+    Groups are those of the SimHash operator with its shingle length and bit distance.
+    Only what goes is joined back to the texts; equal rows are told apart last. An
+    empty table stays empty; NULL, empty and blank texts are one group.
     """
-    found = materialize(near_copies.near_copies(docs), "copies")
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"), F.col("doc_id").isNull().alias("is_null"))
+    found = materialize(simhash.near_duplicates(keyed, keys=("is_null", "text_key")), "copies")
     row = F.struct("is_null", "doc_id", "text_key")
     counted = found.groupBy("component", "is_null", "doc_id", "text_key").agg(F.count("*").alias("n"))
     first = counted.groupBy("component").agg(F.min(row).alias("first"))
     marked = counted.join(first, "component").withColumn("stays", row == F.col("first"))
     marked = materialize(marked.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__t"), "stays", "n"), "marked")
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & F.xxhash64("text").eqNullSafe(F.col("__t"))
+    same = docs["doc_id"].eqNullSafe(F.col("__id")) & F.xxhash64(docs["text"]).eqNullSafe(F.col("__t"))
     kept = docs.join(marked.where("NOT stays OR n > 1"), same, "left_anti")
     repeated = docs.join(marked.where("stays AND n > 1"), same, "left_semi").withColumn("__t", F.xxhash64("text")).dropDuplicates(["doc_id", "__t"])
     return kept.unionByName(repeated.drop("__t")).select(*docs.columns)

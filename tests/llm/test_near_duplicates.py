@@ -11,7 +11,7 @@ from hypothesis import strategies as hs
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from docloom.llm import embed_dedup, near_copies, queries, simhash
+from docloom.llm import embed_dedup, queries, simhash
 from docloom.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -175,49 +175,12 @@ def test_either_fingerprint_may_be_the_nearer_one(spark):
     assert components(simhash.links(classes, 9, 14)).count() == 0
 
 
-def brute_shingles(text):
-    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-    return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
-
-
-def jaccard_groups(texts):
-    sets = [brute_shingles(t) for t in texts]
-    near = lambda a, b: 5 * len(a & b) >= 4 * len(a | b)
-    return groups(len(texts), [(a, b) for a in range(len(texts)) for b in range(a) if near(sets[a], sets[b])])
-
-
-def edited(draw, words, share):
-    words = list(words)
-    for k in draw.choice(len(words), int(len(words) * share), replace=False):
-        words[k] = f"e{draw.integers(10**9)}"
-    return " ".join(words)
-
-
-def test_near_copies_are_the_groups_of_jaccard_similarity(spark):
-    draw = np.random.default_rng(8)
-    texts = [None, "", " \n", "one two", "One  two", "one two three", "x " * 50, "x " * 9 + "y " * 3]
-    for _ in range(40):  # one changed word in 25 leaves about 0.7 of the shingles, one in 50 about 0.8
-        words = [f"w{n}" for n in draw.integers(0, 500, draw.integers(60, 300))]
-        texts += [" ".join(words), *(edited(draw, words, share) for share in (0.01, 0.015, 0.02, 0.025, 0.03, 0.04))]
-    repeated = "the same line comes again and again " * 60  # equal fingerprints by its majority, little else in common
-    texts += [repeated + " ".join(f"p{k}{n}" for n in range(60)) for k in range(3)]
-    big = [f"b{n}" for n in draw.integers(0, 500, 200)]  # near their origin, not always each other
-    texts += [" ".join(big), *(edited(draw, big, 0.02) for _ in range(30))]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r["doc_id"]: r["component"] for r in near_copies.near_copies(docs).collect()}
-    want = jaccard_groups(["" if not (t or "").strip() else t for t in texts])
-    both = {(got[n], want[n]) for n in range(len(texts)) if (texts[n] or "").strip()}
-    assert len(both) == len({a for a, _ in both}) == len({b for _, b in both})
-    assert got[0] == got[1] == got[2] and len(set(got.values())) == len(both) + 1
-
-
-def test_the_stage_keeps_what_jaccard_groups_keep(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    kept = {r["doc_id"] for r in corpus_pipeline.drop_copies(spark, docs, "/root/testdata/sf0.01").select("doc_id").collect()}
-    rows = sorted((r["doc_id"], r["text"]) for r in docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where("doc_id IS NOT NULL").collect())
-    label = jaccard_groups([t for _, t in rows])
-    blank = [d for d, t in rows if not t.strip()]
-    first = {}
-    for (d, t), k in zip(rows, label, strict=True):
-        first.setdefault(k if t.strip() else "blank", d)
-    assert kept == set(first.values()) and (not blank or min(blank) in kept)
+def test_the_stage_keeps_one_document_of_each_simhash_group(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").limit(400)
+    rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
+    prints = [brute_print(t) for _, t in rows]
+    near = [(a, b) for a in range(len(rows)) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= simhash.DISTANCE]
+    of = groups(len(rows), near)
+    want = {min(rows[k][0] for k in range(len(rows)) if of[k] == g) for g in set(of)}
+    stage = dict(corpus_pipeline.STAGES)["simhash near-dedup"]
+    assert {r["doc_id"] for r in stage(spark, docs, None).collect()} == want

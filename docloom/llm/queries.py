@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import os
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import bpe, chat, decontaminate, embed_dedup, language, pii, quality, simhash, token_file, toxicity
+from docloom.llm import bpe, chat, decontaminate, embed_dedup, language, pii, quality, runs, simhash, token_file, toxicity
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -86,6 +87,26 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_of(F.col("simhash")).alias("fingerprint"), "component_id")
 
 
+def repeated_tail(words: list[bytes], doc_id: int | None) -> list[bytes]:
+    """Every tenth document (by its id's checksum) goes on with one stretch of words again and again from some word on."""
+    if doc_id is None or not words:
+        return words
+    h = zlib.crc32(str(doc_id).encode())
+    if h % 10:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * ((n - a) // p + 1))[: n - a]
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = runs.periodic_runs(docs, runs=False, digests=True, rewrite=repeated_tail, keep=["doc_id"])
+    exponent = F.expr("length * 1000 div period")
+    return found.select("doc_id", "n_runs", "start", "length", "period", exponent.alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_language": op2_language,
@@ -97,5 +118,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_embeddings": op9_embeddings,
     "op10_simhash": op10_simhash,
+    "op13_runs": op13_runs,
 }
 ORACLES: dict[str, str] = {}

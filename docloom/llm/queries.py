@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import bpe, chat, decontaminate, embed_dedup, language, pii, quality, runs, simhash, token_file, toxicity
+from docloom.llm import bpe, chat, decontaminate, divergence, embed_dedup, language, pii, quality, runs, simhash, token_file, toxicity
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -87,6 +87,51 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_of(F.col("simhash")).alias("fingerprint"), "component_id")
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergences(table(spark, sf_dir, "documents"))
+
+
+DIVERGENCE_SQL = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents
+), words AS (
+    SELECT doc, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM docs
+), kept AS (
+    SELECT lang, term FROM words GROUP BY lang, term HAVING count(DISTINCT doc) >= 3
+), langs AS (
+    SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), counts AS (
+    SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY lang, source, term
+), groups AS (
+    SELECT g.lang, g.source, coalesce(t.n, 0) AS total, coalesce(v, 0) AS v
+    FROM (SELECT DISTINCT lang, source FROM docs) g
+    LEFT JOIN (SELECT lang, source, sum(n) AS n FROM counts GROUP BY lang, source) t USING (lang, source)
+    LEFT JOIN langs USING (lang)
+), p AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+           1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (total + v)::HUGEINT AS p
+    FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, term)
+), q AS (
+    SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(n) + 1)::HUGEINT) // (any_value(total) + any_value(v))::HUGEINT AS q
+    FROM counts JOIN (SELECT lang, sum(total) AS total, any_value(v) AS v FROM groups GROUP BY lang) USING (lang) GROUP BY lang, term
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item, coalesce(sum(f), 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN (
+        SELECT x.lang, x.source, y.source AS item, ((x.p - y.p) * (x.p - y.p)) // y.p AS f FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source
+    ) d ON d.lang = a.lang AND d.source = a.source AND d.item = b.source
+    GROUP BY a.lang, a.source, b.source
+), found AS (
+    SELECT lang, source, 'pair' AS part, item, value::BIGINT AS value FROM pairs
+    UNION ALL
+    SELECT lang, source, 'term', term, (((p - q) * (p - q)) // q)::BIGINT FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM found
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
 def repeated_tail(words: list[bytes], doc_id: int | None) -> list[bytes]:
     """Every tenth document (by its id's checksum) goes on with one stretch of words again and again from some word on."""
     if doc_id is None or not words:
@@ -118,6 +163,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_embeddings": op9_embeddings,
     "op10_simhash": op10_simhash,
+    "op11_divergence": op11_divergence,
     "op13_runs": op13_runs,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_divergence": DIVERGENCE_SQL}

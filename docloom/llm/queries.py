@@ -10,9 +10,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import bpe, chat, decontaminate, divergence, embed_dedup, language, pii, quality, runs, simhash, token_file, toxicity
+from docloom.llm import bpe, chat, decontaminate, divergence, embed_dedup, language, packing, pii, quality, runs, simhash, token_file, toxicity
 
-VOCABULARY = "word_bpe_49k.json"
+VOCABULARY, BYTE_VOCABULARY = "word_bpe_49k.json", "byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -132,6 +132,11 @@ SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR
 """
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, public_tokenizers.path(BYTE_VOCABULARY))
+
+
 def repeated_tail(words: list[bytes], doc_id: int | None) -> list[bytes]:
     """Every tenth document (by its id's checksum) goes on with one stretch of words again and again from some word on."""
     if doc_id is None or not words:
@@ -164,6 +169,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_embeddings": op9_embeddings,
     "op10_simhash": op10_simhash,
     "op11_divergence": op11_divergence,
+    "op12_packing": op12_packing,
     "op13_runs": op13_runs,
 }
 ORACLES: dict[str, str] = {"op11_divergence": DIVERGENCE_SQL}

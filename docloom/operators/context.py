@@ -7,14 +7,19 @@ excerpts, ``GRAPH_LINES`` relations, and the categories of its companies.
 
 from __future__ import annotations
 
+from typing import TYPE_CHECKING
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.functions import vocab as V
 from docloom.operators.graph import TRIPLE, _first_n
-from docloom.operators.retrieve import hybrid_topk
+from docloom.operators.retrieve import chunks_of, hybrid_topk
 from docloom.session import materialize
 
+if TYPE_CHECKING:
+    from docloom.operators.postings import StoredIndex
+
 # --- fixed values: section headings and limits of the assembled text --------
 HEADINGS = [
     "## 📃 Relevant Document Excerpts (from Vector Search) 📃",
@@ -139,11 +144,12 @@ def context_parts(questions: DataFrame, excerpts: DataFrame, relations: DataFram
     return parts.unionByName(totals.select(*_part(2, F.col("_n"), F.col("_text"))))
 
 
-def hybrid_context(questions: DataFrame, chunks: DataFrame, relationships: DataFrame, summary: DataFrame,
+def hybrid_context(questions: DataFrame, index: DataFrame | StoredIndex, relationships: DataFrame, summary: DataFrame,
                    max_chunks: int = 10, aliases: dict[str, str] | None = None, item_id: str = "chunk_id") -> DataFrame:
     """All three layers for each row of ``questions`` (``query_id, question, vector, companies``)."""
     asked = questions.withColumn("_only", single_company("companies"))
-    ranking = hybrid_topk(asked, chunks, max_chunks, item_id=item_id, query_only="_only", item_only="company",
+    chunks = chunks_of(index)
+    ranking = hybrid_topk(asked, index, max_chunks, item_id=item_id, query_only="_only", item_only="company",
                           item_tokens="tokens" if "tokens" in chunks.columns else None)
     # stored: both the excerpts and the companies to look up read it
     excerpts = materialize(ranking, "ranking").join(

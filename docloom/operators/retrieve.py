@@ -15,6 +15,7 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Iterator
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,9 @@ from pyspark.sql import types as st
 from docloom.functions import text as T
 from docloom.session import materialize
 
+if TYPE_CHECKING:
+    from docloom.operators.postings import StoredIndex
+
 QUERY_LIMIT = 4096
 QUERY_WEIGHT = 2_000_000
 CELL_ROWS, CELL_WEIGHT = 20_000, 20_000_000
@@ -40,6 +44,11 @@ K1, B = 1.2, 0.75
 FUSION_DEPTH, FUSION_OFFSET = 50, 60
 
 
+def chunks_of(corpus: DataFrame | StoredIndex) -> DataFrame:
+    """The rows of a corpus or of a stored index."""
+    return corpus if isinstance(corpus, DataFrame) else corpus.chunks
+
+
 # --------------------------------------------------------------- filters ----
 def metadata_filter(spec: str | dict | None) -> Column:
     """``{"col": v}`` equality, ``{"col": [v, w]}`` membership, ``{"col LIKE": s}`` containment."""
@@ -330,18 +339,22 @@ def vector_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, *, query_id:
     return top_k_per_query(scored, k)
 
 
-def bm25_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, *, query_id: str = "query_id",
+def bm25_topk(queries: DataFrame, corpus: DataFrame | StoredIndex, k: int = 10, *, query_id: str = "query_id",
               item_id: str = "chunk_id", query_text: str = "question", item_text: str = "chunk_text",
               item_tokens: str | None = None, filters: str | dict | None = None, query_only: str | None = None,
               item_only: str | None = None) -> DataFrame:
     """BM25 top-k over distinct query terms: ``query_id, item_id, score, rank``.
 
-    ``item_tokens`` names a stored token array, so an index is not split again.
+    A stored index answers from its posting lists. A corpus without one is read as it is;
+    ``item_tokens`` names a stored token array, so that it is not split again.
 
     The first pass counts the items holding each term; counts combine before
     they are shuffled and meet the query's terms, so a common word is one row a
     task. The number of items and their total length are an aggregate of their own.
     """
+    if not isinstance(corpus, DataFrame):
+        return corpus.keyword_topk(queries, k, query_id=query_id, query_text=query_text, filters=filters,
+                                   query_only=query_only, item_only=item_only)
     items = corpus.where(metadata_filter(filters)) if filters else corpus
     split = F.col(item_tokens) if item_tokens else T.tokens(item_text)
     words = items.select(split.alias("_words"))
@@ -380,7 +393,7 @@ def fuse(first: DataFrame, second: DataFrame, k: int = 10) -> DataFrame:
     return top_k_per_query(scored, k)
 
 
-def hybrid_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, *, query_id: str = "query_id",
+def hybrid_topk(queries: DataFrame, corpus: DataFrame | StoredIndex, k: int = 10, *, query_id: str = "query_id",
                 item_id: str = "chunk_id", query_text: str = "question", item_text: str = "chunk_text",
                 query_vector: str = "vector", item_vector: str = "vector", item_tokens: str | None = None,
                 filters: str | dict | None = None, query_only: str | None = None,
@@ -388,7 +401,7 @@ def hybrid_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, *, query_id:
     """Semantic and keyword ranking fused: the top ``FUSION_DEPTH`` of each compete."""
     shared = dict(query_id=query_id, item_id=item_id, filters=filters, query_only=query_only, item_only=item_only)
     depth = max(FUSION_DEPTH, k)
-    by_meaning = vector_topk(queries, corpus, depth, query_vector=query_vector, item_vector=item_vector, **shared)
+    by_meaning = vector_topk(queries, chunks_of(corpus), depth, query_vector=query_vector, item_vector=item_vector, **shared)
     by_words = bm25_topk(queries, corpus, depth, query_text=query_text, item_text=item_text,
                          item_tokens=item_tokens, **shared)
     return fuse(by_meaning, by_words, k)
@@ -525,7 +538,7 @@ def ann_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, *, query_id: st
 QUERY_TYPES = ["ANN", "HYBRID", "FULL_TEXT"]
 
 
-def search(queries: DataFrame, index: DataFrame, columns: list[str], num_results: int = 10, query_type: str = "ANN",
+def search(queries: DataFrame, index: DataFrame | StoredIndex, columns: list[str], num_results: int = 10, query_type: str = "ANN",
            filters: str | dict | None = None, *, item_id: str = "chunk_id", centroids: np.ndarray | None = None,
            **names) -> DataFrame:
     """Requested columns of each query's best items, score last.
@@ -534,16 +547,16 @@ def search(queries: DataFrame, index: DataFrame, columns: list[str], num_results
     otherwise), ``FULL_TEXT`` by words, ``HYBRID`` by both.
     """
     if query_type == "ANN" and centroids is not None:
-        ranking = ann_topk(queries, index, num_results, item_id=item_id, filters=filters, centroids=centroids, **names)
+        ranking = ann_topk(queries, chunks_of(index), num_results, item_id=item_id, filters=filters, centroids=centroids, **names)
     elif query_type == "ANN":
-        ranking = vector_topk(queries, index, num_results, item_id=item_id, filters=filters, **names)
+        ranking = vector_topk(queries, chunks_of(index), num_results, item_id=item_id, filters=filters, **names)
     elif query_type == "FULL_TEXT":
         ranking = bm25_topk(queries, index, num_results, item_id=item_id, filters=filters, **names)
     elif query_type == "HYBRID":
         ranking = hybrid_topk(queries, index, num_results, item_id=item_id, filters=filters, **names)
     else:
         raise ValueError(f"query_type must be one of {QUERY_TYPES}")
-    return with_columns(ranking, index, columns, item_id)
+    return with_columns(ranking, chunks_of(index), columns, item_id)
 
 
 # ----------------------------------------------------- reading the rankings --

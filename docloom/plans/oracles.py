@@ -70,7 +70,7 @@ PRODUCT = "p_name || ' #' || p_partkey"
 # name -> (needed relations, body)
 RELATIONS: dict[str, tuple[str, str]] = {
     "aliases": ("", alias_rows(D.ALIASES)),
-    "companies": ("", alias_rows(V.COMPANY_ALIASES)),
+    "subject_names": ("", alias_rows(D.SUBJECT_ALIASES)),
     "bronze": ("", f"""
         SELECT {DOC_PATH} AS source_path, text FROM documents
         UNION ALL
@@ -146,10 +146,6 @@ RELATIONS: dict[str, tuple[str, str]] = {
         SELECT company, fiscal_period, subject, predicate, object, mention_count FROM (
           SELECT *, row_number() OVER (PARTITION BY subject, predicate, object ORDER BY company NULLS FIRST, fiscal_period NULLS FIRST) AS rn,
                  count(*) OVER (PARTITION BY subject, predicate, object) AS mention_count FROM hits) WHERE rn = 1"""),
-    "context_relationships": ("hits", """
-        SELECT company, min(fiscal_period) AS fiscal_period, regexp_extract(company, '^[^ .,]+') AS subject, predicate, object,
-               count(*) AS mention_count
-        FROM hits WHERE company IS NOT NULL GROUP BY company, predicate, object"""),
     "star": ("", f"""
         SELECT n_name AS company, 'FY' || year(l_shipdate) AS fiscal_period, s_name AS subject, 'supplies_to' AS predicate, {PRODUCT} AS object
         FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN part ON l_partkey = p_partkey
@@ -232,7 +228,7 @@ RELATIONS: dict[str, tuple[str, str]] = {
     "c_excerpts": ("c_fused chunks", """
         SELECT query_id, rank, company, fiscal_period, document_type, chunk_text FROM c_fused JOIN chunks ON item_id = chunk_id"""),
     "c_targets": ("c_excerpts questions", "{targets:SELECT query_id, company FROM c_excerpts}"),
-    "c_relations": ("c_targets context_relationships companies", "{relations:c_targets}"),
+    "c_relations": ("c_targets text_relationships subject_names", "{relations:c_targets}"),
     "c_signals": ("c_targets summary", "{signals:c_targets}"),
     "c_parts": ("c_excerpts c_relations c_signals questions", f"""
         SELECT query_id, s::INTEGER AS section, 0 AS ord, h AS text
@@ -260,6 +256,10 @@ RELATIONS: dict[str, tuple[str, str]] = {
                               WHEN quality = 0 THEN 'update' ELSE 'same' END AS change
         FROM (SELECT *, coalesce(toxic = 1, false) AS gone FROM versions)
         WHERE NOT (is_call AND gone)"""),
+    "synced": ("changes versions", """
+        SELECT chunk_id, chunk_to_embed || CASE change WHEN 'update' THEN ' (revised)' ELSE '' END AS chunk_to_embed, chunk_text
+        FROM versions JOIN changes USING (chunk_id) WHERE change <> 'delete'"""),
+    "synced_vectors": ("synced", "{vectors:synced:chunk_id:chunk_to_embed}"),
 }
 
 
@@ -310,8 +310,8 @@ def _relations(targets: str) -> str:
         SELECT query_id, subject, predicate, object, mentions FROM (
           SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY subject, mentions DESC, predicate, object) AS rn
           FROM {targets} JOIN (SELECT subject, predicate, object, sum(mention_count)::BIGINT AS mentions,
-                                      coalesce({canonical('subject', 'companies')}, subject) AS company
-                               FROM context_relationships WHERE predicate IN ({strings(CONTEXT_PREDICATES)})
+                                      coalesce({canonical('subject', 'subject_names')}, subject) AS company
+                               FROM text_relationships WHERE predicate IN ({strings(CONTEXT_PREDICATES)})
                                GROUP BY subject, predicate, object) USING (company))
         WHERE rn <= 20"""
 
@@ -368,9 +368,10 @@ SHARE = "round((100.0 * {0} / sum({0}) OVER (PARTITION BY {1}))::DOUBLE, 1)"
 MEMBERS = f"SELECT DISTINCT object, subject FROM relationships WHERE predicate IN ({strings(CONTEXT_PREDICATES)})"
 SHARED = f"""SELECT object AS ai_entity, count(*) AS mentioned_by_n_companies FROM ({MEMBERS}) GROUP BY object
              HAVING count(*) >= 3 ORDER BY 2 DESC, 1 LIMIT 20"""
-FIVE = "['Apple', 'Amazon', 'Microsoft', 'NVIDIA', 'Meta']"
 ENTITY_ENDS = "SELECT DISTINCT query_id, unnest({}) AS name FROM by_words JOIN chunks ON item_id = chunk_id WHERE rank <= 5".format(tokens("chunk_text"))
 
+TEXT_FILES = "SELECT (strlen(t) + 1)::BIGINT AS file_size_bytes, sha256(t || chr(10)) AS content_sha256 FROM (SELECT coalesce(text, '') AS t FROM documents)"
+
 ORACLES: dict[str, str] = {
     # sources and sinks
     "with_provenance": "SELECT doc_id, 'documents.parquet' AS file, true AS stamped FROM documents",
@@ -382,8 +383,8 @@ ORACLES: dict[str, str] = {
     "overwrite_table": "SELECT o_orderpriority, count(*) AS n_orders FROM orders GROUP BY ALL",
     "materialized_view": "SELECT n_name, count(*) AS customers FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL",
     "read_stream_table": "SELECT s_suppkey, s_name, s_acctbal FROM supplier",
-    "ingest_batch": f"SELECT unnest([{strings(TABLE_NAMES)}]) AS table_name, true AS whole",
-    "ingest_stream": f"SELECT unnest([{strings(TABLE_NAMES)}]) AS table_name, true AS whole",
+    "ingest_batch": TEXT_FILES,
+    "ingest_stream": TEXT_FILES,
     "extract_with_model": "SELECT doc_id, '{\"characters\": ' || (length('Read: ') + length(text)) || '}' AS result FROM documents",
     "append_positional": """SELECT 'supplier' AS kind, s_name AS name, s_acctbal AS balance FROM supplier
         UNION ALL SELECT 'customer', c_name, c_acctbal FROM customer""",
@@ -393,11 +394,11 @@ ORACLES: dict[str, str] = {
     "apply_changes": sql("changes versions", """
         SELECT chunk_id, chunk_to_embed || CASE change WHEN 'update' THEN ' (revised)' ELSE '' END AS chunk_to_embed, company, document_type
         FROM versions JOIN changes USING (chunk_id) WHERE change <> 'delete'"""),
-    "sync_index": sql("changes versions", f"""
-        SELECT chunk_id, chunk_to_embed || CASE change WHEN 'update' THEN ' (revised)' ELSE '' END AS chunk_to_embed,
-               len({tokens('chunk_text')})::INTEGER AS n_tokens, 64 AS dim
-        FROM versions JOIN changes USING (chunk_id) WHERE change <> 'delete'"""),
-    "silver_stream": sql("silver", f"SELECT * FROM silver WHERE source_path NOT LIKE '%/Earnings Call/%'"),
+    "sync_index": sql("synced_vectors", f"""
+        SELECT chunk_id, chunk_to_embed, array_to_string({tokens('chunk_text')}, ' ') AS words,
+               array_to_string(list_transform(vec, lambda x: x::INTEGER::VARCHAR), ' ') AS vector, len(list_distinct({tokens('chunk_text')}))::BIGINT AS n_lists
+        FROM synced JOIN synced_vectors ON id = chunk_id"""),
+    "silver_stream": sql("silver", "SELECT * FROM silver"),
     # projections and predicates
     "silver": sql("silver", "SELECT * FROM silver"),
     "gold": sql("gold", "SELECT * FROM gold"),
@@ -498,9 +499,9 @@ ORACLES: dict[str, str] = {
         FROM ({SHARED}) JOIN ({MEMBERS}) ON ai_entity = object"""),
     "object_frequency": sql("relationships", """SELECT object, sum(mention_count)::BIGINT AS supply_count FROM relationships
         WHERE subject LIKE '%Supplier%' AND predicate = 'supplies_to' GROUP BY object"""),
-    "partnership_mentions": sql("context_relationships", f"""
-        SELECT subject AS company, predicate, object AS partner, sum(mention_count)::BIGINT AS mention_count FROM context_relationships
-        WHERE list_contains({FIVE}, subject) AND predicate IN ('partners_with', 'invests_in') GROUP BY ALL
+    "partnership_mentions": sql("text_relationships", f"""
+        SELECT subject AS company, predicate, object AS partner, sum(mention_count)::BIGINT AS mention_count FROM text_relationships
+        WHERE subject IN ({strings(sorted(D.SUBJECT_ALIASES))}) AND predicate IN ('partners_with', 'invests_in') GROUP BY ALL
         ORDER BY company, mention_count DESC, predicate, partner LIMIT 20"""),
     "top_objects_by_predicate": sql("relationships", """SELECT object, sum(mention_count)::BIGINT AS mentions FROM relationships
         WHERE predicate = 'acquires' AND subject ILIKE 'customer%' GROUP BY object ORDER BY mentions DESC, object LIMIT 20"""),
@@ -585,7 +586,7 @@ ORACLES: dict[str, str] = {
     # context
     "context_targets": sql("targets", "SELECT * FROM targets"),
     "single_company_filter": sql("asked", "SELECT * FROM asked"),
-    "company_relations": sql("targets context_relationships companies", _relations("targets")),
+    "company_relations": sql("targets text_relationships subject_names", _relations("targets")),
     "company_signals": sql("targets summary", _signals("targets")),
     "format_lines": sql("relationships summary", f"""
         SELECT 'graph' AS layer, {WIDE.format('subject', 30)} || ' → ' || {WIDE.format('predicate', 20)} || ' → ' || {WIDE.format('object', 30)}

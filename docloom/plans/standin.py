@@ -7,6 +7,8 @@ schema is a property graph. Every row and every whole text takes part.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,11 +16,12 @@ from docloom.functions import text as T
 from docloom.functions import vocab as V
 from docloom.operators import classify as C
 from docloom.operators import graph as G
+from docloom.operators import postings as PX
 from docloom.operators import summary as S
 from docloom.operators import triplets as X
 from docloom.operators.embed import embed_text
 from docloom.plans import medallion as M
-from docloom.session import materialize
+from docloom.session import materialize, scratch_folder
 
 # --- fixed values: rules that fit the invented prose -------------------------
 COMPANY_OF_SOURCE = {
@@ -51,6 +54,14 @@ TONE_LEXICON = {
 POSITIVE = ["the", "der", "la", "with"]
 NEGATIVE = ["of", "von", "de", "was"]
 # a word is tried from its first letter only, which keeps the scan linear
+# spellings under which the invented prose names a company as a subject
+SUBJECT_NAMES = {
+    "Amazon.com, Inc.": ["the", "der"],
+    "Apple Inc.": ["that", "die"],
+    "Meta Platforms, Inc.": ["les", "los"],
+    "Microsoft Corporation": ["this", "und"],
+    "NVIDIA Corporation": ["with", "que"],
+}
 _FIRST, _SECOND = r"(?:^|[^\p{L}])(\p{L}{3,})", r"(\p{L}{3,})"
 TRIPLET_PATTERNS = [
     ("partners_with", rf"{_FIRST} with {_SECOND}", "Company", "Company"),
@@ -63,6 +74,7 @@ TRIPLET_PATTERNS = [
 ]
 # ---------------------------------------------------------------------------
 
+SUBJECT_ALIASES = {alias: company for company, aliases in SUBJECT_NAMES.items() for alias in aliases}
 ALIASES = {alias: company for company, aliases in COMPANY_OF_SOURCE.items() for alias in aliases}
 
 
@@ -95,6 +107,19 @@ def call_files(conversations: DataFrame) -> DataFrame:
     return conversations.select(raw_path(F.lit("Earnings Call"), F.concat_ws("_", "role", turn)).alias("source_path"), "text")
 
 
+_FILES: dict[tuple[str, str], str] = {}
+
+
+def text_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with a file for every document, written by Spark on first use: its text and a line feed."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _FILES:
+        _FILES[key] = f"{scratch_folder(spark)}/text-files-{uuid.uuid4().hex}"
+        docs = spread(table(spark, sf_dir, "documents").select("text"), "text")
+        docs.write.option("maxRecordsPerFile", 1).text(_FILES[key])
+    return _FILES[key]
+
+
 def as_bronze(files: DataFrame) -> DataFrame:
     return files.select(
         "source_path",
@@ -135,14 +160,30 @@ def stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived table, written on first use and scanned afterwards."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     if key not in _STORED:
-        _STORED[key] = materialize(_BUILDERS[name](spark, sf_dir), name)
+        built = _BUILDERS[name](spark, sf_dir)
+        _STORED[key] = built if name in _STORED_ALREADY else materialize(built, name)
     return _STORED[key]
 
 
+_INDEXES: dict[tuple[str, str, str], PX.StoredIndex] = {}
+
+
+def stored_index(spark: SparkSession, sf_dir: str, name: str) -> PX.StoredIndex:
+    """The search index of ``chunks`` or of whole ``documents``, written on first use."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    if key not in _INDEXES:
+        path = f"{scratch_folder(spark)}/{name}-index-{uuid.uuid4().hex}"
+        if name == "documents":
+            rows, about = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id"), {"key": "doc_id", "text": "text", "embedded": None}
+        else:
+            rows, about = materialize(M.chunks(stored(spark, sf_dir, "silver")), "chunks"), {}
+        _INDEXES[key] = PX.write_index(rows, path, **about)
+    return _INDEXES[key]
+
+
 def _search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The search table as an index: with the vector of the enriched text and the tokens of the raw one."""
-    chunks = embed_text(M.chunks(stored(spark, sf_dir, "silver")), "chunk_to_embed")
-    return chunks.withColumn("tokens", T.tokens("chunk_text"))
+    """The search table: the index's chunks with the vector of the enriched text and the tokens of the raw one."""
+    return stored_index(spark, sf_dir, "chunks").chunks.drop("n_tokens", "content_hash", "no", "bucket")
 
 
 def _triplets_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,14 +278,6 @@ def _text_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.build_relationships(X.relationship_mentions(X.parse_structured(stored(spark, sf_dir, "triplets_raw"))))
 
 
-def _context_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Who each company's documents pair with whom: the company itself as subject."""
-    mentions = X.relationship_mentions(X.parse_structured(stored(spark, sf_dir, "triplets_raw")))
-    return G.build_relationships(
-        mentions.where(F.col("company").isNotNull()).withColumn("subject", F.split("company", "[ .,]")[0])
-    )
-
-
 _BUILDERS = {
     "silver": silver,
     "gold": lambda spark, d: gold(stored(spark, d, "silver")),
@@ -255,9 +288,11 @@ _BUILDERS = {
     "entities": _entities,
     "all_entities": _all_entities,
     "text_relationships": _text_relationships,
-    "context_relationships": _context_relationships,
 }
 
+#: Builders that return a scan of what they wrote.
+_STORED_ALREADY = {"search"}
+
 BUILD_ORDER = list(_BUILDERS)
 
 

@@ -15,8 +15,8 @@ from docloom.operators import classify as C
 from docloom.operators import context as H
 from docloom.operators import extract as X
 from docloom.operators import graph as G
-from docloom.operators import index as IX
 from docloom.operators import parse as P
+from docloom.operators import postings as PX
 from docloom.operators import quality as Q
 from docloom.operators import retrieve as R
 from docloom.operators import summary as S
@@ -44,6 +44,11 @@ class Tables:
     def stored(self, name: str) -> DataFrame:
         return D.stored(self.spark, self.sf_dir, name)
 
+    @property
+    def index(self) -> PX.StoredIndex:
+        """The stored index of the chunks."""
+        return D.stored_index(self.spark, self.sf_dir, "chunks")
+
     @property
     def questions(self) -> DataFrame:
         return D.questions(self.spark, self.sf_dir)
@@ -122,22 +127,23 @@ def read_stream_table(t: Tables) -> DataFrame:
 
 
 def _files(files: DataFrame) -> DataFrame:
-    """Name of the table a file belongs to, and whether its content came whole."""
-    whole = F.col("file_size_bytes") == F.octet_length("content")
-    return files.select(F.regexp_extract("source_path", r"([a-z]+)\.parquet", 1).alias("table_name"), whole.alias("whole"))
+    """Size of each file as listed, and a digest of its content."""
+    return files.select("file_size_bytes", F.sha2("content", 256).alias("content_sha256"))
 
 
 @query
 def ingest_batch(t: Tables) -> DataFrame:
-    return _files(SF.ingest_batch(t.spark, t.sf_dir, "*.parquet")).groupBy("table_name").agg(F.every("whole").alias("whole"))
+    """A file for every document, read whole."""
+    return _files(SF.ingest_batch(t.spark, D.text_files(t.spark, t.sf_dir), "*.txt"))
 
 
 @query
 def ingest_stream(t: Tables) -> DataFrame:
-    """The table files as a stream of binary rows, two files a batch."""
+    """The same files as a stream; a second run finds nothing new."""
     folder = f"{scratch_folder(t.spark)}/stream-{uuid.uuid4().hex}"
-    ST.streaming_table(_files(SF.ingest_stream(t.spark, t.sf_dir, "*.parquet", 2)), f"{folder}/out", f"{folder}/state")
-    return ST.read_table(t.spark, f"{folder}/out").groupBy("table_name").agg(F.every("whole").alias("whole"))
+    for _ in range(2):
+        ST.streaming_table(_files(SF.ingest_stream(t.spark, D.text_files(t.spark, t.sf_dir), "*.txt", 5000)), f"{folder}/out", f"{folder}/state")
+    return ST.read_table(t.spark, f"{folder}/out")
 
 
 @query
@@ -180,25 +186,33 @@ def chunk_changes(t: Tables) -> DataFrame:
 @query
 def apply_changes(t: Tables) -> DataFrame:
     old, new = _chunk_versions(t)
-    changes = store(ST.chunk_changes(old, new), "changes")
-    return ST.apply_changes(old, new, changes).select("chunk_id", "chunk_to_embed", "company", "document_type")
+    path = f"{scratch_folder(t.spark)}/chunks-{uuid.uuid4().hex}"
+    ST.write_bucketed(old, path)
+    new = store(new, "revised")
+    changes = store(ST.chunk_changes(ST.read_table(t.spark, path).drop("bucket"), new), "changes")
+    return ST.apply_bucketed(t.spark, path, new, changes).select("chunk_id", "chunk_to_embed", "company", "document_type")
 
 
 @query
 def sync_index(t: Tables) -> DataFrame:
-    """The index of the first version brought in step with the second."""
+    """The index of the first version brought in step with the second: chunks, words, vectors and how many lists each is in."""
     old, new = _chunk_versions(t)
-    index = store(IX.build_index(old), "index")
-    synced = IX.sync_index(index, store(new, "revised"))
-    return synced.select("chunk_id", "chunk_to_embed", F.size("tokens").alias("n_tokens"), F.size("vector").alias("dim"))
+    index = PX.write_index(store(old, "old"), f"{scratch_folder(t.spark)}/index-{uuid.uuid4().hex}")
+    PX.sync_index(index, store(new, "revised"))
+    listed = index.postings.select("bucket", F.explode("nos").alias("no")).groupBy("bucket", "no").agg(F.count(F.lit(1)).alias("n_lists"))
+    vector = F.array_join(F.transform("vector", lambda x: x.cast("int").cast("string")), " ")
+    rows = index.chunks.join(listed, ["bucket", "no"], "left")
+    return rows.select("chunk_id", "chunk_to_embed", F.array_join("tokens", " ").alias("words"), vector.alias("vector"), F.coalesce("n_lists", F.lit(0)).alias("n_lists"))
 
 
 @query
 def silver_stream(t: Tables) -> DataFrame:
-    """Documents streamed in, silver streamed out, everything available now."""
-    source = t("documents")
-    files = t.spark.readStream.schema(source.schema).option("pathGlobFilter", "documents.parquet").parquet(t.sf_dir)
-    rows = M.silver(D.as_bronze(D.document_files(files)), fmt="text", rules=D.FIELD_RULES, aliases=D.ALIASES)
+    """Documents and conversation turns streamed in, silver streamed out, everything available now."""
+    def stream(name: str) -> DataFrame:
+        return t.spark.readStream.schema(t(name).schema).option("pathGlobFilter", f"{name}.parquet").parquet(t.sf_dir)
+
+    files = D.document_files(stream("documents")).unionByName(D.call_files(stream("conversations")))
+    rows = M.silver(D.as_bronze(files), fmt="text", rules=D.FIELD_RULES, aliases=D.ALIASES)
     sink = f"{scratch_folder(t.spark)}/stream-{uuid.uuid4().hex}"
     ST.streaming_table(rows.drop("parsed_document", "ingested_at"), sink, f"{sink}.state")
     return ST.read_table(t.spark, sink)
@@ -518,8 +532,7 @@ def object_frequency(t: Tables) -> DataFrame:
 
 @query
 def partnership_mentions(t: Tables) -> DataFrame:
-    subjects = ["Apple", "Amazon", "Microsoft", "NVIDIA", "Meta"]
-    return G.partnership_mentions(t.stored("context_relationships"), subjects, ["partners_with", "invests_in"])
+    return G.partnership_mentions(t.stored("text_relationships"), sorted(D.SUBJECT_ALIASES), ["partners_with", "invests_in"])
 
 
 @query
@@ -744,13 +757,13 @@ def ann_all_lists(t: Tables) -> DataFrame:
 @query
 def search(t: Tables) -> DataFrame:
     """Hybrid search of the earnings calls alone, with requested columns."""
-    return R.search(t.questions, t.stored("search"), ["company", "fiscal_period", "document_type"], 5, "HYBRID",
-                    '{"document_type LIKE": "Earnings"}', item_tokens="tokens")
+    return R.search(t.questions, t.index, ["company", "fiscal_period", "document_type"], 5, "HYBRID",
+                    '{"document_type LIKE": "Earnings"}')
 
 
 @query
 def bm25_topk(t: Tables) -> DataFrame:
-    return R.bm25_topk(t.questions, t.stored("search"), 10, item_tokens="tokens")
+    return R.bm25_topk(t.questions, t.index, 10)
 
 
 @query
@@ -762,21 +775,21 @@ def bm25_documents(t: Tables) -> DataFrame:
 
 @query
 def hybrid_topk(t: Tables) -> DataFrame:
-    return R.hybrid_topk(t.questions, t.stored("search"), 10, item_tokens="tokens")
+    return R.hybrid_topk(t.questions, t.index, 10)
 
 
 @query
 def compare_rankings(t: Tables) -> DataFrame:
     """Meaning against words, side by side; rank 0 where a ranking does not have the item."""
     chunks = t.stored("search")
-    both = R.compare_rankings(R.vector_topk(t.questions, chunks, 10), R.bm25_topk(t.questions, chunks, 10, item_tokens="tokens"))
+    both = R.compare_rankings(R.vector_topk(t.questions, chunks, 10), R.bm25_topk(t.questions, t.index, 10))
     return both.fillna(0, ["left_rank", "right_rank"])
 
 
 @query
 def citations(t: Tables) -> DataFrame:
     chunks = t.stored("search")
-    return R.citations(R.with_columns(R.bm25_topk(t.questions, chunks, 10, item_tokens="tokens"), chunks, ["source_path"]))
+    return R.citations(R.with_columns(R.bm25_topk(t.questions, t.index, 10), chunks, ["source_path"]))
 
 
 @query
@@ -787,20 +800,21 @@ def verbatim_hits(t: Tables) -> DataFrame:
 @query
 def retrieval_eval(t: Tables) -> DataFrame:
     """Whether keyword ranking finds the documents that hold the question's passage."""
-    docs = D.spread(t("documents").select("doc_id", "text"), "doc_id")
-    ranking = R.bm25_topk(t.questions, docs, 10, item_id="doc_id", item_text="text")
+    docs = D.stored_index(t.spark, t.sf_dir, "documents")
+    ranking = R.bm25_topk(t.questions, docs, 10)
+    docs = docs.chunks
     return R.retrieval_eval(ranking, R.verbatim_hits(t.questions, docs, item_id="doc_id", text="text"))
 
 
 @query
 def entity_link(t: Tables) -> DataFrame:
     chunks = t.stored("search")
-    return G.entity_link(R.bm25_topk(t.questions, chunks, 5, item_tokens="tokens"), chunks, t.stored("text_relationships"))
+    return G.entity_link(R.bm25_topk(t.questions, t.index, 5), chunks, t.stored("text_relationships"))
 
 
 # ------------------------------------------------------------------ context ----
 def _targets(t: Tables) -> DataFrame:
-    ranking = R.with_columns(R.bm25_topk(t.questions, t.stored("search"), 5, item_tokens="tokens"), t.stored("search"), ["company"])
+    ranking = R.with_columns(R.bm25_topk(t.questions, t.index, 5), t.stored("search"), ["company"])
     return H.context_targets(t.questions, ranking.select("query_id", "company"))
 
 
@@ -816,7 +830,7 @@ def single_company_filter(t: Tables) -> DataFrame:
 
 @query
 def company_relations(t: Tables) -> DataFrame:
-    return H.company_relations(_targets(t), t.stored("context_relationships"))
+    return H.company_relations(_targets(t), t.stored("text_relationships"), aliases=D.SUBJECT_ALIASES)
 
 
 @query
@@ -834,7 +848,7 @@ def format_lines(t: Tables) -> DataFrame:
 
 
 def _parts(t: Tables) -> DataFrame:
-    return H.hybrid_context(t.questions, t.stored("search"), t.stored("context_relationships"), t.stored("summary"))
+    return H.hybrid_context(t.questions, t.index, t.stored("text_relationships"), t.stored("summary"), aliases=D.SUBJECT_ALIASES)
 
 
 @query

@@ -18,6 +18,8 @@ JOB_CONF = {
     # bounds the whole texts that one Python worker holds at once
     "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
+    # a list of words asked for reaches the scan as such, not as the range it spans
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
     # A union that claims its inputs' partitioning breaks once adaptive execution
     # coalesces those inputs differently ("can't zip RDDs").
     "spark.sql.unionOutputPartitioning": "false",

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from docloom.session import materialize
 
 
 def read_table(spark: SparkSession, name: str, *columns: str) -> DataFrame:
@@ -87,7 +88,8 @@ def _quote(text: str) -> str:
 
 
 # ------------------------------------------------------------- change sets ----
-def _content_hash(df: DataFrame, key: str) -> Column:
+def content_hash(df: DataFrame, key: str) -> Column:
+    """A digest of all columns but the key."""
     values = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in sorted(df.columns) if c != key]
     return F.sha2(F.concat_ws("\1", *values), 256)
 
@@ -97,8 +99,8 @@ def chunk_changes(old: DataFrame, new: DataFrame, key: str = "chunk_id") -> Data
 
     Only keys and content hashes are shuffled; texts stay where they are.
     """
-    before = old.select(key, _content_hash(old, key).alias("_old"))
-    after = new.select(key, _content_hash(new, key).alias("_new"))
+    before = old.select(key, content_hash(old, key).alias("_old"))
+    after = new.select(key, content_hash(new, key).alias("_new"))
     change = (
         F.when(F.col("_old").isNull(), "insert")
         .when(F.col("_new").isNull(), "delete")
@@ -113,3 +115,47 @@ def apply_changes(old: DataFrame, new: DataFrame, changes: DataFrame, key: str =
     gone = changes.where(F.col("change").isin("delete", "update")).select(key)
     come = changes.where(F.col("change").isin("insert", "update")).select(key)
     return old.join(gone, key, "left_anti").unionByName(new.join(come, key, "left_semi"))
+
+
+# ------------------------------------------------------- bucketed tables ----
+def bucket_of(key: Column | str, buckets: int) -> Column:
+    """The bucket of a key: the partition of a bucketed table that holds it."""
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def write_buckets(df: DataFrame, path: str, touched: list[int] | None = None) -> None:
+    """Write rows with their ``bucket`` as a folder partitioned by it.
+
+    With ``touched``, ``df`` holds these buckets' rows: only their partitions are replaced,
+    and those that have no rows any more go.
+    """
+    mode = "static" if touched is None else "dynamic"
+    df.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("bucket").parquet(path)
+    if touched:
+        filled = {r["bucket"] for r in df.select("bucket").distinct().collect()}  # numbers of buckets
+        for bucket in set(touched) - filled:
+            folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(f"{path}/bucket={bucket}")
+            folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def touched_buckets(changes: DataFrame, key: str, buckets: int) -> list[int]:
+    """Numbers of the buckets that hold a changed key."""
+    moved = changes.where(F.col("change") != "same").select(bucket_of(key, buckets).alias("bucket"))
+    return [r["bucket"] for r in moved.distinct().collect()]
+
+
+def write_bucketed(df: DataFrame, path: str, key: str = "chunk_id", buckets: int = 64) -> None:
+    """A keyed table in buckets of its key, for ``apply_bucketed``."""
+    write_buckets(df.withColumn("bucket", bucket_of(key, buckets)).repartition("bucket"), path)
+
+
+def apply_bucketed(spark: SparkSession, path: str, new: DataFrame, changes: DataFrame, key: str = "chunk_id", buckets: int = 64) -> DataFrame:
+    """Apply a change set to a table that ``write_bucketed`` wrote: only the buckets of changed keys are read and rewritten."""
+    touched = touched_buckets(changes, key, buckets)
+    if touched:
+        stored = spark.read.parquet(path)
+        columns = [c for c in stored.columns if c != "bucket"]
+        rows = apply_changes(stored.where(F.col("bucket").isin(touched)).select(*columns), new.select(*columns), changes, key)
+        rows = materialize(rows.withColumn("bucket", bucket_of(key, buckets)), "buckets")  # read from the folder it goes to
+        write_buckets(rows.repartition("bucket"), path, touched)
+    return spark.read.parquet(path).drop("bucket")

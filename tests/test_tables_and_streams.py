@@ -163,14 +163,33 @@ def test_summary_is_recomputed_from_gold(spark):
     assert S.ordered_summary(S.investment_summary(gold)).first().document_count == 3
 
 
-def test_an_unchanged_sync_builds_nothing(spark, rows):
-    from docloom.operators import index as IX
-
-    columns = "chunk_id string, chunk_to_embed string, chunk_text string"
-    old = spark.createDataFrame([("a", "x one", "one"), ("b", "x two", "two"), ("c", "x three", "three")], columns)
-    new = spark.createDataFrame([("a", "x one", "one"), ("b", "x two", "two and more"), ("d", "x four", "four")], columns)
-    index = SS.materialize(IX.build_index(old), "index")
-    assert IX.stale_chunks(ST.chunk_changes(old, old), old).count() == 0
-    assert rows(IX.stale_chunks(ST.chunk_changes(old, new), new), "chunk_id") == [("b",), ("d",)]
-    synced = IX.sync_index(index, new)
-    assert rows(synced) == rows(IX.build_index(new)) and rows(IX.sync_index(index, old)) == rows(index)
+def files_of(path):
+    return {str(f.relative_to(path)): f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+
+
+def test_only_buckets_of_changed_keys_are_rewritten(spark, tmp_path):
+    old = spark.createDataFrame([(f"k{n}", f"text {n}") for n in range(200)], "chunk_id string, body string")
+    new = spark.createDataFrame([("k3", "rewritten"), ("new", "come"), *((f"k{n}", f"text {n}") for n in range(4, 200))], "chunk_id string, body string")
+    path = f"{tmp_path}/table"
+    ST.write_bucketed(old, path, buckets=16)
+    before = files_of(tmp_path / "table")
+    changes = ST.chunk_changes(old, new)
+    got = ST.apply_bucketed(spark, path, new, changes, buckets=16)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, new.collect()))
+    touched = {f"bucket={b}" for b in ST.touched_buckets(changes, "chunk_id", 16)}
+    after = files_of(tmp_path / "table")
+    kept = {f for f in before if f.split("/")[0] not in touched}
+    assert len(touched) <= 5 and kept
+    assert all(after[f] == before[f] for f in kept)
+    assert not any(f in after for f in before if f.split("/")[0] in touched)
+
+
+def test_buckets_that_lose_all_rows_go(spark, tmp_path):
+    rows = spark.createDataFrame([(f"k{n}", "x") for n in range(20)], "chunk_id string, body string")
+    path = f"{tmp_path}/table"
+    ST.write_bucketed(rows, path, buckets=8)
+    one = rows.where("chunk_id = 'k7'")
+    got = ST.apply_bucketed(spark, path, one, ST.chunk_changes(rows, one), buckets=8)
+    assert got.collect() == one.collect() and len({f.split("/")[0] for f in files_of(tmp_path / "table")}) == 1
+    again = ST.apply_bucketed(spark, path, one, ST.chunk_changes(one, one), buckets=8)
+    assert again.collect() == one.collect()

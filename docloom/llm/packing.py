@@ -204,7 +204,7 @@ def plan(counts: dict[int, int], capacity: Capacity = Capacity()) -> np.ndarray:
 # ------------------------------------------------------------- the jobs -----
 def pieces(docs: DataFrame, tokenizer: str, capacity: Capacity = Capacity(), end_id: int = END_ID, ids: bool = False) -> DataFrame:
     """Rows (doc_id, piece, start, length, ids_crc32, part, nth[, ids]): the pieces, each with its number among those of its length in its task."""
-    source = docs.sparkSession.sparkContext.broadcast(read_text(tokenizer))
+    shared = docs.sparkSession.sparkContext.broadcast({"source": read_text(tokenizer)})
     arrow_batches(docs)
     longest, end = capacity.longest, struct.pack("<I", end_id)
     id_type = docs.schema["doc_id"].dataType.simpleString()
@@ -214,10 +214,11 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: Capacity = Capacity(), end
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.set_threshold(200_000, 50, 50)  # the memories hold no cycles
-        encoder, seen, part = None, [0] * (longest + 1), TaskContext.get().partitionId()
+        seen, part, held = [0] * (longest + 1), TaskContext.get().partitionId(), shared.value
         for batch in batches:
             for some in slices(batch):
-                encoder = encoder or ChunkEncoder(source.value)
+                # the tasks of one worker share what it was sent, and so its encoder and what that knows
+                encoder = held["encoder"] = held.get("encoder") or ChunkEncoder(held["source"])
                 row, out = [], []
                 for k, raw in enumerate(encoder.encode(some.column("text").to_pylist())):
                     raw += end

@@ -48,7 +48,7 @@ from docloom.session import materialize, scratch_folder
 FRAME_IDS = 1 << 18
 FILE_IDS = 1 << 27
 LEVEL = 1
-#: Distinct chunks one task remembers.
+#: Distinct chunks one worker remembers, twice.
 CACHE_CHUNKS = 400_000
 
 # Fixed values of the zstandard (seekable) format.
@@ -103,6 +103,7 @@ class TextEncoder:
         self.words = WordCache(library.cut_other, library.encode)
         self.hasher = WordHasher(chunk_table())
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
         """Ids of distinct chunks: plain ones are cut all at once, as every sign of a chunk is in one of its words."""
@@ -129,13 +130,16 @@ class TextEncoder:
         mapped, starts, ends = self.hasher.spans(data, offsets)
         hashes = self.hasher.hashes(mapped, starts, ends)
         at, which = distinct_spans(data, starts, ends, hashes)
-        if len(self.known) > CACHE_CHUNKS:
-            self.known.clear()
-        known = self.known
+        if len(self.known) > CACHE_CHUNKS:  # common chunks outlive a full memory
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
         bounds = zip(starts[at].tolist(), ends[at].tolist(), strict=True)
         raw = data.tobytes()
         chunks = [raw[a:b] for a, b in bounds]
         new = [c for c in chunks if c not in known]
+        if older:
+            known.update({c: older[c] for c in new if c in older})
+            new = [c for c in new if c not in known]
         for low in range(0, len(new), 50_000):
             part = new[low : low + 50_000]
             known.update(zip(part, self._chunks([c.decode() for c in part]), strict=True))
@@ -195,7 +199,7 @@ class FrameFile:
 def write_documents(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 1, parts: int | None = None) -> DataFrame:
     """Encode all documents, write them to ``folder`` and return the stored list of files (MANIFEST)."""
     spark = docs.sparkSession
-    source = spark.sparkContext.broadcast(read_text(tokenizer))
+    shared = spark.sparkContext.broadcast({"source": read_text(tokenizer)})
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     end = struct.pack("<I", end_id)
 
@@ -203,7 +207,7 @@ def write_documents(docs: DataFrame, tokenizer: str, folder: str, end_id: int =
         gc.set_threshold(200_000, 50, 50)
         files, root = pafs.FileSystem.from_uri(folder)
         part = TaskContext.get().partitionId()
-        encoder = file = None
+        file, held = None, shared.value
         seq, done = 0, []
 
         def finish() -> None:
@@ -212,7 +216,8 @@ def write_documents(docs: DataFrame, tokenizer: str, folder: str, end_id: int =
 
         for batch in batches:
             for piece in slices(batch):
-                encoder = encoder or TextEncoder(source.value)
+                # the tasks of one worker share what it was sent, and so its encoder and what that knows
+                encoder = held["encoder"] = held.get("encoder") or TextEncoder(held["source"])
                 ids, first = encoder.encode(piece.column("text"))
                 first = first.tolist()
                 for doc_id, a, b in zip(piece.column("doc_id").to_pylist(), first[:-1], first[1:], strict=True):

@@ -47,8 +47,8 @@ from docloom.llm.bpe import read_text
 from docloom.session import materialize
 
 TOKENS, END_ID = 2048, 0
-#: Chunks one task remembers, twice; rows of a plan that tasks may be sent.
-CACHE_CHUNKS, PLAN_ROWS = 300_000, 2_000_000
+#: Chunks one worker remembers, twice (about 140 MB each); rows of a plan that tasks may be sent.
+CACHE_CHUNKS, PLAN_ROWS = 700_000, 2_000_000
 
 #: A space that a chunk can't start with: white space or nothing is behind it.
 LOOSE = re.compile(r" (?=\s|$)")

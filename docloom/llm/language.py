@@ -30,8 +30,8 @@ from docloom.llm.arrays import arrow_batches, bounded_sample, by_text, slices, s
 SAMPLE_ROWS = 20_000
 ORDERS, BUCKETS = 3, 1 << 16
 SMOOTHING = 0.5
-#: Bytes that the matrix may have; more languages get fewer buckets.
-MATRIX_BYTES = 64 << 20
+#: Languages that a task holds the log probabilities of at once: 64 MB.
+BLOCK_LANGS = 256
 UNKNOWN = "und"
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -91,22 +91,35 @@ def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[list[str], np.nda
     langs = [r["lang"] for r in held]
     if not langs:
         return [], np.zeros((BUCKETS + 1, 0), np.float32)
-    buckets = BUCKETS
-    while buckets > 256 and (buckets + 1) * len(langs) * 4 > MATRIX_BYTES:
-        buckets //= 2
-    counts = np.zeros((buckets, len(langs)))
-    table = count_grams(sample, buckets).toArrow()  # at most languages x buckets rows
+    counts = np.zeros((BUCKETS, len(langs)), np.float32)
+    table = count_grams(sample, BUCKETS).toArrow()  # at most as many rows as the bounded sample has n-grams
     column = {lang: k for k, lang in enumerate(langs)}
     counts[table.column("bucket").to_numpy(), [column[x] for x in table.column("lang").to_pylist()]] = table.column("n").to_numpy()
     counts += SMOOTHING
     prior = np.array([r["count"] for r in held], float)
-    return langs, np.vstack([np.log(counts / counts.sum(axis=0)), np.log(prior / prior.sum())]).astype(np.float32)
+    return langs, np.vstack([np.log(counts / counts.sum(axis=0, dtype=np.float64)), np.log(prior / prior.sum())]).astype(np.float32)
 
 
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], keep: list[str] | None = None) -> DataFrame:
-    """Add ``lang_pred`` and ``score`` (its posterior probability); columns of these names are replaced."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ("lang_pred", "score")]
+    """Add ``lang_pred`` and ``score`` (its posterior probability); columns of these names are replaced.
+
+    More languages than ``BLOCK_LANGS`` are scored block by block, each with the best of the blocks before it.
+    """
+    langs, matrix = model
+    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ("lang_pred", "score", "__total", "__best")]
+    out = docs.select(*dict.fromkeys([*keep, "text"]))
+    out = out.withColumns({"lang_pred": F.lit(UNKNOWN), "__best": F.lit(float("-inf")), "__total": F.lit(float("-inf"))})
+    for low in range(0, max(len(langs), 1), BLOCK_LANGS):
+        block = (langs[low : low + BLOCK_LANGS], np.ascontiguousarray(matrix[:, low : low + BLOCK_LANGS]))
+        last = low + BLOCK_LANGS >= len(langs)
+        out = _scored(out, block, keep if last else list(dict.fromkeys([*keep, "text"])))
+    return out.select(*keep, "lang_pred", F.when(F.col("lang_pred") == UNKNOWN, 0.0).otherwise(F.exp(F.col("__best") - F.col("__total"))).alias("score"))
+
+
+def _scored(docs: DataFrame, block: tuple[list[str], np.ndarray], keep: list[str]) -> DataFrame:
+    """The best language so far, its log probability and the logarithm of the sum of all, with one more block."""
+    sent = docs.sparkSession.sparkContext.broadcast(block)
+    found = ["lang_pred", "__best", "__total"]
 
     def work() -> Callable[[pa.RecordBatch], list[pa.Array]]:
         langs, matrix = sent.value
@@ -120,12 +133,17 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], keep: list[str
             for places, starts, has in grams([t or "" for t in batch.column("text").to_pylist()], letters, buckets):
                 for k, logs in enumerate(columns):
                     total[:, k] += sums_by_text(logs[places], starts)
-            if not langs:
-                return [pa.array([UNKNOWN] * n, pa.string()), pa.array(np.zeros(n))]
-            best = total.argmax(axis=1)
-            chance = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
-            return [pa.array([langs[b] if h else UNKNOWN for b, h in zip(best, has, strict=True)], pa.string()), pa.array(np.where(has, chance, 0.0))]
+            names, best, whole = (batch.column(c) for c in found)
+            if langs:
+                best, whole = best.to_numpy(), whole.to_numpy()
+                top = total.max(axis=1)
+                better = has & (top > best)  # ties go to the language that comes first
+                names = [langs[k] if b else name for k, b, name in zip(total.argmax(axis=1), better, names.to_pylist(), strict=True)]
+                whole = np.logaddexp(whole, top + np.log(np.exp(total - top[:, None]).sum(axis=1)))
+                best = np.maximum(best, top)
+            return [pa.array(names, pa.string()), pa.array(best, pa.float64()), pa.array(whole, pa.float64())]
 
         return add
 
-    return by_text(docs, work, [("lang_pred", st.StringType()), ("score", st.DoubleType())], keep)
+    added = [("lang_pred", st.StringType()), ("__best", st.DoubleType()), ("__total", st.DoubleType())]
+    return by_text(docs, work, added, [c for c in keep if c not in found], reads=tuple(found))

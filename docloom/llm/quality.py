@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as st
 
-from docloom.llm.arrays import arrow_batches, bounded_sample, by_text, slices, text_bytes
+from docloom.llm.arrays import WordHasher, arrow_batches, bounded_sample, by_text, chunk_table, slices, text_bytes
 from docloom.session import materialize
 
 SAMPLE_ROWS, SAMPLE_BYTES = 3_000, 12_000
@@ -48,7 +48,7 @@ def class_table() -> np.ndarray:
     return table
 
 
-def passages(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def passages(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, hasher: WordHasher) -> tuple[np.ndarray, np.ndarray]:
     """Encoded passages, and the first passage of each text (n + 1); an empty text is one passage."""
     sizes = np.diff(offsets)
     count = np.maximum(-(-sizes // PASSAGE_BYTES), 1)
@@ -65,29 +65,23 @@ def passages(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[
     out = np.empty((n, WIDTH), np.float32)
     out[:, : CLASSES * CLASSES] = np.sqrt(pair_counts / total)
     out[:, CLASSES * CLASSES : -REPEATS] = np.sqrt(counts / total)
-    out[:, -4] = np.repeat(distinct_share(data, offsets), count)
+    out[:, -4] = np.repeat(distinct_share(data, offsets, hasher), count)
     out[:, -3] = np.minimum(total[:, 0] / PASSAGE_BYTES, 1)
     out[:, -2] = np.log1p(np.repeat(sizes, count)) / 10
     out[:, -1] = 1
     return out, first
 
 
-def distinct_share(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Share of words of each text that it has not had before, by hashes of eight bytes at every word start."""
-    out = np.ones(len(offsets) - 1, np.float32)
-    if len(data) < 9:
-        return out
-    gap = (data == 32) | (data == 10)
-    at = np.flatnonzero(gap[:-8])
-    text = np.searchsorted(offsets, at, side="right") - 1
-    inside = at + 8 < offsets[text + 1]
-    at, text = at[inside], text[inside]
-    value = np.zeros(len(at), np.uint64)
-    for k in range(1, 9):
-        value = value * np.uint64(257) + (data[at + k] | 32)
-    value = (value * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(24)) | (text.astype(np.uint64) << np.uint64(40))
-    once = np.bincount((np.unique(value) >> np.uint64(40)).astype(np.int64), minlength=len(out))
-    total = np.bincount(text, minlength=len(out))
+def distinct_share(data: np.ndarray, offsets: np.ndarray, hasher: WordHasher) -> np.ndarray:
+    """Share of words of each text that it has not had before; words are what lies between white space, told apart by 64-bit hashes."""
+    mapped, starts, ends = hasher.spans(data, offsets)
+    first = np.searchsorted(starts, offsets)
+    text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
+    word = pa.array(hasher.hashes(mapped, starts, ends)).dictionary_encode().indices.to_numpy().astype(np.int64)
+    pair = np.sort(text * (int(word.max(initial=0)) + 1) + word)
+    new = np.concatenate([[True], pair[1:] != pair[:-1]]) if len(pair) else np.zeros(0, bool)
+    once = np.bincount(text[new], minlength=len(first) - 1) if len(pair) else np.zeros(len(first) - 1)  # sorting keeps each text's places
+    total = np.diff(first)
     return np.where(total > 0, once / np.maximum(total, 1), 1).astype(np.float32)
 
 
@@ -151,10 +145,10 @@ def sample_passages(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray, np.nda
     arrow_batches(labelled)
 
     def run(batches):
-        table = class_table()
+        table, hasher = class_table(), WordHasher(chunk_table())
         for batch in batches:
             for part in slices(batch):
-                x, first = passages(*text_bytes(part.column("text")), table)
+                x, first = passages(*text_bytes(part.column("text")), table, hasher)
                 raw = [x[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column("label"), pa.array(raw, pa.binary())], names=["label", "passages"])
 
@@ -182,12 +176,12 @@ def score(docs: DataFrame, net: Net | None, keep: list[str] | None = None) -> Da
     keep = [c for c in (docs.columns if keep is None else keep) if c.lower() != "score"]
 
     def work() -> Callable[[pa.RecordBatch], list[pa.Array]]:
-        table, model = class_table(), None if sent.value is None else Net(sent.value)
+        table, hasher, model = class_table(), WordHasher(chunk_table()), None if sent.value is None else Net(sent.value)
 
         def add(batch: pa.RecordBatch) -> list[pa.Array]:
             if model is None:
                 return [pa.array(np.full(batch.num_rows, 0.5))]
-            x, first = passages(*text_bytes(batch.column("text")), table)
+            x, first = passages(*text_bytes(batch.column("text")), table, hasher)
             return [pa.array(model.forward(x, first)["p"].astype(np.float64))]
 
         return add

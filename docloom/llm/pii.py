@@ -9,7 +9,7 @@ Bootstrap: base matches are seed instances. The last word in front of an instanc
 the last two, lower-cased with digits folded, are two lexical patterns; both are read
 from the text in front, whatever matches lie in it. All other tokens with a digit,
 with the patterns in front of them, are candidate instances. Patterns
-and instances make a graph of distinct pairs. In each of ``ROUNDS`` rounds a pattern
+and instances make a graph of distinct pairs. In each round, until nothing moves any more, a pattern
 scores the mean of its instances' scores (seeds 1, others what they have so far), if
 enough distinct instances support it; an instance scores the best of its patterns.
 Patterns at ``CONFIDENT`` or more at the end give their identifier-like candidates as
@@ -45,10 +45,11 @@ PATTERNS = {
 HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 #: A token with a digit.
 TOKEN = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
-#: What a discovered identifier must look like: so many digits or more, so many characters.
-LEAST_DIGITS, LEAST_CHARS, MOST_CHARS = 5, 7, 64
-ROUNDS = 3
+#: What a discovered identifier must look like: so many digits or more, so many characters or more.
+LEAST_DIGITS, LEAST_CHARS = 5, 7
 CONFIDENT, SUPPORT = 0.8, 5
+#: Confidences that move by no more than this have settled.
+SETTLED = 1e-6
 #: Characters in front of an instance that its pattern is read from.
 CONTEXT_CHARS = 64
 
@@ -148,21 +149,30 @@ def patterns_of(context: Column) -> Column:
 
 
 # ------------------------------------------------------------- bootstrap ----
-def confident_patterns(pairs: DataFrame, rounds: int = ROUNDS, confident: float = CONFIDENT, support: int = SUPPORT) -> DataFrame:
-    """Patterns (``pattern``, ``confidence``) that hold after scoring the graph; ``pairs``: distinct (pattern, instance, seed)."""
-    scored = pairs.withColumn("score", F.col("seed").cast("double"))
-    for n in range(rounds):
+def confident_patterns(pairs: DataFrame, confident: float = CONFIDENT, support: int = SUPPORT) -> DataFrame:
+    """Patterns (``pattern``, ``confidence``) that hold after scoring the graph; ``pairs``: distinct (pattern, instance, seed).
+
+    Scores only rise, so rounds end: once every confident pattern was confident before, as sure as it is now.
+    """
+    scored, before = pairs.withColumn("score", F.col("seed").cast("double")), None
+    while True:
         sure = F.when(F.col("score") >= confident, 1)
-        patterns = scored.groupBy("pattern").agg(F.avg("score").alias("confidence"), F.count(sure).alias("n_sure")).where((F.col("n_sure") >= support) & (F.col("confidence") >= confident)).select("pattern", "confidence")
-        if n == rounds - 1:
-            break
+        patterns = scored.groupBy("pattern").agg(F.avg("score").alias("confidence"), F.count(sure).alias("n_sure"))
+        patterns = materialize(patterns.where((F.col("n_sure") >= support) & (F.col("confidence") >= confident)).select("pattern", "confidence"), "pii-patterns")
+        if before is not None:
+            known = before.select("pattern", F.col("confidence").alias("known"))
+            moved = patterns.join(known, "pattern", "left").where(F.col("known").isNull() | (F.col("confidence") - F.col("known") > SETTLED))
+            if not moved.head(1):
+                return patterns
+        elif not patterns.head(1):
+            return patterns
         # only patterns with support carry scores on, so what is joined shrinks to them
         reached = pairs.join(patterns, "pattern").groupBy("instance").agg(F.max("confidence").alias("reached"))
         scored = materialize(pairs.join(reached, "instance", "left").select("pattern", "instance", "seed", F.greatest(F.col("seed").cast("double"), F.coalesce("reached", F.lit(0.0))).alias("score")), "pii-graph")
-    return materialize(patterns, "pii-patterns")
+        before = patterns
 
 
-def find(docs: DataFrame, rounds: int = ROUNDS, confident: float = CONFIDENT, support: int = SUPPORT) -> DataFrame:
+def find(docs: DataFrame, confident: float = CONFIDENT, support: int = SUPPORT) -> DataFrame:
     """Rows (doc_id, text_key, base, extra): spans (start, kind_no, end) of every text, base and discovered."""
     rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
     rows = base_spans(rows)
@@ -170,13 +180,13 @@ def find(docs: DataFrame, rounds: int = ROUNDS, confident: float = CONFIDENT, su
     rows = apart(rows, "token", "apart")
     instance = lambda s: F.struct(context(s["before"]).alias("pattern"), F.xxhash64(F.lower(s["value"])).alias("instance"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"))
     plain = lambda s: F.struct(s["start"].alias("start"), s["kind_no"].alias("kind_no"), s["end"].alias("end"))
-    likely = lambda s: (F.length(s["value"]).between(LEAST_CHARS, MOST_CHARS)) & (F.length(digits_of(s["value"])) >= LEAST_DIGITS)
+    likely = lambda s: (F.length(s["value"]) >= LEAST_CHARS) & (F.length(digits_of(s["value"])) >= LEAST_DIGITS)
     shaped = lambda t: F.struct(t["pattern"].alias("pattern"), t["instance"].alias("instance"), t["start"].alias("start"), t["end"].alias("end"), likely(t).alias("likely"))
     rows = rows.select("doc_id", F.xxhash64("text").alias("text_key"), F.transform("base", plain).alias("base"), F.transform(F.transform("base", instance), shaped).alias("seeds"), F.transform(F.transform(F.col("apart"), instance), shaped).alias("tokens"))
     rows = materialize(rows, "pii-spans")
     seen = rows.select(F.explode("seeds").alias("s"), F.lit(1).alias("seed")).unionByName(rows.select(F.explode("tokens").alias("s"), F.lit(0).alias("seed")))
     pairs = seen.select(F.explode(patterns_of(F.col("s.pattern"))).alias("pattern"), "s.instance", "seed").where("pattern <> ''").groupBy("pattern", "instance").agg(F.max("seed").alias("seed"))
-    patterns = confident_patterns(materialize(pairs, "pii-pairs"), rounds, confident, support)
+    patterns = confident_patterns(materialize(pairs, "pii-pairs"), confident, support)
     tokens = rows.select("doc_id", "text_key", F.explode("tokens").alias("t")).where("t.likely").select("doc_id", "text_key", F.explode(patterns_of(F.col("t.pattern"))).alias("pattern"), "t.start", "t.end")
     extra = tokens.join(patterns.select("pattern"), "pattern").groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set(F.struct("start", F.lit(len(PATTERNS)).alias("kind_no"), "end"))).alias("extra"))
     extra = extra.select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"), "extra")

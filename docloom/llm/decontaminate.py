@@ -33,8 +33,8 @@ from docloom.llm.arrays import Member, WordHasher, arrow_batches, by_text, slice
 from docloom.session import materialize
 
 WINDOW = 10
-#: Windows that tasks hold at once: about 60 MB with their words and items.
-BLOCK_WINDOWS = 200_000
+#: Rows of windows that tasks hold at once, and item ids that one row has on average at most: about 60 MB.
+BLOCK_WINDOWS, ROW_ITEMS = 200_000, 8
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -45,14 +45,19 @@ def words_of(text: Column) -> Column:
 
 
 def windows_of(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Distinct windows (words joined by spaces, number of words) with the sorted ids of the items that have them."""
+    """Distinct windows (words joined by spaces, number of words) with the ids of the items that have them.
+
+    A window of many items has a row for every ``ROW_ITEMS`` or so of them, so no list grows with the benchmark.
+    """
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), words_of(F.col("text")).alias("words")).where(F.size("words") > 0)
     size, long = F.size("words"), F.col("words")
     for k in range(1, window):  # a word more each time, for all windows at once
         long = F.zip_with(F.slice(long, 1, size - k), F.slice("words", k + 1, size - k), lambda a, b: F.concat(a, F.lit(" "), b))
     cut = F.when(size >= window, long).otherwise(F.array(F.array_join("words", " ")))
     rows = items.select("item", F.least(size, F.lit(window)).alias("n"), F.explode(cut).alias("window"))
-    return rows.groupBy("window").agg(F.max("n").alias("n"), F.sort_array(F.collect_set("item")).alias("items"))
+    held = rows.groupBy("window").agg(F.ceil(F.count("*") / ROW_ITEMS).alias("parts")).where("parts > 1")
+    part = F.when(F.col("parts").isNotNull(), F.pmod(F.xxhash64("item"), "parts")).otherwise(F.lit(0))
+    return rows.join(held, "window", "left").groupBy("window", part.alias("part")).agg(F.max("n").alias("n"), F.collect_set("item").alias("items")).drop("part")
 
 
 def word_counts(docs: DataFrame, words: np.ndarray) -> DataFrame:
@@ -138,7 +143,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     windows = materialize(windows_of(benchmark, window), "benchmark-windows")
     blocks = max(1, -(-windows.count() // block))
     out = docs.withColumns({"n_words": F.lit(0).cast("long"), "hits": F.array().cast("array<long>"), "items": F.array().cast("array<string>")})
-    part = F.pmod(F.xxhash64("window"), F.lit(blocks))
+    part = F.pmod(F.xxhash64("window", "items"), F.lit(blocks))
     for n in range(blocks):
         rows = windows.where(part == n).collect()  # at most about BLOCK_WINDOWS rows of WINDOW words
         places = np.unique(hash_words([w for r in rows for w in r["window"].split(" ")]))

@@ -218,8 +218,8 @@ def by_text(df: DataFrame, function: Callable[[pa.RecordBatch], list[pa.Array]],
                 columns = [part.column(c) for c in keep] + list(work(part))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    needed = list(dict.fromkeys([*keep, "text", *reads]))
-    return df.select(*needed).mapInArrow(run, schema)
+    needed = dict.fromkeys([*keep, "text", *reads])
+    return df.select(*("`" + c.replace("`", "``") + "`" for c in needed)).mapInArrow(run, schema)
 
 
 def fraction_of(n_rows: int, wanted: int) -> float:

@@ -87,8 +87,9 @@ class WindowIndex:
     def __init__(self, windows: list[str], sizes: np.ndarray, hashes: np.ndarray, rarest: np.ndarray) -> None:
         self.words = [w.encode().split(b" ") for w in windows]
         self.sizes, self.hashes = sizes, hashes
-        order = np.argsort(rarest_words := hashes[np.arange(len(windows)), rarest], kind="stable")
-        self.prefix, self.first, self.count = np.unique(rarest_words[order], return_index=True, return_counts=True)
+        prefixes = hashes[np.arange(len(windows)), rarest]
+        order = np.argsort(prefixes, kind="stable")
+        self.prefix, self.first, self.count = np.unique(prefixes[order], return_index=True, return_counts=True)
         self.order, self.offset = order, rarest[order]
         self.member = Member(self.prefix)
 
@@ -119,15 +120,15 @@ class WindowIndex:
         return begin[same], window[same]
 
 
-def index_of(rows: list, counts: dict[int, int], places: np.ndarray) -> WindowIndex:
-    """Index of a block's windows; ties of rarity go to the earlier word."""
+def rarest_words(rows: list, counts: dict[int, int], places: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """A block's windows, their sizes, their words' hashes and which word is rarest (ties: the earlier one), as a WindowIndex takes them."""
     sizes = np.array([r["n"] for r in rows], np.int64)
     hashes = np.zeros((len(rows), int(sizes.max(initial=1))), np.uint64)
     hashes[np.arange(hashes.shape[1]) < sizes[:, None]] = hash_words([w for r in rows for w in r["window"].split(" ")])
     frequency = np.array([counts.get(n, 0) for n in range(len(places))] or [0], np.int64)
     rarity = frequency[np.searchsorted(places, hashes).clip(0, len(frequency) - 1)]
     rarity[np.arange(hashes.shape[1]) >= sizes[:, None]] = np.iinfo(np.int64).max
-    return WindowIndex([r["window"] for r in rows], sizes, hashes, rarity.argmin(axis=1))
+    return [r["window"] for r in rows], sizes, hashes, rarity.argmin(axis=1)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block: int = BLOCK_WINDOWS) -> DataFrame:
@@ -148,7 +149,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
         rows = windows.where(part == n).collect()  # at most about BLOCK_WINDOWS rows of WINDOW words
         places = np.unique(hash_words([w for r in rows for w in r["window"].split(" ")]))
         counts = {r["place"]: r["n"] for r in word_counts(docs, places).collect()} if rows else {}
-        index = spark.sparkContext.broadcast((index_of(rows, counts, places), [r["items"] for r in rows]))
+        index = spark.sparkContext.broadcast((rarest_words(rows, counts, places), [r["items"] for r in rows]))
         out = _join(out, index)
     signed = F.transform("hits", lambda x, k: F.when(k % 2 == 0, -x).otherwise(x))
     return out.withColumn("n_hit", F.aggregate(signed, F.lit(0).cast("long"), lambda total, x: total + x))
@@ -160,7 +161,8 @@ def _join(docs: DataFrame, index) -> DataFrame:
 
     def work() -> Callable[[pa.RecordBatch], list[pa.Array]]:
         hasher = WordHasher()
-        windows, items = index.value
+        parts, items = index.value
+        windows = WindowIndex(*parts)
 
         def add(batch: pa.RecordBatch) -> list[pa.Array]:
             lowered, starts, ends, words, first = hasher.words(batch.column("text"))

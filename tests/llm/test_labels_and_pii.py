@@ -180,6 +180,18 @@ def test_stages_keep_the_columns_and_their_order(spark):
         assert function(spark, docs.limit(0), SF).count() == 0
 
 
+def test_stages_bear_any_column_names_and_rows(spark):
+    rows = [(1, "one two three four five six", "x", 1, "k"), (1, "one two three four five six", "x", 1, "k"), (2, None, None, None, None), (3, "", "y", 2, "q"), (4, "mail me a@b.com", "z", 3, "r"), (None, "lonely", None, 4, "s"), (5, "word " * 20_000, "l", 5, "t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, hits string, `__spans` int, score string")
+    docs = docs.withColumns({"rest": docs["hits"], "a.b": docs["score"], "id": docs["doc_id"], "key": docs["doc_id"], "n_tokens": docs["doc_id"]})
+    for name, run in corpus_pipeline.STAGES:
+        assert run(spark, docs.limit(0), SF).count() == 0
+        before, docs = docs.columns, run(spark, docs, SF)
+        assert docs.columns == before or name == "bpe"
+    left = {r["doc_id"]: r for r in docs.collect()}
+    assert left.keys() == {None, 1, 2, 4, 5} and (left[4]["hits"], left[4]["a.b"], left[2]["n_tokens"]) == ("z", "r", 0)
+
+
 def test_copies_leave_one_of_each_group(spark):
     rnd = random.Random(1)
     text = " ".join(rnd.choice(["alpha", "beta", "gamma", "delta", "eps"]) + str(rnd.randrange(50)) for _ in range(400))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -13,12 +15,34 @@ from docloom.llm.queries import VOCABULARY, table
 from docloom.session import materialize, scratch_folder
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def keeps_columns(stage: Stage) -> Stage:
+    """A stage that sees ``doc_id``, ``text`` and one struct ``rest`` of all other columns, so their names clash with none of its own."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        others = [c for c in docs.columns if c not in ("doc_id", "text")]
+        rest = F.struct(*(F.col(f"`{c}`") for c in others)) if others else F.lit(None).cast("int")
+        out = stage(spark, docs.select("doc_id", "text", rest.alias("rest")), sf_dir)
+        return out.select(*(F.col("rest").getField(c).alias(c) if c in others else c for c in docs.columns))
+
+    return run
+
+
+@keeps_columns
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model rejects go; it learns from the labelled ones that are here."""
+    """Documents that the toxicity model rejects go; it learns from the labelled ones that are here.
+
+    NULL and wordless texts have the score of the bias alone; equal rows share their lot;
+    without labels nothing goes; an empty table stays empty; long texts are scored whole.
+    """
     model = toxicity.fit_on(docs, table(spark, sf_dir, "labels"), "toxic")
-    return toxicity.score(docs, model).where(F.col("score") < 0.5).select(*docs.columns)
+    return toxicity.score(docs, model).where(F.col("score") < 0.5)
 
 
+@keeps_columns
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group stays: the one of the smallest doc_id (NULL last), then of the smallest text hash.
 
@@ -32,26 +56,38 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     counted = found.groupBy("component", "is_null", "doc_id", "text_key").agg(F.count("*").alias("n"))
     first = counted.groupBy("component").agg(F.min(row).alias("first"))
     marked = counted.join(first, "component").withColumn("stays", row == F.col("first"))
-    marked = materialize(marked.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__t"), "stays", "n"), "marked")
-    same = docs["doc_id"].eqNullSafe(F.col("__id")) & F.xxhash64(docs["text"]).eqNullSafe(F.col("__t"))
+    marked = materialize(marked.select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"), "stays", "n"), "marked")
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & F.xxhash64("text").eqNullSafe(F.col("key"))
     kept = docs.join(marked.where("NOT stays OR n > 1"), same, "left_anti")
-    repeated = docs.join(marked.where("stays AND n > 1"), same, "left_semi").withColumn("__t", F.xxhash64("text")).dropDuplicates(["doc_id", "__t"])
-    return kept.unionByName(repeated.drop("__t")).select(*docs.columns)
+    repeated = docs.join(marked.where("stays AND n > 1"), same, "left_semi").withColumn("key", F.xxhash64("text")).dropDuplicates(["doc_id", "key"])
+    return kept.unionByName(repeated.drop("key"))
 
 
+@keeps_columns
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a window of a benchmark item go."""
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return found.where(F.col("n_hit") == 0).select(*docs.columns)
+    """Documents that hold a window of a benchmark item go.
+
+    NULL and wordless texts hold none and stay, as does all where the benchmark is empty;
+    equal rows share their lot; an empty table stays empty; long texts are read whole.
+    """
+    return decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")).where(F.col("n_hit") == 0)
 
 
+@keeps_columns
 def hide_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data in every text gives way to its kind in brackets; the other columns stay as they were."""
+    """Personal data in every text gives way to its kind in brackets; the other columns stay as they were.
+
+    Every row stays; NULL and empty texts stay as they are; of overlapping spans the first
+    counts; equal rows change alike; long texts are read whole.
+    """
     return pii.redact(docs, pii.find(docs))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document that is left, beside its other columns."""
+    """Token ids of every document that is left (``n_tokens``, ``ids``), beside its other columns but the text; columns of these names are replaced.
+
+    NULL, empty and blank texts have no ids; equal rows have equal ids; an empty table gives no rows.
+    """
     return bpe.encode_decode(docs, public_tokenizers.path(VOCABULARY), keep=[c for c in docs.columns if c != "text"])
 
 

@@ -211,15 +211,18 @@ def by_text(df: DataFrame, function: Callable[[pa.RecordBatch], list[pa.Array]],
     keep = df.columns if keep is None else keep
     schema = st.StructType([df.schema[c] for c in keep] + [st.StructField(n, t) for n, t in added])
 
+    # mapInArrow reads a dot in a name as a field of a struct
+    sent = {c: c if "." not in c else f"__dotted{k}" for k, c in enumerate(dict.fromkeys([*keep, "text", *reads]))}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = function()
         for batch in batches:
             for part in slices(batch):
-                columns = [part.column(c) for c in keep] + list(work(part))
+                columns = [part.column(sent[c]) for c in keep] + list(work(part))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    needed = dict.fromkeys([*keep, "text", *reads])
-    return df.select(*("`" + c.replace("`", "``") + "`" for c in needed)).mapInArrow(run, schema)
+    needed = [F.col("`" + c.replace("`", "``") + "`").alias(n) for c, n in sent.items()]
+    return df.select(*needed).mapInArrow(run, schema)
 
 
 def fraction_of(n_rows: int, wanted: int) -> float:

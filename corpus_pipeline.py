@@ -19,14 +19,13 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def keeps_columns(stage: Stage) -> Stage:
-    """A stage that sees ``doc_id``, ``text`` and one struct ``rest`` of all other columns, so their names clash with none of its own."""
+    """A stage that sees ``doc_id``, ``text`` and all other columns under numbers, so their names clash with none of its own."""
 
     @wraps(stage)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        others = [c for c in docs.columns if c not in ("doc_id", "text")]
-        rest = F.struct(*(F.col(f"`{c}`") for c in others)) if others else F.lit(None).cast("int")
-        out = stage(spark, docs.select("doc_id", "text", rest.alias("rest")), sf_dir)
-        return out.select(*(F.col("rest").getField(c).alias(c) if c in others else c for c in docs.columns))
+        names = {c: c if c in ("doc_id", "text") else f"kept_column_{k}" for k, c in enumerate(docs.columns)}
+        out = stage(spark, docs.toDF(*names.values()), sf_dir)
+        return out.select(*(F.col(n).alias(c) for c, n in names.items()))
 
     return run
 

@@ -106,10 +106,26 @@ def train_classifier(labelled: DataFrame, text: str = "text", label: str = "labe
     ).fit(rows)
 
 
+def save_classifier(model, path: str) -> None:
+    """Store a fitted classifier in a folder that all executors share."""
+    model.write().overwrite().save(path)
+
+
+def load_classifier(path: str):
+    """A classifier that was stored before: scoring needs no labels and no training."""
+    from pyspark.ml import PipelineModel
+
+    return PipelineModel.load(path)
+
+
+def classify_with(df: DataFrame, model, names: list[str], text: str = "text", into: str = "predicted") -> DataFrame:
+    """Label every row with a fitted model: ``names[i]`` is the name of label ``i``; a NULL text has none."""
+    scored = model.transform(df.withColumn("tokens", T.tokens(F.coalesce(F.col(text), F.lit("")))))
+    named = F.element_at(F.array(*[F.lit(n) for n in names]), (F.col("prediction") + 1).cast("int"))
+    return scored.withColumn(into, F.when(F.col(text).isNotNull(), named)).select(*df.columns, into)
+
+
 def classify_model(df: DataFrame, labelled: DataFrame, names: list[str], text: str = "text", label: str = "label",
                    into: str = "predicted") -> DataFrame:
     """Same contract as ``classify``, learned: ``names[i]`` is the name of label ``i``."""
-    model = train_classifier(labelled, text, label)
-    scored = model.transform(df.withColumn("tokens", T.tokens(text)))
-    named = F.element_at(F.array(*[F.lit(n) for n in names]), (F.col("prediction") + 1).cast("int"))
-    return scored.withColumn(into, F.when(F.col(text).isNotNull(), named)).select(*df.columns, into)
+    return classify_with(df, train_classifier(labelled, text, label), names, text, into)

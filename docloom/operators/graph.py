@@ -7,7 +7,14 @@ they are shuffled on the hub's name.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+from collections.abc import Iterator
+from functools import reduce
+from itertools import repeat
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docloom.functions import text as T
@@ -311,31 +318,112 @@ def pattern_match(relationships: DataFrame, entities: DataFrame, start_type: str
     return edges.join(a, "subject").join(b, "object").select("start_id", "subject", "end_id", "object")
 
 
+#: Bytes of names that tasks are sent at once.
+NAME_BYTES = 64 << 20
+
+
+class Mentions:
+    """An Aho-Corasick automaton over words: every known name in a text, in one pass, however long names are.
+
+    A name is found wherever its words follow each other, also inside or across another name.
+    """
+
+    def __init__(self, names: list[str]) -> None:
+        import ahocorasick
+
+        self.numbers: dict[str, int] = {}
+        self.names, self.automaton = names, ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+        for k, name in enumerate(names):
+            self.automaton.add_word(tuple(self.numbers.setdefault(w, len(self.numbers) + 1) for w in name.split(" ")), k)
+        if names:
+            self.automaton.make_automaton()
+
+    def found(self, words: list[str] | None) -> list[str]:
+        """Distinct names, in their own order; a word of no name ends what was begun."""
+        if not words or not self.names:
+            return []
+        numbers = tuple(map(self.numbers.get, words, repeat(0)))
+        return [self.names[k] for k in sorted({k for _, k in self.automaton.iter(numbers)})]
+
+
+def mentions(texts: DataFrame, names: DataFrame, words: str = "_words", name: str = "_name") -> DataFrame:
+    """``texts`` without ``words``, a row for each distinct name that the words hold.
+
+    Names are dealt by their first word into as many parts as keep each within
+    ``NAME_BYTES``; a part's automaton is built once a task and reads each text once.
+    """
+    names = materialize(names.where(F.col(name) != "").select(name).distinct(), "names")
+    size = names.agg(F.coalesce(F.sum(F.octet_length(name) + 16), F.lit(0))).first()[0]
+    parts = max(1, math.ceil(size / NAME_BYTES))
+    first = F.pmod(F.xxhash64(F.substring_index(name, " ", 1)), F.lit(parts))
+    kept = [c for c in texts.columns if c != words]
+    schema = texts.select(*kept).schema.add(name, "string")
+
+    def read(part: DataFrame) -> DataFrame:
+        sent = texts.sparkSession.sparkContext.broadcast(sorted(part.toArrow().column(name).to_pylist()))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known = Mentions(sent.value)
+            for batch in batches:
+                found = [known.found(w) for w in batch.column(words).to_pylist()]
+                row = np.repeat(np.arange(len(found)), [len(f) for f in found])
+                columns = [batch.column(c).take(pa.array(row)) for c in kept]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([n for f in found for n in f], pa.string())], names=schema.names)
+
+        return texts.select(*kept, words).mapInArrow(run, schema)
+
+    return reduce(DataFrame.unionByName, [read(names.where(first == k) if parts > 1 else names) for k in range(parts)])
+
+
 def entity_link(ranking: DataFrame, corpus: DataFrame, relationships: DataFrame, *, item_id: str = "chunk_id",
                 text: str = "chunk_text", predicates: list[str] | None = None, per_entity: int | None = None) -> DataFrame:
     """Relations of the entities that a query's retrieved items mention.
 
-    Word groups of the retrieved texts, of those lengths that names have, meet
-    subject names in an equi-join. Each subject offers all its relations, or its
-    ``per_entity`` most mentioned.
+    Subject names are found in the retrieved texts by one automaton. Each subject
+    offers all its relations, or its ``per_entity`` most mentioned.
     """
     known = relationships if predicates is None else relationships.where(F.col("predicate").isin(predicates))
     totals = known.groupBy(*TRIPLE).agg(F.sum("mention_count").alias("mentions"))
     best = totals if per_entity is None else _first_n(totals, ["subject"], [F.desc("mentions"), "predicate", "object"], per_entity)
     best = best.withColumn("_name", T.token_key("subject"))
-    size = F.size(T.tokens("subject"))
-    sizes = [n for (n,) in known.select(size).distinct().orderBy(size).collect() if n]  # one row per length of a name
+    words = F.col("tokens") if "tokens" in corpus.columns else T.tokens(text)
     retrieved = materialize(ranking.select("query_id", "item_id"), "ranking").join(
-        corpus.select(F.col(item_id).alias("item_id"), T.tokens(text).alias("_words")), "item_id"
+        corpus.select(F.col(item_id).alias("item_id"), words.alias("_words")), "item_id"
     )
+    mentioned = mentions(retrieved.select("query_id", "_words"), known.select(T.token_key("subject").alias("_name"))).distinct()
+    return mentioned.join(best, "_name").select("query_id", *TRIPLE, "mentions")
 
-    def groups(size: int) -> Column:
-        starts = F.sequence(F.lit(1), F.size("_words") - (size - 1))
-        return F.when(
-            F.size("_words") >= size,
-            F.transform(starts, lambda i: F.array_join(F.slice("_words", i, size), " ")),
-        ).otherwise(F.array().cast("array<string>"))
 
-    named = F.array_distinct(F.concat(F.array().cast("array<string>"), *[groups(n) for n in sizes]))
-    mentioned = retrieved.select("query_id", F.explode(named).alias("_name")).distinct()
-    return mentioned.join(best, "_name").select("query_id", *TRIPLE, "mentions")
+# ------------------------------------------------------ the stored graph ----
+def write_graph(relationships: DataFrame, name: str, buckets: int = 64) -> None:
+    """Store triples twice, as tables ``name_by_subject`` and ``name_by_object``: bucketed and sorted by that end, with bloom filters on it."""
+    for end in ("subject", "object"):
+        (relationships.repartition(buckets, end).write.mode("overwrite").format("parquet")
+         .option(f"parquet.bloom.filter.enabled#{end}", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
+         .bucketBy(buckets, end).sortBy(end).saveAsTable(f"{name}_by_{end}"))
+
+
+def drop_graph(spark: SparkSession, name: str) -> None:
+    """Drop both tables of a stored graph."""
+    for end in ("subject", "object"):
+        spark.sql(f"DROP TABLE IF EXISTS {name}_by_{end}")
+
+
+def stored_two_hop(spark: SparkSession, name: str, origin_pattern: str, first: str, then: list[str]) -> DataFrame:
+    """All paths of ``two_hop`` from a stored graph: both hops lie in the buckets of the partner, so no triple is shuffled."""
+    one = spark.read.table(f"{name}_by_object").where(F.col("subject").ilike(origin_pattern) & (F.col("predicate") == first))
+    two = spark.read.table(f"{name}_by_subject").where(F.col("predicate").isin(then) & ~F.col("object").ilike(origin_pattern))
+    # triples are unique, so paths are
+    hop1 = one.select(F.col("object").alias("partner"), F.col("subject").alias("company"), F.col("predicate").alias("hop1_rel"))
+    hop2 = two.select(F.col("subject").alias("partner"), F.col("predicate").alias("hop2_rel"), F.col("object").alias("partners_partner"))
+    return hop1.hint("merge").join(hop2, "partner").select("company", "hop1_rel", "partner", "hop2_rel", "partners_partner")
+
+
+def stored_lookup(spark: SparkSession, name: str, names: list[str], limit: int = 20) -> DataFrame:
+    """Up to ``limit`` relations of each of a few names from a stored graph: row groups without any of them are passed over."""
+    def end(column: str) -> DataFrame:
+        found = spark.read.table(f"{name}_by_{column}").where(F.col(column).isin(names))
+        return found.select(F.col(column).alias("entity_name"), *TRIPLE)
+
+    both = end("subject").unionByName(end("object").where(~F.col("subject").eqNullSafe(F.col("object"))))
+    return _first_n(both, ["entity_name"], ["predicate", "subject", "object"], limit).select("entity_name", *TRIPLE)

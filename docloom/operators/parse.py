@@ -7,24 +7,18 @@ step is an expression on one row: parsing never shuffles.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.functions import text as T
+from docloom.functions.markup import Elements
 
 ELEMENT = "struct<id:int,type:string,content:string,page_id:int>"
 ELEMENTS = f"array<{ELEMENT}>"
 
-_HIDDEN = r"(?is)<script(?:\s[^>]*)?>.*?</script>|<style(?:\s[^>]*)?>.*?</style>|<!--.*?-->"
-# Tags that end the text before them; all others stand inside a text.
-BLOCK_TAGS = (
-    "address|article|aside|blockquote|body|caption|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|head|header|hr|html|"
-    "legend|li|main|nav|ol|option|p|pre|section|table|tbody|td|tfoot|th|thead|title|tr|ul"
-)
-BLOCK = rf"(?is)<(/?(?:{BLOCK_TAGS}))(?:\s[^>]*)?/?>"
-KINDS = {"title": "title", "li": "list_item", "td": "table_cell", "th": "table_cell", "pre": "preformatted"}
-_TAG = r"<[^>]*>"
-_OPEN, _CLOSE = "\x01", "\x02"
 PAGE_BREAK = "\f"
 
 
@@ -49,27 +43,37 @@ def _row(kind: Column, content: Column, page: Column) -> Column:
     return F.struct(kind.alias("type"), content.alias("content"), page.cast("int").alias("page_id"))
 
 
-def _visible(markup: Column) -> Column:
-    return F.trim(F.regexp_replace(markup, _TAG, ""))
-
-
 def html_elements(html: Column | str) -> Column:
     """All visible text of a page, in page order: what stands between two block tags is one element.
 
-    The tag in front names its type: title, section_header, list_item,
-    table_cell, preformatted, and text for any other or none.
+    The innermost open element names its type: title, section_header, list_item,
+    table_cell, preformatted, and text for any other or none. Elements that their page
+    leaves open end where a browser ends them; character references are read.
+    One pass over each page, an Arrow batch at a time.
     """
-    page = F.translate(F.regexp_replace(html, _HIDDEN, ""), _OPEN + _CLOSE, "")
-    marked = F.concat(F.lit(_CLOSE), F.regexp_replace(page, BLOCK, f"{_OPEN}$1{_CLOSE}"))
 
-    def element(piece: Column) -> Column:
-        tag = F.lower(F.substring_index(piece, _CLOSE, 1))
-        kind = F.when(tag.rlike("^h[1-6]$"), "section_header")
-        for name, label in KINDS.items():
-            kind = kind.when(tag == name, label)
-        return _row(kind.otherwise("text"), _visible(F.substring_index(piece, _CLOSE, -1)), F.lit(0))
+    @F.arrow_udf(ELEMENTS)
+    def parse(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        kind = pa.list_(pa.struct([("id", pa.int32()), ("type", pa.string()), ("content", pa.string()), ("page_id", pa.int32())]))
+        for batch in batches:
+            found = (None if page is None else Elements(page).found for page in batch.to_pylist())
+            yield pa.array([None if rows is None else [(i, *row[:2], 0) for i, row in enumerate(rows)] for rows in found], kind)
+
+    # not marked deterministic: what is built on the elements must not parse again
+    return parse.asNondeterministic()(F.col(html) if isinstance(html, str) else html)
+
+
+def table_cells(df: DataFrame, keys: list[str], col: str = "html") -> DataFrame:
+    """One row per table cell of a page: keys, table, row, column, header, content."""
+    cell = "struct<table:int,row:int,column:int,header:boolean,content:string>"
+
+    @F.arrow_udf(f"array<{cell}>")
+    def parse(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        kind = pa.list_(pa.struct([("table", pa.int32()), ("row", pa.int32()), ("column", pa.int32()), ("header", pa.bool_()), ("content", pa.string())]))
+        for batch in batches:
+            yield pa.array([sorted(Elements(page or "").cells) for page in batch.to_pylist()], kind)
 
-    return _numbered(F.filter(F.transform(F.split(marked, _OPEN), element), lambda e: e["content"].rlike(r"\S")))
+    return df.select(*keys, F.explode(parse.asNondeterministic()(col)).alias("c")).select(*keys, "c.*")
 
 
 def text_elements(text: Column | str, title_first: bool = False) -> Column:

@@ -6,26 +6,30 @@ shuffle carries k rows per query and task, never the query x item product.
 
 How queries reach the tasks depends on their measured size. A batch within
 ``QUERY_LIMIT`` rows and ``QUERY_WEIGHT`` entries is broadcast. A larger batch is
-dealt with the corpus into cells of bounded size, cogrouped by cell: every query
-block meets every item block once, with the same result.
+written as blocks to the shared folder, and every task walks the blocks over its own
+items, with the same result. Queries that ask for a tag only meet items of that tag.
 """
 
 from __future__ import annotations
 
 import json
 import math
+import urllib.parse
+import uuid
 from collections.abc import Iterator
 from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as st
 
 from docloom.functions import text as T
-from docloom.session import materialize
+from docloom.session import materialize, scratch_folder
 
 if TYPE_CHECKING:
     from docloom.operators.postings import StoredIndex
@@ -33,6 +37,8 @@ if TYPE_CHECKING:
 QUERY_LIMIT = 4096
 QUERY_WEIGHT = 2_000_000
 CELL_ROWS, CELL_WEIGHT = 20_000, 20_000_000
+#: Items that a task holds while it walks the blocks of a large query set.
+WALK_ROWS, WALK_WEIGHT = 200_000, 10_000_000
 MATRIX_CELLS = 4_000_000
 #: Bytes of centres that every task may hold.
 CENTROID_BYTES = 256 << 20
@@ -184,11 +190,9 @@ class _Best:
 
     def __init__(self, queries: pa.Table, scorer, k: int, skip_same: bool):
         self.ids = _plain(queries.column("query_id"))
-        only = queries.column("q_only").combine_chunks()
-        self.only = _plain(pc.fill_null(only, ""))
-        self.any = pc.is_null(only).to_numpy(zero_copy_only=False)
         self.scorer, self.k, self.skip_same = scorer, k, skip_same
         self.kept: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+        self.floor = np.full(len(self.ids), -np.inf)  # what the k-th best has so far
 
     def add(self, items) -> None:
         step = max(1, MATRIX_CELLS // max(1, len(self.ids)))
@@ -201,24 +205,20 @@ class _Best:
             payload = payload.combine_chunks()
         scores = _rounded(self.scorer.score(payload))
         item_ids = _plain(items.column("item_id"))
-        if not self.any.all():
-            tag = _plain(pc.fill_null(items.column("i_only"), "\0"))
-            scores[~(self.any[None, :] | (tag[:, None] == self.only[None, :]))] = -np.inf
         if self.skip_same:
             scores[item_ids[:, None] == self.ids[None, :]] = -np.inf
+        floor = self.floor
         if len(scores) > self.k:
-            floor = np.partition(scores, len(scores) - self.k, axis=0)[len(scores) - self.k]
-            row, query = np.nonzero((scores >= floor) & (scores > -np.inf))
-        else:
-            row, query = np.nonzero(scores > -np.inf)
+            floor = np.maximum(floor, np.partition(scores, len(scores) - self.k, axis=0)[len(scores) - self.k])
+        row, query = np.nonzero((scores >= floor) & (scores > -np.inf))
         found = (query, item_ids[row], scores[row, query])
         if self.kept is not None:
             found = tuple(np.concatenate(pair) for pair in zip(self.kept, found))
         order = np.lexsort((found[1], -found[2], found[0]))
         query, item, score = (part[order] for part in found)
-        first = np.searchsorted(query, query)
-        keep = np.arange(len(query)) - first < self.k
-        self.kept = (query[keep], item[keep], score[keep])
+        nth = np.arange(len(query)) - np.searchsorted(query, query)
+        self.floor[query[nth == self.k - 1]] = score[nth == self.k - 1]
+        self.kept = (query[nth < self.k], item[nth < self.k], score[nth < self.k])
 
     def rows(self, schema: pa.Schema) -> pa.Table:
         if self.kept is None:
@@ -228,6 +228,34 @@ class _Best:
         return pa.table([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
+class _BestByTag:
+    """A block of queries by the tag they ask for: those without one meet all items, the others only those of their tag."""
+
+    def __init__(self, queries: pa.Table, make_scorer, k: int, skip_same: bool):
+        asked = queries.column("q_only")
+        self.parts = {}
+        for tag in asked.unique().to_pylist():
+            own = queries.filter(pc.is_null(asked) if tag is None else pc.fill_null(pc.equal(asked, tag), False))
+            self.parts[tag] = _Best(own, make_scorer(own), k, skip_same)
+
+    def add(self, items) -> None:
+        if None in self.parts:
+            self.parts[None].add(items)
+        if len(self.parts) == (None in self.parts):
+            return
+        tags = items.column("i_only")
+        tags = (tags.combine_chunks() if isinstance(tags, pa.ChunkedArray) else tags).dictionary_encode()
+        codes = pc.fill_null(tags.indices, -1).to_numpy(zero_copy_only=False)
+        order = np.argsort(codes, kind="stable")
+        edges = np.searchsorted(codes[order], np.arange(len(tags.dictionary) + 1))
+        for code, tag in enumerate(tags.dictionary.to_pylist()):
+            if tag in self.parts:
+                self.parts[tag].add(items.take(pa.array(order[edges[code] : edges[code + 1]])))
+
+    def rows(self, schema: pa.Schema) -> pa.Table:
+        return pa.concat_tables([schema.empty_table(), *(part.rows(schema) for part in self.parts.values())])
+
+
 # ------------------------------------------------------- the distributed part
 def top_k_per_query(scored: DataFrame, k: int, query: str = "query_id", item: str = "item_id") -> DataFrame:
     """Rank and keep k rows per query; ranks are pruned before the shuffle."""
@@ -255,20 +283,13 @@ def _score_cells(queries: DataFrame, corpus: DataFrame, cell: list[str], make_sc
     def score(block: pa.Table, items: pa.Table) -> pa.Table:
         if not block.num_rows or not items.num_rows:
             return arrow.empty_table()
-        best = _Best(block, make_scorer(block), k, skip_same)
+        best = _BestByTag(block, make_scorer, k, skip_same)
         best.add(items)
         return best.rows(arrow)
 
     return queries.groupBy(*cell).cogroup(corpus.groupBy(*cell)).applyInArrow(score, schema)
 
 
-def _dealt(df: DataFrame, key: str, blocks: int, own: str, other: str, others: int) -> DataFrame:
-    """Rows assigned to one of ``blocks`` and copied to each block of the other side."""
-    return df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(blocks))).withColumn(
-        other, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(others - 1).cast("bigint")))
-    )
-
-
 def _size(side: DataFrame, payload: str):
     """Rows and payload entries of one side."""
     entries = F.coalesce(F.sum(F.coalesce(F.size(payload), F.lit(0))), F.lit(0))
@@ -288,20 +309,53 @@ def _score_all(queries: DataFrame, corpus: DataFrame, make_scorer, k: int, skip_
             table = block.value
             if not table.num_rows:
                 return
-            best = _Best(table, make_scorer(table), k, skip_same)
+            best = _BestByTag(table, make_scorer, k, skip_same)
             for batch in batches:
                 best.add(batch)
             yield from best.rows(arrow).to_batches()
 
         return corpus.mapInArrow(score, schema)
-    query_blocks = max(math.ceil(size["n"] / QUERY_LIMIT), math.ceil(size["w"] / QUERY_WEIGHT))
-    stored = _size(corpus, "i_payload")
-    item_blocks = max(1, math.ceil(stored["n"] / CELL_ROWS), math.ceil(stored["w"] / CELL_WEIGHT))
-    return _score_cells(
-        _dealt(queries, "query_id", query_blocks, "q_block", "i_block", item_blocks),
-        _dealt(corpus, "item_id", item_blocks, "i_block", "q_block", query_blocks),
-        ["q_block", "i_block"], make_scorer, k, skip_same, schemas,
-    )
+    return _walk(queries, max(math.ceil(size["n"] / QUERY_LIMIT), math.ceil(size["w"] / QUERY_WEIGHT)), corpus, make_scorer, k, skip_same, schemas)
+
+
+def _walk(queries: DataFrame, blocks: int, corpus: DataFrame, make_scorer, k: int, skip_same: bool, schemas) -> DataFrame:
+    """Queries as files in the shared folder; each task walks them over its own items, so the corpus isn't shuffled.
+
+    A file holds neighbouring tags, and an item meets the queries of its own tag only. A task
+    holds ``WALK_ROWS`` items or ``WALK_WEIGHT`` entries at once, and one file of queries.
+    """
+    schema, arrow = schemas
+    folder = f"{scratch_folder(corpus.sparkSession)}/query-blocks-{uuid.uuid4().hex}"
+    dealt = queries.repartitionByRange(blocks, F.col("q_only").asc_nulls_first(), "query_id")
+    dealt.write.option("maxRecordsPerFile", QUERY_LIMIT).parquet(folder)
+    names = sorted(urllib.parse.unquote(name) for name in corpus.sparkSession.read.parquet(folder).inputFiles())  # a name for each block
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for items in _held(batches):
+            for name in names:
+                files, path = pafs.FileSystem.from_uri(name)
+                with files.open_input_file(path) as file:
+                    block = pq.read_table(file)
+                best = _BestByTag(block, make_scorer, k, skip_same)
+                best.add(items)
+                yield from best.rows(arrow).to_batches()
+
+    return corpus.mapInArrow(score, schema)
+
+
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Items in tables of bounded size."""
+    held: list[pa.RecordBatch] = []
+    rows = weight = 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        weight += pc.sum(pc.list_value_length(batch.column("i_payload"))).as_py() or 0
+        if rows >= WALK_ROWS or weight >= WALK_WEIGHT:
+            yield pa.Table.from_batches(held)
+            held, rows, weight = [], 0, 0
+    if rows:
+        yield pa.Table.from_batches(held)
 
 
 def _query_side(queries: DataFrame, query_id: str, payload: Column, only: str | None) -> DataFrame:

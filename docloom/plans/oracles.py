@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 
 from docloom.functions import vocab as V
-from docloom.operators.parse import BLOCK
+from docloom.functions.markup import BLOCKS
 from docloom.operators.context import CONTEXT_PREDICATES, HEADINGS, PROMPT
 from docloom.plans import standin as D
 
@@ -67,6 +67,11 @@ PAD = "CASE WHEN length({0}::VARCHAR) < 3 THEN lpad({0}::VARCHAR, 3, '0') ELSE {
 WIDE = "rpad({0}, greatest({1}, length({0}))::INTEGER, ' ')"
 PRODUCT = "p_name || ' #' || p_partkey"
 
+BLOCK = rf"(?is)<(/?(?:{'|'.join(sorted(BLOCKS, key=lambda n: (-len(n), n)))}))(?:\s[^>]*)?/?>"
+READ = r"regexp_replace(regexp_replace(content, '(?i)<br\s*/?>', chr(10), 'g'), '<[^>]*>', '', 'g')"
+for _written, _sign in (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&nbsp;", " "), ("&amp;", "&")):
+    READ = f"replace({READ}, '{_written}', '{_sign}')"
+
 # name -> (needed relations, body)
 RELATIONS: dict[str, tuple[str, str]] = {
     "aliases": ("", alias_rows(D.ALIASES)),
@@ -118,8 +123,8 @@ RELATIONS: dict[str, tuple[str, str]] = {
         SELECT page_id, (row_number() OVER (PARTITION BY page_id ORDER BY ord) - 1)::INTEGER AS element_id,
                CASE WHEN regexp_full_match(tag, 'h[1-6]') THEN 'section_header' WHEN tag = 'title' THEN 'title' WHEN tag = 'li' THEN 'list_item'
                     WHEN tag IN ('td', 'th') THEN 'table_cell' WHEN tag = 'pre' THEN 'preformatted' ELSE 'text' END AS element_type,
-               trim(regexp_replace(content, '<[^>]*>', '', 'g')) AS content
-        FROM found WHERE regexp_matches(trim(regexp_replace(content, '<[^>]*>', '', 'g')), '\S')"""),
+               content
+        FROM (SELECT page_id, ord, tag, trim(""" + READ + r""", chr(9) || chr(10) || chr(12) || chr(13) || ' ') AS content FROM found) WHERE regexp_matches(content, '\S')"""),
     "sectioned": ("elements", """
         SELECT *, sum((element_type = 'section_header')::INT) OVER (PARTITION BY page_id ORDER BY element_id) AS section FROM elements"""),
     "page_parts": ("sectioned", """
@@ -382,6 +387,9 @@ ORACLES: dict[str, str] = {
     "read_table": "SELECT s_suppkey, s_name, s_acctbal FROM supplier",
     "overwrite_table": "SELECT o_orderpriority, count(*) AS n_orders FROM orders GROUP BY ALL",
     "materialized_view": "SELECT n_name, count(*) AS customers FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL",
+    "summary_view": sql("gold", f"""
+        SELECT company, fiscal_period, document_type, ai_investment_category, management_sentiment, count(*) AS document_count FROM gold
+        WHERE source_path NOT IN (SELECT {DOC_PATH} FROM labels JOIN documents USING (doc_id) WHERE toxic = 1) GROUP BY ALL"""),
     "read_stream_table": "SELECT s_suppkey, s_name, s_acctbal FROM supplier",
     "ingest_batch": TEXT_FILES,
     "ingest_stream": TEXT_FILES,
@@ -460,6 +468,9 @@ ORACLES: dict[str, str] = {
                WHEN p > n THEN 'positive' ELSE 'negative' END AS sentiment
         FROM (SELECT doc_id, len(list_filter({tokens('text')}, lambda x: x IN ({strings(D.POSITIVE)}))) AS p,
                      len(list_filter({tokens('text')}, lambda x: x IN ({strings(D.NEGATIVE)}))) AS n FROM documents)""",
+    "classify_model_report": """SELECT count(*) AS documents, count(text) AS answered,
+        count(*) FILTER (substr(md5(doc_id::VARCHAR), 1, 1) <= '2' AND quality IS NOT NULL) AS unseen, true AS accurate
+        FROM documents LEFT JOIN labels USING (doc_id)""",
     "chunk_documents": sql("chunks", "SELECT * FROM chunks"),
     "chunk_pages": sql("page_parts sectioned", """
         SELECT p.page_id || '_chunk' || (row_number() OVER (PARTITION BY p.page_id ORDER BY p.section, part) - 1) AS chunk_id,
@@ -545,6 +556,12 @@ ORACLES: dict[str, str] = {
         SELECT a.subject AS company, a.predicate AS hop1_rel, a.object AS partner, b.predicate AS hop2_rel, b.object AS partners_partner
         FROM relationships a JOIN relationships b ON a.object = b.subject
         WHERE a.subject ILIKE 'supplier%' AND a.predicate = 'supplies_to' AND b.predicate = 'uses_technology' AND b.object NOT ILIKE 'supplier%'"""),
+    "entity_lookup_stored": sql("relationships", """
+        SELECT entity_name, subject, predicate, object FROM (
+          SELECT *, row_number() OVER (PARTITION BY entity_name ORDER BY predicate, subject, object) AS rn FROM (
+            SELECT subject AS entity_name, subject, predicate, object FROM relationships
+            UNION SELECT object, subject, predicate, object FROM relationships)
+          WHERE entity_name IN ('NATION_3', 'ASIA', 'Brand#11', 'BUILDING')) WHERE rn <= 20"""),
     "pair_relations": sql("relationships", """SELECT DISTINCT subject, predicate, object, company AS mentioned_in, fiscal_period FROM relationships
         WHERE (subject ILIKE 'customer%' AND object = 'BUILDING') OR (subject = 'BUILDING' AND object ILIKE 'customer%')"""),
     "title_join": sql("entities relationships", """SELECT entity_name AS chief_person, description AS title, predicate, object AS mentioned_entity
@@ -598,3 +615,4 @@ ORACLES: dict[str, str] = {
     "build_prompt": sql("contexts questions", "SELECT query_id, replace(replace("
                         + lit(PROMPT.replace("%s", "\1", 1).replace("%s", "\2")) + ", chr(1), context), chr(2), question) AS prompt FROM contexts JOIN questions USING (query_id)"),
 }
+ORACLES["two_hop_stored"] = ORACLES["two_hop_all"]

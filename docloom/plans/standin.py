@@ -107,6 +107,25 @@ def call_files(conversations: DataFrame) -> DataFrame:
     return conversations.select(raw_path(F.lit("Earnings Call"), F.concat_ws("_", "role", turn)).alias("source_path"), "text")
 
 
+_MODELS: dict[tuple[str, str], str] = {}
+
+
+def held_out(doc_id: Column | str = "doc_id") -> Column:
+    """Documents that no model learns from."""
+    return F.md5(F.col(doc_id).cast("string")).substr(1, 1) <= "2"
+
+
+def quality_model(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with the quality classifier, fitted and saved on first use."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _MODELS:
+        docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+        labelled = docs.join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id").where(~held_out())
+        _MODELS[key] = f"{scratch_folder(spark)}/quality-model-{uuid.uuid4().hex}"
+        C.save_classifier(C.train_classifier(labelled, "text", "quality"), _MODELS[key])
+    return _MODELS[key]
+
+
 _FILES: dict[tuple[str, str], str] = {}
 
 
@@ -181,6 +200,18 @@ def stored_index(spark: SparkSession, sf_dir: str, name: str) -> PX.StoredIndex:
     return _INDEXES[key]
 
 
+_GRAPHS: dict[tuple[str, str], str] = {}
+
+
+def stored_graph(spark: SparkSession, sf_dir: str) -> str:
+    """Name of the stored graph of the star schema's triples, written on first use."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _GRAPHS:
+        _GRAPHS[key] = f"docloom_graph_{uuid.uuid4().hex}"
+        G.write_graph(stored(spark, sf_dir, "relationships"), _GRAPHS[key], buckets=16)
+    return _GRAPHS[key]
+
+
 def _search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The search table: the index's chunks with the vector of the enriched text and the tokens of the raw one."""
     return stored_index(spark, sf_dir, "chunks").chunks.drop("n_tokens", "content_hash", "no", "bucket")

@@ -28,6 +28,7 @@ from docloom.session import configure, scratch_folder
 from docloom.session import materialize as store
 from docloom.sources import files as SF
 from docloom.sources import tables as ST
+from docloom.streaming import counts as CV
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -116,6 +117,23 @@ def materialized_view(t: Tables) -> DataFrame:
     return ST.materialized_view(t.spark, fresh_table("customers"), lambda: named.groupBy("n_name").agg(F.count(F.lit(1)).alias("customers")), {"quality": "gold"})
 
 
+@query
+def summary_view(t: Tables) -> DataFrame:
+    """The summary kept up by batches: documents arrive as a stream, then toxic ones are taken away."""
+    folder = f"{scratch_folder(t.spark)}/summary-{uuid.uuid4().hex}"
+    gold = t.stored("gold").select("source_path", *S.SUMMARY_KEYS)
+    gold.repartition(4, "source_path").write.parquet(f"{folder}/gold")
+    view = CV.CountView(t.spark, f"{folder}/view", S.SUMMARY_KEYS, compact=3)
+    arrivals = t.spark.readStream.schema(gold.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/gold")
+    last = CV.count_stream(arrivals, view, f"{folder}/state").lastProgress["batchId"]
+    toxic = t("labels").where("toxic = 1").join(t("documents"), "doc_id")
+    toxic = toxic.select(D.raw_path(F.col("lang"), F.concat_ws("_", "source", F.col("doc_id").cast("string"))).alias("source_path")).distinct()
+    gone = ST.read_table(t.spark, f"{folder}/gold").join(toxic, "source_path", "left_semi").withColumn(CV.SIGN, F.lit(-1))
+    for _ in range(2):  # delivered twice, counted once
+        view.apply(gone, last + 1)
+    return view.read()
+
+
 @query
 def read_stream_table(t: Tables) -> DataFrame:
     """A stored table streamed into another; a second run finds nothing new."""
@@ -419,11 +437,29 @@ def classify(t: Tables) -> DataFrame:
     )
 
 
+def _judged(t: Tables) -> DataFrame:
+    """Documents with the label that the saved model gives them."""
+    docs = D.spread(t("documents").select("doc_id", "text"), "doc_id")
+    return C.classify_with(docs, C.load_classifier(D.quality_model(t.spark, t.sf_dir)), ["low", "high"])
+
+
 @query
 def classify_model(t: Tables) -> DataFrame:
-    docs = D.spread(t("documents").select("doc_id", "text"), "doc_id")
-    labelled = docs.join(t("labels").select("doc_id", "quality"), "doc_id")
-    return C.classify_model(docs, labelled, ["low", "high"], "text", "quality").select("doc_id", "predicted")
+    return _judged(t).select("doc_id", "predicted")
+
+
+@query
+def classify_model_report(t: Tables) -> DataFrame:
+    """What the saved model answered, and whether it is right for three of four documents it hasn't seen."""
+    told = _judged(t).join(t("labels").select("doc_id", "quality"), "doc_id", "left")
+    right = (F.col("predicted") == "high") == (F.col("quality") == 1)
+    unseen = D.held_out() & F.col("quality").isNotNull()
+    return told.agg(
+        F.count(F.lit(1)).alias("documents"),
+        F.count_if(F.col("predicted").isin("low", "high")).alias("answered"),
+        F.count_if(unseen).alias("unseen"),
+        (F.count_if(unseen & right) >= 0.75 * F.count_if(unseen)).alias("accurate"),
+    )
 
 
 @query
@@ -669,6 +705,17 @@ def two_hop_all(t: Tables) -> DataFrame:
     return G.two_hop(t.stored("relationships"), "supplier%", "supplies_to", ["uses_technology"], limit=None)
 
 
+@query
+def two_hop_stored(t: Tables) -> DataFrame:
+    """The same paths from triples stored in buckets of both ends."""
+    return G.stored_two_hop(t.spark, D.stored_graph(t.spark, t.sf_dir), "supplier%", "supplies_to", ["uses_technology"])
+
+
+@query
+def entity_lookup_stored(t: Tables) -> DataFrame:
+    return G.stored_lookup(t.spark, D.stored_graph(t.spark, t.sf_dir), ["NATION_3", "ASIA", "Brand#11", "BUILDING"])
+
+
 @query
 def pair_relations(t: Tables) -> DataFrame:
     return G.pair_relations(t.stored("relationships"), "customer%", "BUILDING")

@@ -46,14 +46,40 @@ def test_vector_topk_is_exact_with_copies(spark):
     assert len(set(want[0])) == 7  # forty copies tie: the smallest ids win
 
 
-def test_large_query_sets_take_the_cell_path(spark, monkeypatch):
-    items = vectors(spark, 200, copies=10)
+def exchanges(df):
+    return [line for line in df._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange" in line]
+
+
+def test_large_query_sets_walk_over_unmoved_items(spark, tmp_path, monkeypatch):
+    vectors(spark, 200, copies=10).write.parquet(str(tmp_path / "v"))
+    items = spark.read.parquet(str(tmp_path / "v"))
     want = brute(items.collect(), items.collect(), 4, same=True)
     monkeypatch.setattr(R, "QUERY_LIMIT", 30)
-    monkeypatch.setattr(R, "CELL_ROWS", 40)
-    plan = R.vector_topk(items, items, 4, skip_same=True, **KEYS)
-    assert "CoGroup" in plan._jdf.queryExecution().toString()
-    assert ranked(plan) == want
+    monkeypatch.setattr(R, "WALK_ROWS", 40)
+    found = R.vector_topk(items, items, 4, skip_same=True, **KEYS)
+    assert len(exchanges(found)) == 1  # the ranks, not the corpus
+    assert ranked(found) == want
+
+
+def test_queries_meet_items_of_their_own_tag_only(spark, monkeypatch):
+    items = vectors(spark, 90)
+    queries = items.withColumn("only", F.when(F.col("id") % 5 > 1, F.col("kind")))
+    want = brute(queries.collect(), items.collect(), 3, only=lambda q, i: q.only is None or q.only == i.kind)
+    met = []
+
+    class Counted(R._Cosine):
+        def score(self, payload):
+            met.append(len(payload) * len(self.unit))
+            return super().score(payload)
+
+    rows = R._item_side(items, "id", F.col("v"), "kind").toArrow()
+    asked = R._query_side(queries, "id", F.col("v"), "only").toArrow()
+    best = R._BestByTag(asked, Counted, 3, False)
+    best.add(rows)
+    free = sum(q["only"] is None for q in queries.collect())
+    assert sum(met) == free * 90 + (90 - free) // 2 * 90  # half of the items for each tagged query
+    monkeypatch.setattr(R, "QUERY_LIMIT", 7)
+    assert ranked(R.vector_topk(queries, items, 3, query_only="only", item_only="kind", **KEYS)) == want
 
 
 def test_filters_come_before_ranking(spark):

@@ -227,7 +227,8 @@ def sync_index(t: Tables) -> DataFrame:
 def silver_stream(t: Tables) -> DataFrame:
     """Documents and conversation turns streamed in, silver streamed out, everything available now."""
     def stream(name: str) -> DataFrame:
-        return t.spark.readStream.schema(t(name).schema).option("pathGlobFilter", f"{name}.parquet").parquet(t.sf_dir)
+        # as a glob, a table may be one file or a folder of files
+        return t.spark.readStream.schema(t(name).schema).parquet(f"{t.sf_dir.rstrip('/')}/{{{name}}}.parquet")
 
     files = D.document_files(stream("documents")).unionByName(D.call_files(stream("conversations")))
     rows = M.silver(D.as_bronze(files), fmt="text", rules=D.FIELD_RULES, aliases=D.ALIASES)

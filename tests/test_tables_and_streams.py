@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from docloom import session as SS
 from docloom.operators import summary as S
 from docloom.plans import medallion as M
+from docloom.plans.workload import QUERIES
 from docloom.sources import files as SF
 from docloom.sources import tables as ST
 from docloom.streaming import incremental as I
@@ -193,3 +194,23 @@ def test_buckets_that_lose_all_rows_go(spark, tmp_path):
     assert got.collect() == one.collect() and len({f.split("/")[0] for f in files_of(tmp_path / "table")}) == 1
     again = ST.apply_bucketed(spark, path, one, ST.chunk_changes(one, one), buckets=8)
     assert again.collect() == one.collect()
+
+
+def test_silver_stream_reads_tables_of_one_file_and_of_many(spark, rows, tmp_path):
+    docs = spark.createDataFrame([(k, f"The net of {k}\n\n{LONG}" if k % 5 else None, "en", "src1", 9) for k in range(20)],
+                                 "doc_id long, text string, lang string, source string, n_chars int")
+    turns = spark.createDataFrame([(k, 0, "user", f"asked {k} {LONG}") for k in range(5)], "conv_id long, turn int, role string, text string")
+    columns = ["source_path", "file_size_bytes", "plain_text", "company", "fiscal_period"]
+    for name, parts in (("folders", 3), ("files", 1)):
+        root = tmp_path / name
+        docs.repartition(parts).write.parquet(str(root / "documents.parquet"))
+        turns.repartition(parts).write.parquet(str(root / "conversations.parquet"))
+        if parts == 1:  # the one part in the place of its folder
+            for table in ("documents", "conversations"):
+                part = next((root / f"{table}.parquet").glob("part-*"))
+                (root / "one").mkdir(exist_ok=True)
+                (root / "one" / f"{table}.parquet").write_bytes(part.read_bytes())
+            root = root / "one"
+        got = QUERIES["silver_stream"](spark, str(root))
+        assert rows(got, *columns) == rows(QUERIES["silver"](spark, str(root)), *columns)
+        assert got.count() == 21

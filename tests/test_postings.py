@@ -131,3 +131,32 @@ def test_a_sync_equals_a_rebuild_and_rewrites_changed_buckets_only(spark, chunks
 def test_the_index_refuses_columns_of_its_own_names(spark, chunks, tmp_path):
     with pytest.raises(ValueError):
         PX.write_index(chunks.withColumn("no", F.lit(1)), str(tmp_path / "x"))
+
+
+def test_posting_rows_cross_batches_and_shuffle_words_once(spark, index):
+    """Each (bucket, term, block) has one row however the items are batched, as counted by hand."""
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        postings = PX.postings_of(index.chunks)
+        assert postings._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+        got = {(r["bucket"], r["term"], r["block"]): (r["n"], r["max_tf"], r["min_length"], r["nos"], r["tfs"], r["lengths"]) for r in postings.collect()}
+        assert len(got) == postings.count()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    want = {}
+    for r in sorted(index.chunks.collect(), key=lambda r: r["no"]):
+        for term in set(r["tokens"] or []):
+            want.setdefault((r["bucket"], term, r["no"] // PX.BLOCK_ITEMS), []).append((r["no"], r["tokens"].count(term), r["n_tokens"]))
+    assert got == {k: (len(v), max(x[1] for x in v), min(x[2] for x in v), *map(list, zip(*v))) for k, v in want.items()}
+
+
+def test_a_new_index_is_written_without_a_copy(spark, chunks, tmp_path):
+    from docloom.session import scratch_folder
+    from pathlib import Path
+
+    folder = Path(scratch_folder(spark).removeprefix("file://"))
+    staged = lambda: set(folder.glob("index-chunks-*"))
+    before = staged()
+    PX.write_index(chunks, str(tmp_path / "i"), buckets=2)
+    assert staged() == before

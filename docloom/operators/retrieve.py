@@ -40,6 +40,8 @@ CELL_ROWS, CELL_WEIGHT = 20_000, 20_000_000
 #: Items that a task holds while it walks the blocks of a large query set.
 WALK_ROWS, WALK_WEIGHT = 200_000, 10_000_000
 MATRIX_CELLS = 4_000_000
+#: Numbers in the rows that a task routes to their lists at once.
+ROUTE_CELLS = 2_000_000
 #: Bytes of centres that every task may hold.
 CENTROID_BYTES = 256 << 20
 #: Share of the true neighbours that approximate search is to find, and queries it is calibrated on.
@@ -499,12 +501,15 @@ def _routed(df: DataFrame, vector: str, centroids, probes: int) -> DataFrame:
             rows = np.flatnonzero(matrix.any(axis=1))
             if not len(rows):
                 continue
-            if len(centres) == 1:
-                near = np.zeros((len(rows), 1), dtype=np.int32)
-            else:
-                near = np.argpartition(-(matrix[rows] @ centres.T), reach - 1, axis=1)[:, :reach].astype(np.int32)
-            out = batch.take(pa.array(np.repeat(rows, near.shape[1])))
-            yield pa.RecordBatch.from_arrays([*out.columns, pa.array(near.ravel())], names=schema.names)
+            # copies, scores and places of some rows at a time, however many lists there are
+            for part in _slices(np.full(len(rows), len(centres) + reach * matrix.shape[1]), ROUTE_CELLS):
+                some = rows[part]
+                if len(centres) == 1:
+                    near = np.zeros((len(some), 1), dtype=np.int32)
+                else:
+                    near = np.argpartition(-(matrix[some] @ centres.T), reach - 1, axis=1)[:, :reach].astype(np.int32)
+                out = batch.take(pa.array(np.repeat(some, near.shape[1])))
+                yield pa.RecordBatch.from_arrays([*out.columns, pa.array(near.ravel())], names=schema.names)
 
     return df.mapInArrow(route, schema)
 

@@ -1,6 +1,8 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as st
 
 from docloom.operators import retrieve as R
 from docloom.operators.embed import embed_text
@@ -248,3 +250,25 @@ def test_chunk_changes_and_apply(spark, rows):
     synced = ST.apply_changes(old, new, changes)
     assert rows(synced) == rows(new)
     assert {r.change for r in ST.chunk_changes(synced, new).collect()} == {"same"}
+
+
+def test_routing_copies_some_rows_at_a_time(monkeypatch):
+    """With every list probed a vector is copied for each list; no batch that leaves is much larger than ROUTE_CELLS."""
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(300, 8))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300)), pa.array(vectors.tolist())], names=["id", "v"])
+
+    class Frame:
+        schema = st.StructType([st.StructField("id", st.LongType()), st.StructField("v", st.ArrayType(st.DoubleType()))])
+
+        def mapInArrow(self, function, schema):
+            return list(function(iter([batch])))
+
+    class Shared:
+        value = rng.normal(size=(20, 8))
+
+    monkeypatch.setattr(R, "ROUTE_CELLS", 4000, raising=False)
+    out = R._routed(Frame(), "v", Shared(), 20)
+    assert max(b.num_rows for b in out) * 8 <= 4000
+    got = sorted(zip(*(c.to_pylist() for c in pa.Table.from_batches(out).select(["id", "list"]).columns), strict=True))
+    assert got == [(k, c) for k in range(300) for c in range(20)]

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from docloom import session as SS
 from docloom.operators import summary as S
 from docloom.plans import medallion as M
+from docloom.plans import standin as D
 from docloom.plans.workload import QUERIES
 from docloom.sources import files as SF
 from docloom.sources import tables as ST
@@ -214,3 +215,15 @@ def test_silver_stream_reads_tables_of_one_file_and_of_many(spark, rows, tmp_pat
         got = QUERIES["silver_stream"](spark, str(root))
         assert rows(got, *columns) == rows(QUERIES["silver"](spark, str(root)), *columns)
         assert got.count() == 21
+
+
+def test_text_files_are_one_a_row_in_folders_that_are_listed_side_by_side(spark, tmp_path):
+    texts = [f"text {k}\nof two lines, ä" for k in range(2500)] + [None, "", "twice", "twice"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(2)
+    folder = str(tmp_path / "files")
+    assert D.write_text_files(rows, folder) == len(texts)
+    read = SF.ingest_batch(spark, folder, "*.txt").select("content", "source_path", "file_size_bytes").collect()
+    assert sorted(bytes(r["content"]).decode() for r in read) == sorted(f"{t or ''}\n" for t in texts)
+    assert all(r["file_size_bytes"] == len(r["content"]) for r in read)
+    assert max(len(names) for _, _, names in os.walk(folder)) <= 1000
+    assert not [name for name in os.listdir(folder) if name.startswith("_")]

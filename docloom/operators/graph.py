@@ -363,8 +363,11 @@ def mentions(texts: DataFrame, names: DataFrame, words: str = "_words", name: st
         sent = texts.sparkSession.sparkContext.broadcast(sorted(part.toArrow().column(name).to_pylist()))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known = Mentions(sent.value)
+            known = None
             for batch in batches:
+                if not batch.num_rows:
+                    continue
+                known = known or Mentions(sent.value)  # a task without texts builds none
                 found = [known.found(w) for w in batch.column(words).to_pylist()]
                 row = np.repeat(np.arange(len(found)), [len(f) for f in found])
                 columns = [batch.column(c).take(pa.array(row)) for c in kept]
@@ -390,8 +393,15 @@ def entity_link(ranking: DataFrame, corpus: DataFrame, relationships: DataFrame,
     retrieved = materialize(ranking.select("query_id", "item_id"), "ranking").join(
         corpus.select(F.col(item_id).alias("item_id"), words.alias("_words")), "item_id"
     )
-    mentioned = mentions(retrieved.select("query_id", "_words"), known.select(T.token_key("subject").alias("_name"))).distinct()
-    return mentioned.join(best, "_name").select("query_id", *TRIPLE, "mentions")
+    # as many tasks as there are slots, not as the corpus has splits: each builds the automaton
+    slots = ranking.sparkSession.sparkContext.defaultParallelism
+    texts = materialize(retrieved.select("query_id", "_words"), "retrieved").repartition(slots)
+    mentioned = mentions(texts, known.select(T.token_key("subject").alias("_name"))).distinct()
+    # the answer is far longer than what is joined, and one name can have most of it: names are dealt by their triples too
+    part, parts = F.pmod(F.xxhash64(*TRIPLE), F.lit(slots)).cast("int"), F.sequence(F.lit(0), F.lit(slots - 1))
+    dealt = best.withColumn("_part", part).repartition(slots, "_name", "_part")
+    asked = mentioned.withColumn("_part", F.explode(parts)).repartition(slots, "_name", "_part")
+    return asked.join(dealt, ["_name", "_part"]).select("query_id", *TRIPLE, "mentions")
 
 
 # ------------------------------------------------------ the stored graph ----

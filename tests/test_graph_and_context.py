@@ -204,3 +204,20 @@ def test_assembled_context_cuts_each_part(spark):
     assert {r.query_id: r.context for r in context.collect()} == by_hand
     prompt = H.build_prompt(context, questions).where("query_id = 1").first().prompt
     assert by_hand[1] in prompt and prompt.endswith("Question: apple chips\n")
+
+
+def test_entity_link_answers_from_as_many_tasks_as_there_are_slots(spark, rows):
+    """One name has all relations: its answer, far longer than what is joined, still comes from several tasks."""
+    rel = spark.createDataFrame([("c", "p", "Hub", "mentions", f"o{k}", 1) for k in range(400)], "company string, fiscal_period string, subject string, predicate string, object string, mention_count long")
+    chunks = spark.createDataFrame([("a", "of the hub"), ("b", "none")], "chunk_id string, chunk_text string").repartition(40)
+    ranking = spark.createDataFrame([(q, i) for q in range(5) for i in "ab"], "query_id int, item_id string")
+    linked = G.entity_link(ranking, chunks, rel)
+    per_task = [r["count"] for r in linked.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(per_task) == 2000 and len(per_task) > 1 and max(per_task) < 1500
+
+
+def test_a_task_without_texts_builds_no_automaton(spark, monkeypatch):
+    names = spark.createDataFrame([("hub",)], "_name string")
+    texts = spark.createDataFrame([(1, ["hub"])], "query_id int, _words array<string>").where("query_id > 1")
+    monkeypatch.setattr(G, "Mentions", None)  # calling it would fail
+    assert G.mentions(texts, names).collect() == []

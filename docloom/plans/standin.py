@@ -86,6 +86,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Bytes of rows in a shuffle for each byte of the driver tables' files, about what the triples of the star schema take.
+SHUFFLE_GROWTH = 16
+
+
+def shuffle_bytes(spark: SparkSession, sf_dir: str) -> int:
+    """The largest shuffle to expect over the driver tables in a folder, by the size of their files."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return SHUFFLE_GROWTH * files.getContentSummary(folder).getLength()
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Deal rows out when a scan has fewer splits than the cluster has slots.
 
@@ -268,19 +279,19 @@ def star_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.concat(F.lit("FY"), F.year(column).cast("string"))
 
     catalog, always = F.lit("catalog"), F.lit("FY")
+    based = t["supplier"].join(t["nation"], F.col("s_nationkey") == F.col("n_nationkey"))
+    # order lines, the most rows, are shuffled for their orders and suppliers once these are joined, and then for their parts
+    ordered = t["orders"].join(t["customer"], F.col("o_custkey") == F.col("c_custkey"))
     supplied = (
         t["lineitem"].select("l_suppkey", "l_partkey", "l_shipdate")
-        .join(t["supplier"], F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(t["nation"], F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(based, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(t["part"], F.col("l_partkey") == F.col("p_partkey"))
     )
     bought = (
         t["lineitem"].select("l_orderkey", "l_partkey")
-        .join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(t["customer"], F.col("o_custkey") == F.col("c_custkey"))
+        .join(ordered, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t["part"], F.col("l_partkey") == F.col("p_partkey"))
     )
-    based = t["supplier"].join(t["nation"], F.col("s_nationkey") == F.col("n_nationkey"))
     placed = t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
     linked = t["pages"].select(
         F.regexp_extract("url", "^https?://([^/]+)", 1).alias("host"),

@@ -57,7 +57,7 @@ class Tables:
 
 def query(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build(Tables(configure(spark), sf_dir))
+        return build(Tables(configure(spark, D.shuffle_bytes(spark, sf_dir)), sf_dir))
 
     run.__name__ = build.__name__
     run.__doc__ = build.__doc__

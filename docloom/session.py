@@ -14,6 +14,8 @@ JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # as compressed: rows of names take some ten times that in a task's memory
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # bounds the whole texts that one Python worker holds at once
     "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",

@@ -221,3 +221,17 @@ def test_a_task_without_texts_builds_no_automaton(spark, monkeypatch):
     texts = spark.createDataFrame([(1, ["hub"])], "query_id int, _words array<string>").where("query_id > 1")
     monkeypatch.setattr(G, "Mentions", None)  # calling it would fail
     assert G.mentions(texts, names).collect() == []
+
+
+def test_triples_are_sorted_once_and_counted_before_the_shuffle(spark):
+    schema = "company string, fiscal_period string, subject string, predicate string, object string"
+    often = [("B", "Q2", "a", "p", "x")] * 500 + [("A", "Q9", "a", "p", "x"), (None, "Q3", "b", "p", None), ("A", None, "b", "p", None), (None, None, None, "p", "x")]
+    mentions = spark.createDataFrame(often, schema).coalesce(1)
+    assert G.counted_mentions(mentions).count() == 5
+    found = G.build_relationships(mentions)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 1 and plan.count("Exchange") == 1
+    assert sorted((tuple(r) for r in found.collect()), key=repr) == sorted(
+        [("A", "Q9", "a", "p", "x", 501), (None, "Q3", "b", "p", None, 2), (None, None, None, "p", "x", 1)], key=repr
+    )
+    assert G.build_relationships(mentions.limit(0)).count() == 0

@@ -227,3 +227,15 @@ def test_text_files_are_one_a_row_in_folders_that_are_listed_side_by_side(spark,
     assert all(r["file_size_bytes"] == len(r["content"]) for r in read)
     assert max(len(names) for _, _, names in os.walk(folder)) <= 1000
     assert not [name for name in os.listdir(folder) if name.startswith("_")]
+
+
+def test_shuffle_partitions_follow_the_tables(spark, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.createDataFrame([(1, "s", 2.0)], "s_suppkey int, s_name string, s_acctbal double").write.parquet(f"{tmp_path}/supplier.parquet")
+    with open(tmp_path / "lineitem.parquet", "wb") as held:
+        held.truncate(80 << 20)  # 1280 MB of rows: ten partitions of 128 MB
+    try:
+        assert QUERIES["read_table"](spark, str(tmp_path)).count() == 1
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) >= 10
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -32,18 +33,29 @@ def _matches(text: Column, predicate: str, pattern: str, subject_type: str, obje
     )
 
 
-def triplet_json(text: Column | str, patterns=None) -> Column:
+def stretches_with(stretches: Column, words: str, sign: str) -> Column:
+    """A text's stretches between ``sign`` that hold ``words``, with the sign in front of each but the text's first."""
+    kept = F.array_join(F.filter(stretches, lambda s: F.contains(s, F.lit(words))), sign)
+    return F.when(F.contains(stretches[0], F.lit(words)), kept).otherwise(F.concat(F.lit(sign), kept))
+
+
+def triplet_json(text: Column | str, patterns=None, words: dict[str, str] | None = None, sign: str = ".") -> Column:
     """``{"data": {"entities": [...], "relationships": [...]}}`` for one text.
 
     ``patterns`` are ``(predicate, pattern with two groups, subject type, object
     type)``; hits come in pattern order, then text order, repeats included.
+    ``words`` names for a predicate what every hit of its pattern holds, where no hit holds
+    ``sign`` but as its first character: only stretches with these words are searched.
     """
     patterns = V.TRIPLET_PATTERNS if patterns is None else patterns
     unknown = sorted({p[0] for p in patterns} - set(V.PREDICATES))
     if unknown:
         raise ValueError(f"predicates outside the vocabulary: {unknown}")
     column = F.col(text) if isinstance(text, str) else text
-    hits = F.concat(*[_matches(column, *p) for p in patterns])
+
+    def hits(stretches: Column) -> Column:
+        searched = [stretches_with(stretches, words[p[0]], sign) if words and p[0] in words else column for p in patterns]
+        return F.concat(*[_matches(s, *p) for s, p in zip(searched, patterns, strict=True)])
 
     def result(found: Column) -> Column:
         ends = F.flatten(
@@ -66,13 +78,15 @@ def triplet_json(text: Column | str, patterns=None) -> Column:
             F.lit("}}"),
         )
 
-    bound = F.transform(F.array(hits), result)[0]
+    cut = F.split(column, re.escape(sign), -1) if words else F.array(column)
+    bound = F.transform(F.array(cut), lambda stretches: F.transform(F.array(hits(stretches)), result)[0])[0]
     return F.when(column.isNotNull(), bound)
 
 
-def extract_triplets(df: DataFrame, text: str = "plain_text", patterns=None, into: str = "result") -> DataFrame:
+def extract_triplets(df: DataFrame, text: str = "plain_text", patterns=None, into: str = "result",
+                     words: dict[str, str] | None = None, sign: str = ".") -> DataFrame:
     """Add the extraction JSON. ``materialize`` the result before reading it twice."""
-    return df.withColumn(into, triplet_json(text, patterns))
+    return df.withColumn(into, triplet_json(text, patterns, words, sign))
 
 
 def extract_with_model(df: DataFrame, answer: Callable[[list[str]], list[str | None]], prompt: str,

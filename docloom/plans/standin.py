@@ -76,6 +76,11 @@ TRIPLET_PATTERNS = [
     ("supplies_to", rf"{_FIRST} to {_SECOND}", "Company", "Company"),
     ("mentions", rf"{_FIRST} and {_SECOND}", "Person", "Product"),
 ]
+#: What stands between the two words of a hit; a full stop can only be the character in front of it.
+TRIPLET_WORDS = {
+    "partners_with": " with ", "competes_with": " or ", "invests_in": " for ", "acquires": " by ",
+    "uses_technology": " from ", "supplies_to": " to ", "mentions": " and ",
+}
 # ---------------------------------------------------------------------------
 
 SUBJECT_ALIASES = {alias: company for company, aliases in SUBJECT_NAMES.items() for alias in aliases}
@@ -261,7 +266,7 @@ def _search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _triplets_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stored(spark, sf_dir, "silver").drop("parsed_document")
-    return X.extract_triplets(rows, "plain_text", TRIPLET_PATTERNS)
+    return X.extract_triplets(rows, "plain_text", TRIPLET_PATTERNS, words=TRIPLET_WORDS)
 
 
 def star_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -484,7 +484,7 @@ def chunk_pages(t: Tables) -> DataFrame:
 @query
 def extract_triplets(t: Tables) -> DataFrame:
     rows = t.stored("silver").drop("parsed_document")
-    return TR.extract_triplets(rows, "plain_text", D.TRIPLET_PATTERNS).select("source_path", "result")
+    return TR.extract_triplets(rows, "plain_text", D.TRIPLET_PATTERNS, words=D.TRIPLET_WORDS).select("source_path", "result")
 
 
 @query

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from docloom.operators import context as H
 from docloom.operators import graph as G
 from docloom.operators import triplets as TR
+from docloom.plans import standin as D
 
 TEXT = (
     "Alpha Corp partners with Beta. Alpha Corp competes with Gamma Labs. Beta invested in Delta. Gamma Labs acquired Epsilon. "
@@ -235,3 +236,15 @@ def test_triples_are_sorted_once_and_counted_before_the_shuffle(spark):
         [("A", "Q9", "a", "p", "x", 501), (None, "Q3", "b", "p", None, 2), (None, None, None, "p", "x", 1)], key=repr
     )
     assert G.build_relationships(mentions.limit(0)).count() == 0
+
+
+def test_only_stretches_with_a_patterns_words_are_searched(spark):
+    texts = ["One with two. Three.four with five with six.Seven with", "seven with eight", ".a1 with bb with ccc. ddd with eee", "x.\nÉté with voilà.", "no. hit. here", "", ".", None,
+             "aaa with bbb.ccc with ddd with with with eee.fff", "aaa or bbb.or. ccc or ddd with eee. with fff"]
+    docs = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "n int, plain_text string")
+    plain = TR.extract_triplets(docs, patterns=D.TRIPLET_PATTERNS).collect()
+    assert TR.extract_triplets(docs, patterns=D.TRIPLET_PATTERNS, words=D.TRIPLET_WORDS).collect() == plain
+    assert sum("description" in (r.result or "") for r in plain) == 6
+    left = docs.select(TR.stretches_with(F.split("plain_text", r"\.", -1), " with ", ".").alias("t")).collect()
+    assert [r.t for r in left][:2] == ["One with two.four with five with six", "seven with eight"]
+    assert all(rx.count(f"){D.TRIPLET_WORDS[p]}(") == 1 for p, rx, _, _ in D.TRIPLET_PATTERNS)

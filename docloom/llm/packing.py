@@ -99,7 +99,7 @@ class ChunkEncoder:
         young, old = known
         if len(young) > CACHE_CHUNKS:
             young, old = {}, young
-        new = list(set().union(*lists) - young.keys())
+        new = list(set().union(*lists).difference(young))  # a look-up for each of these chunks; ``-`` walks all that is known
         if old:
             young.update({c: old[c] for c in new if c in old})
             new = [c for c in new if c not in young]

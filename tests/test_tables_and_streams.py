@@ -239,3 +239,14 @@ def test_shuffle_partitions_follow_the_tables(spark, tmp_path):
         assert int(spark.conf.get("spark.sql.shuffle.partitions")) >= 10
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_a_chunk_revision_builds_no_index(spark, tmp_path):
+    docs = [(n, f"Line {n} one.\n" + "Line two of it. " * 40, "en", f"src{n}", 30) for n in range(6)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 1), (2, 0, 0), (3, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, 0, "user", "Hello there. " * 40)], "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    synced = QUERIES["apply_changes"](spark, str(tmp_path)).collect()
+    assert len(synced) == len({r.chunk_id for r in synced}) == 6  # one document is gone, one call has come
+    assert sum(r.chunk_to_embed.endswith("(revised)") for r in synced) == 1
+    assert not [key for key in D._INDEXES if key[1] == str(tmp_path)]

@@ -106,11 +106,20 @@ def build_relationships(mentions: DataFrame) -> DataFrame:
     return dedupe_relationships(mentions)
 
 
+def shuffled(names: DataFrame) -> DataFrame:
+    """The side of a join that has a row for each name, never broadcast.
+
+    The planner goes by the size of stored files, where names take a fiftieth or less of what they take in
+    memory: millions of them would be gathered in the driver.
+    """
+    return names.hint("merge")
+
+
 def missing_entities(relationships: DataFrame, entities: DataFrame) -> DataFrame:
     """Distinct names at either end of a relationship that have no entity row."""
     ends = relationships.select(F.explode(F.array("subject", "object")).alias("entity_name"))
     return ends.where(F.col("entity_name").isNotNull()).distinct().join(
-        entities.select("entity_name"), "entity_name", "left_anti"
+        shuffled(entities.select("entity_name")), "entity_name", "left_anti"
     )
 
 

@@ -269,6 +269,15 @@ def _triplets_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.extract_triplets(rows, "plain_text", TRIPLET_PATTERNS, words=TRIPLET_WORDS)
 
 
+#: Rows of a table that a join may gather in the driver and send to every task.
+BROADCAST_ROWS = 250_000
+
+
+def join_side(df: DataFrame) -> DataFrame:
+    """A table to join with: one of many rows isn't broadcast, however small its files are."""
+    return df.hint("merge") if df.count() > BROADCAST_ROWS else df  # counted in the files' footers
+
+
 def star_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order line, part, supplier, customer and page link as a triple."""
     t = {n: table(spark, sf_dir, n) for n in "region nation customer supplier part orders lineitem pages".split()}
@@ -286,16 +295,17 @@ def star_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     catalog, always = F.lit("catalog"), F.lit("FY")
     based = t["supplier"].join(t["nation"], F.col("s_nationkey") == F.col("n_nationkey"))
     # order lines, the most rows, are shuffled for their orders and suppliers once these are joined, and then for their parts
-    ordered = t["orders"].join(t["customer"], F.col("o_custkey") == F.col("c_custkey"))
+    made = join_side(t["part"])
+    ordered = t["orders"].join(join_side(t["customer"]), F.col("o_custkey") == F.col("c_custkey"))
     supplied = (
         t["lineitem"].select("l_suppkey", "l_partkey", "l_shipdate")
         .join(based, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(t["part"], F.col("l_partkey") == F.col("p_partkey"))
+        .join(made, F.col("l_partkey") == F.col("p_partkey"))
     )
     bought = (
         t["lineitem"].select("l_orderkey", "l_partkey")
         .join(ordered, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(t["part"], F.col("l_partkey") == F.col("p_partkey"))
+        .join(made, F.col("l_partkey") == F.col("p_partkey"))
     )
     placed = t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
     linked = t["pages"].select(

@@ -248,3 +248,33 @@ def test_only_stretches_with_a_patterns_words_are_searched(spark):
     left = docs.select(TR.stretches_with(F.split("plain_text", r"\.", -1), " with ", ".").alias("t")).collect()
     assert [r.t for r in left][:2] == ["One with two.four with five with six", "seven with eight"]
     assert all(rx.count(f"){D.TRIPLET_WORDS[p]}(") == 1 for p, rx, _, _ in D.TRIPLET_PATTERNS)
+
+
+def plan_of(df):
+    """The plan of a collected DataFrame as it was run."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def named_graph(spark, tmp_path):
+    """A stored graph whose files are far smaller than its names are in memory."""
+    entities = spark.range(2000).selectExpr("'X' company", "'Q' fiscal_period", "concat('name number ', id) entity_name", "'Company' entity_type", "'d' description", "concat('Company_', id) UID")
+    triples = spark.range(2000).selectExpr("'X' company", "'Q' fiscal_period", "concat('name number ', id) subject", "'mentions' predicate", "concat('name number ', id + 1) object", "1L mention_count")
+    entities.write.parquet(f"{tmp_path}/entities")
+    triples.write.parquet(f"{tmp_path}/triples")
+    return spark.read.parquet(f"{tmp_path}/triples"), spark.read.parquet(f"{tmp_path}/entities")
+
+
+def test_known_names_are_not_gathered_in_the_driver_to_find_missing_ones(spark, tmp_path):
+    triples, entities = named_graph(spark, tmp_path)
+    missing = G.missing_entities(triples, entities)
+    assert "Broadcast" not in plan_of(missing)
+    assert [r.entity_name for r in missing.collect()] == ["name number 2000"]
+
+
+def test_a_table_of_many_rows_is_not_broadcast(spark, tmp_path, monkeypatch):
+    triples, entities = named_graph(spark, tmp_path)
+    monkeypatch.setattr(D, "BROADCAST_ROWS", 1999)
+    assert "Broadcast" not in plan_of(triples.join(D.join_side(entities), F.col("subject") == F.col("entity_name")))
+    monkeypatch.setattr(D, "BROADCAST_ROWS", 2000)
+    assert "Broadcast" in plan_of(triples.join(D.join_side(entities), F.col("subject") == F.col("entity_name")))

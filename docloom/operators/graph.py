@@ -157,11 +157,11 @@ def edge_table(relationships: DataFrame, entities: DataFrame) -> DataFrame:
     nodes = node_table(entities)
 
     def side(prefix: str, end: str) -> DataFrame:
-        return nodes.select(
+        return shuffled(nodes.select(
             F.col("entity_name").alias(end),
             F.col("UID").alias(f"{prefix}_id"),
             F.col("entity_type").alias(f"{prefix}_type"),
-        )
+        ))
 
     joined = relationships.join(side("node_start", "subject"), "subject", "left").join(
         side("node_end", "object"), "object", "left"

@@ -278,3 +278,10 @@ def test_a_table_of_many_rows_is_not_broadcast(spark, tmp_path, monkeypatch):
     assert "Broadcast" not in plan_of(triples.join(D.join_side(entities), F.col("subject") == F.col("entity_name")))
     monkeypatch.setattr(D, "BROADCAST_ROWS", 2000)
     assert "Broadcast" in plan_of(triples.join(D.join_side(entities), F.col("subject") == F.col("entity_name")))
+
+
+def test_nodes_of_edges_are_not_gathered_in_the_driver(spark, tmp_path):
+    triples, entities = named_graph(spark, tmp_path)
+    edges = G.edge_table(triples, entities).drop("edge_properties")
+    assert "Broadcast" not in plan_of(edges)
+    assert edges.count() == 2000 and edges.where("node_end_id is null").count() == 1

@@ -328,7 +328,7 @@ def entity_lookup_batch(relationships: DataFrame, names: DataFrame, predicate: s
     """
     rows = relationships if predicate is None else relationships.where(F.col("predicate") == predicate)
     rows = rows.select(*TRIPLE)
-    asked = names.select("entity_name").distinct()
+    asked = shuffled(names.select("entity_name").distinct())
 
     def end(name: str) -> DataFrame:
         # an entity's first rows don't depend on who asks, so they are found before the shuffle

@@ -285,3 +285,10 @@ def test_nodes_of_edges_are_not_gathered_in_the_driver(spark, tmp_path):
     edges = G.edge_table(triples, entities).drop("edge_properties")
     assert "Broadcast" not in plan_of(edges)
     assert edges.count() == 2000 and edges.where("node_end_id is null").count() == 1
+
+
+def test_asked_names_are_not_gathered_in_the_driver(spark, tmp_path):
+    triples, entities = named_graph(spark, tmp_path)
+    found = G.entity_lookup_batch(triples, entities.select("entity_name"))
+    assert "Broadcast" not in plan_of(found)
+    assert found.count() == 3999

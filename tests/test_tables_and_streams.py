@@ -229,6 +229,36 @@ def test_text_files_are_one_a_row_in_folders_that_are_listed_side_by_side(spark,
     assert not [name for name in os.listdir(folder) if name.startswith("_")]
 
 
+ODD_NAMES = ["a b.txt", "c%20d.txt", "ä{.txt", "x/y.txt", "x/_hidden.txt", "_folder/z.txt", ".folder/z.txt", "x/_k=1/w.txt", "e.log", "x/empty.txt", "x/a#b?c.txt"]
+
+
+def read_files(files):
+    return sorted((r.source_path, bytes(r.content), r.file_size_bytes) for r in files.collect())
+
+
+@pytest.mark.parametrize("glob", [None, "*.txt", "{a,c}*", "[a-e]?*.txt"])
+def test_files_listed_by_tasks_are_those_of_sparks_reader(spark, tmp_path, glob):
+    root = str(tmp_path / "root dir")
+    for name in ODD_NAMES:
+        put(root, name, "" if "empty" in name else name)
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    wanted = SF._bronze((reader.option("pathGlobFilter", glob) if glob else reader).load(root))
+    files = SF.ingest_batch(spark, root, glob)
+    assert read_files(files) == read_files(wanted) and files.count() >= 3
+    assert "binaryFile" not in files._jdf.queryExecution().toString()  # whose listing lies in the driver
+    assert read_files(SF.ingest_batch(spark, f"file://{root}", glob)) == read_files(wanted)
+    assert read_files(SF.ingest_batch(spark, f"{root[:-3]}*", glob)) == read_files(wanted)
+
+
+def test_contents_are_read_some_at_a_time(spark, tmp_path, monkeypatch):
+    for n in range(50):
+        put(str(tmp_path / "in"), f"{n}.txt", f"{n}" * 10)
+    monkeypatch.setattr(SF, "READ_BYTES", 25)
+    files = SF.ingest_batch(spark, str(tmp_path / "in"))
+    assert sorted(bytes(r.content).decode() for r in files.collect()) == sorted(f"{n}" * 10 for n in range(50))
+    assert files.where(F.length("content") == 20).count() == 40
+
+
 def test_shuffle_partitions_follow_the_tables(spark, tmp_path):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.createDataFrame([(1, "s", 2.0)], "s_suppkey int, s_name string, s_acctbal double").write.parquet(f"{tmp_path}/supplier.parquet")

@@ -160,7 +160,8 @@ def ingest_stream(t: Tables) -> DataFrame:
     """The same files as a stream; a second run finds nothing new."""
     folder = f"{scratch_folder(t.spark)}/stream-{uuid.uuid4().hex}"
     for _ in range(2):
-        ST.streaming_table(_files(SF.ingest_stream(t.spark, D.text_files(t.spark, t.sf_dir), "*.txt", 5000)), f"{folder}/out", f"{folder}/state")
+        files = SF.ingest_stream(t.spark, D.text_files(t.spark, t.sf_dir), "*.txt", 5000, f"{folder}/manifests")
+        ST.streaming_table(_files(files), f"{folder}/out", f"{folder}/state")
     return ST.read_table(t.spark, f"{folder}/out")
 
 

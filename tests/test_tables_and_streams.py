@@ -259,6 +259,31 @@ def test_contents_are_read_some_at_a_time(spark, tmp_path, monkeypatch):
     assert files.where(F.length("content") == 20).count() == 40
 
 
+def test_a_stream_of_manifests_delivers_each_file_once(spark, tmp_path):
+    root, manifests = str(tmp_path / "in"), str(tmp_path / "manifests")
+    for n in range(23):
+        put(root, f"{n % 3}/{n}.txt", f"text {n}")
+
+    def run(name):
+        files = SF.ingest_stream(spark, root, "*.txt", 5, manifests)
+        query = ST.streaming_table(files, f"{tmp_path}/{name}", f"{tmp_path}/{name}.state")
+        return read_files(spark.read.parquet(f"{tmp_path}/{name}")), query
+
+    def wanted():
+        return read_files(SF.ingest_batch(spark, root, "*.txt"))
+
+    got, query = run("one")
+    assert got == wanted() and len(got) == 23
+    assert max(p.numInputRows for p in query.recentProgress) <= 5
+    assert run("one")[0] == wanted()
+    put(root, "1/late.txt", "late")
+    put(root, "1/other.log", "not asked for")
+    assert run("one")[0] == wanted() and len(wanted()) == 24
+    assert run("two")[0] == wanted()  # another checkpoint gets all
+    log = os.path.join(tmp_path, "two.state", "sources", "0")
+    assert not any(".txt" in open(os.path.join(log, name)).read() for name in os.listdir(log) if not name.startswith("."))
+
+
 def test_shuffle_partitions_follow_the_tables(spark, tmp_path):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.createDataFrame([(1, "s", 2.0)], "s_suppkey int, s_name string, s_acctbal double").write.parquet(f"{tmp_path}/supplier.parquet")

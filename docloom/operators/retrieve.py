@@ -36,7 +36,11 @@ if TYPE_CHECKING:
 
 QUERY_LIMIT = 4096
 QUERY_WEIGHT = 2_000_000
+#: Items of a file of approximate search, and queries that a task holds while it walks these files.
 CELL_ROWS, CELL_WEIGHT = 20_000, 20_000_000
+PROBE_ROWS = 4096
+#: Candidates that are gathered before they are merged with the best so far.
+MERGE_ROWS = 20_000
 #: Items that a task holds while it walks the blocks of a large query set.
 WALK_ROWS, WALK_WEIGHT = 200_000, 10_000_000
 MATRIX_CELLS = 4_000_000
@@ -120,9 +124,10 @@ class _Cosine:
     def __init__(self, queries: pa.Table):
         self.unit = _unit(_matrix(queries.column("q_payload")))
 
-    def score(self, payload: pa.Array) -> np.ndarray:
-        items = _unit(_matrix(payload))
-        scores = items @ self.unit.T if items.size and self.unit.size else np.zeros((len(payload), len(self.unit)))
+    def score(self, payload: pa.Array, some: np.ndarray | None = None) -> np.ndarray:
+        """Scores of all queries of the block, or of ``some``."""
+        items, unit = _unit(_matrix(payload)), self.unit if some is None else self.unit[some]
+        scores = items @ unit.T if items.size and unit.size else np.zeros((len(payload), len(unit)))
         scores[~items.any(axis=1)] = -np.inf
         return scores
 
@@ -194,35 +199,49 @@ class _Best:
         self.ids = _plain(queries.column("query_id"))
         self.scorer, self.k, self.skip_same = scorer, k, skip_same
         self.kept: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
-        self.floor = np.full(len(self.ids), -np.inf)  # what the k-th best has so far
+        self.found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # to be merged with what is kept
+        self.floor = np.full(len(self.ids), -np.inf)  # what the k-th best has at least
 
-    def add(self, items) -> None:
-        step = max(1, MATRIX_CELLS // max(1, len(self.ids)))
+    def add(self, items, some: np.ndarray | None = None) -> None:
+        """Items that all queries of the block meet, or ``some``."""
+        step = max(1, MATRIX_CELLS // max(1, len(self.ids) if some is None else len(some)))
         for start in range(0, items.num_rows, step):
-            self._add(items.slice(start, step))
+            self._add(items.slice(start, step), some)
 
-    def _add(self, items) -> None:
+    def _add(self, items, some: np.ndarray | None) -> None:
         payload = items.column("i_payload")
         if isinstance(payload, pa.ChunkedArray):
             payload = payload.combine_chunks()
-        scores = _rounded(self.scorer.score(payload))
+        scores = self.scorer.score(payload) if some is None else self.scorer.score(payload, some)
         item_ids = _plain(items.column("item_id"))
+        ids, floor = (self.ids, self.floor) if some is None else (self.ids[some], self.floor[some])
         if self.skip_same:
-            scores[item_ids[:, None] == self.ids[None, :]] = -np.inf
-        floor = self.floor
-        if len(scores) > self.k:
-            floor = np.maximum(floor, np.partition(scores, len(scores) - self.k, axis=0)[len(scores) - self.k])
-        row, query = np.nonzero((scores >= floor) & (scores > -np.inf))
-        found = (query, item_ids[row], scores[row, query])
-        if self.kept is not None:
-            found = tuple(np.concatenate(pair) for pair in zip(self.kept, found))
+            scores[item_ids[:, None] == ids[None, :]] = -np.inf
+        if len(scores) > self.k and np.isneginf(floor).any():
+            floor = np.maximum(floor, _rounded(np.partition(scores, len(scores) - self.k, axis=0)[len(scores) - self.k]))
+        # rounding lifts a score by less than its last digit; only what may reach the floor is rounded
+        row, query = np.nonzero((scores >= floor - 10.0**-DIGITS) & (scores > -np.inf))
+        score = _rounded(scores[row, query])
+        high = score >= floor[query]
+        if high.any():
+            row, query = row[high], query[high]
+            self.found.append((query if some is None else some[query], item_ids[row], score[high]))
+            if sum(len(part[0]) for part in self.found) >= max(MERGE_ROWS, self.k * len(self.ids)):
+                self._merge()
+
+    def _merge(self) -> None:
+        parts = [*([self.kept] if self.kept is not None else []), *self.found]
+        if not self.found:
+            return
+        found = tuple(np.concatenate(column) for column in zip(*parts, strict=True))
         order = np.lexsort((found[1], -found[2], found[0]))
         query, item, score = (part[order] for part in found)
         nth = np.arange(len(query)) - np.searchsorted(query, query)
         self.floor[query[nth == self.k - 1]] = score[nth == self.k - 1]
-        self.kept = (query[nth < self.k], item[nth < self.k], score[nth < self.k])
+        self.kept, self.found = (query[nth < self.k], item[nth < self.k], score[nth < self.k]), []
 
     def rows(self, schema: pa.Schema) -> pa.Table:
+        self._merge()
         if self.kept is None:
             return schema.empty_table()
         query, item, score = self.kept
@@ -278,20 +297,6 @@ def _arrow_schema(queries: DataFrame, corpus: DataFrame) -> tuple[st.StructType,
     return schema, to_arrow_schema(schema)
 
 
-def _score_cells(queries: DataFrame, corpus: DataFrame, cell: list[str], make_scorer, k: int, skip_same: bool,
-                 schemas) -> DataFrame:
-    schema, arrow = schemas
-
-    def score(block: pa.Table, items: pa.Table) -> pa.Table:
-        if not block.num_rows or not items.num_rows:
-            return arrow.empty_table()
-        best = _BestByTag(block, make_scorer, k, skip_same)
-        best.add(items)
-        return best.rows(arrow)
-
-    return queries.groupBy(*cell).cogroup(corpus.groupBy(*cell)).applyInArrow(score, schema)
-
-
 def _size(side: DataFrame, payload: str):
     """Rows and payload entries of one side."""
     entries = F.coalesce(F.sum(F.coalesce(F.size(payload), F.lit(0))), F.lit(0))
@@ -345,15 +350,15 @@ def _walk(queries: DataFrame, blocks: int, corpus: DataFrame, make_scorer, k: in
     return corpus.mapInArrow(score, schema)
 
 
-def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Items in tables of bounded size."""
+def _held(batches: Iterator[pa.RecordBatch], payload: str = "i_payload", most: int | None = None) -> Iterator[pa.Table]:
+    """Rows in tables of bounded size."""
     held: list[pa.RecordBatch] = []
     rows = weight = 0
     for batch in batches:
         held.append(batch)
         rows += batch.num_rows
-        weight += pc.sum(pc.list_value_length(batch.column("i_payload"))).as_py() or 0
-        if rows >= WALK_ROWS or weight >= WALK_WEIGHT:
+        weight += pc.sum(pc.list_value_length(batch.column(payload))).as_py() or 0
+        if rows >= (most or WALK_ROWS) or weight >= WALK_WEIGHT:
             yield pa.Table.from_batches(held)
             held, rows, weight = [], 0, 0
     if rows:
@@ -554,10 +559,9 @@ def ann_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, *, query_id: st
     Without ``probes``, as many as hold ``recall`` of the true neighbours of a sample
     of the queries in this corpus, so the share of lists follows the data and its size.
 
-    Every item is in the list of its nearest centre. A list is only a routing
-    key: its measured size decides into how many cells its items and its
-    queries are dealt, so a list holding a third of the corpus becomes many
-    bounded cells instead of one long task.
+    Every item is in the list of its nearest centre. A list is only a routing key:
+    queries are dealt over tasks whatever they probe, and a list holding a third of
+    the corpus becomes many bounded files instead of one long task.
     """
     items = corpus.where(metadata_filter(filters)) if filters else corpus
     asked = _query_side(queries, query_id, F.col(query_vector), None)
@@ -567,30 +571,84 @@ def ann_topk(queries: DataFrame, corpus: DataFrame, k: int = 10, *, query_id: st
     if probes is None:
         probes = probes_for(recall, queries, items, k, centroids, query_id=query_id, item_id=item_id,
                             query_vector=query_vector, item_vector=item_vector, skip_same=skip_same)
-    shared = corpus.sparkSession.sparkContext.broadcast(centroids)
-    q_list = _routed(asked, "q_payload", shared, probes)
-    i_list = _routed(stored, "i_payload", shared, 1)
-
-    weight = F.sum(F.size("i_payload")) / CELL_WEIGHT
-    i_size = i_list.groupBy("list").agg(F.ceil(F.greatest(F.count(F.lit(1)) / CELL_ROWS, weight)).alias("i_cells"))
-    q_size = q_list.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / QUERY_LIMIT).alias("q_cells"))
-    # one row per list in use; stored, since both sides read it and the planner sees its size
-    cells = materialize(i_size.join(q_size, "list"), "cells")
-
-    def deal(df: DataFrame, key: str, own: str, other: str) -> DataFrame:
-        last = F.col(f"{other}_cells") - 1
-        return (
-            df.join(cells, "list")
-            .withColumn(f"{own}_block", F.pmod(F.xxhash64(key), F.col(f"{own}_cells")))
-            .withColumn(f"{other}_block", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-            .drop("i_cells", "q_cells")
-        )
+    return top_k_per_query(_walk_lists(asked, stored, centroids, probes, k, skip_same), k)
 
-    scored = _score_cells(
-        deal(q_list, "query_id", "q", "i"), deal(i_list, "item_id", "i", "q"),
-        ["list", "q_block", "i_block"], _Cosine, k, skip_same, _arrow_schema(asked, stored),
-    )
-    return top_k_per_query(scored, k)
+
+def _walk_lists(asked: DataFrame, stored: DataFrame, centroids: np.ndarray, probes: int, k: int, skip_same: bool) -> DataFrame:
+    """k best items of each query within its ``probes`` nearest lists: no row is copied for a list, and k rows a query come out.
+
+    Few queries are broadcast, as in exact search. Beyond that items are stored once, in files of neighbouring lists,
+    and queries are dealt out once: a task walks the files over the queries it holds, each list meeting those that probe it.
+    """
+    schema, arrow = _arrow_schema(asked, stored)
+    spark = stored.sparkSession
+    shared = spark.sparkContext.broadcast(centroids)
+    items = materialize(_routed(stored, "i_payload", shared, 1), "routed-items")
+    queries = materialize(asked, "queries")  # what is counted is what is read
+    size, asks = _size(items, "i_payload"), _size(queries, "q_payload")
+
+    def scored(block: pa.Table, parts: Iterator[pa.Table]) -> Iterator[pa.RecordBatch]:
+        block = block.filter(pa.array(_matrix(block.column("q_payload")).any(axis=1), pa.bool_()))  # the others match nothing
+        if not block.num_rows:
+            return
+        best = _Best(block, _Cosine(block), k, skip_same)
+        bits = _probed(best.scorer.unit, _unit(shared.value), probes)
+        for part in parts:
+            if bits is None:
+                best.add(part)
+                continue
+            part = part.sort_by("list")
+            number = part.column("list").to_numpy()
+            for low, high in _runs_of(number):
+                wanted = np.flatnonzero(bits[:, number[low] >> 3] & (128 >> (number[low] & 7)))
+                if len(wanted):
+                    best.add(part.slice(low, high - low), wanted)
+        yield from best.rows(arrow).to_batches()
+
+    if asks["n"] <= QUERY_LIMIT and asks["w"] <= QUERY_WEIGHT:
+        sent = spark.sparkContext.broadcast(queries.toArrow())
+
+        def few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield from scored(sent.value, (pa.Table.from_batches([batch]) for batch in batches))
+
+        return items.mapInArrow(few, schema)
+    folder = f"{scratch_folder(spark)}/list-blocks-{uuid.uuid4().hex}"
+    files = max(1, math.ceil(size["n"] / CELL_ROWS), math.ceil(size["w"] / CELL_WEIGHT))
+    # a list that is longer than a file goes on in the next
+    items.repartitionByRange(files, "list", "item_id").write.option("maxRecordsPerFile", CELL_ROWS).parquet(folder)
+    names = sorted(urllib.parse.unquote(name) for name in spark.read.schema(items.schema).parquet(folder).inputFiles())  # a name for each file
+
+    def read(name: str) -> pa.Table:
+        opened, path = pafs.FileSystem.from_uri(name)
+        with opened.open_input_file(path) as file:
+            return pq.read_table(file)
+
+    def many(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _held(batches, "q_payload", PROBE_ROWS):
+            yield from scored(block, map(read, names))
+
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(asks["n"] / PROBE_ROWS), math.ceil(asks["w"] / WALK_WEIGHT))
+    return queries.repartition(tasks).mapInArrow(many, schema)
+
+
+def _probed(unit: np.ndarray, centres: np.ndarray, probes: int) -> np.ndarray | None:
+    """A bit for each vector and list, set for its nearest ``probes`` lists; None where all are."""
+    if probes >= len(centres):
+        return None
+    bits = np.zeros((len(unit), (len(centres) + 7) // 8), np.uint8)
+    for part in _slices(np.full(len(unit), len(centres)), ROUTE_CELLS):
+        near = np.zeros((len(unit[part]), len(centres)), bool)
+        if near.size and unit.shape[1]:
+            best = np.argpartition(-(unit[part] @ centres.T), probes - 1, axis=1)[:, :probes]
+            near[np.arange(len(near))[:, None], best] = True
+        bits[part] = np.packbits(near, axis=1)
+    return bits
+
+
+def _runs_of(values: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Where runs of equal neighbours begin and end."""
+    edges = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1], [True]])) if len(values) else np.zeros(1, int)
+    yield from zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)
 
 
 # --------------------------------------------------------------- one front --

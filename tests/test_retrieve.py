@@ -272,3 +272,26 @@ def test_routing_copies_some_rows_at_a_time(monkeypatch):
     assert max(b.num_rows for b in out) * 8 <= 4000
     got = sorted(zip(*(c.to_pylist() for c in pa.Table.from_batches(out).select(["id", "list"]).columns), strict=True))
     assert got == [(k, c) for k in range(300) for c in range(20)]
+
+
+@pytest.mark.parametrize("limit", [4096, 30])
+def test_no_row_of_approximate_search_is_copied_for_a_list(spark, monkeypatch, limit):
+    """However many lists are probed, a stored row is written once and a query's k best of a task leave it."""
+    rng = np.random.default_rng(5)
+    items = spark.createDataFrame([(i, rng.standard_normal(8).tolist()) for i in range(400)] + [(400, None), (401, [0.0] * 8), (7, [1.0] * 8)], "id bigint, v array<double>")
+    copies = []
+    routed = R._routed
+    monkeypatch.setattr(R, "_routed", lambda df, vector, centroids, probes: copies.append(probes) or routed(df, vector, centroids, probes))
+    monkeypatch.setattr(R, "QUERY_LIMIT", limit)
+    monkeypatch.setattr(R, "PROBE_ROWS", 25)
+    monkeypatch.setattr(R, "CELL_ROWS", 60)
+    monkeypatch.setattr(R, "MERGE_ROWS", 10)
+    centroids = R.train_centroids(items, "v", lists=20)
+    every = R.ann_topk(items, items, 4, centroids=centroids, probes=20, skip_same=True, **KEYS)
+    want = R.vector_topk(items.where("id < 400"), items, 4, skip_same=True, **KEYS)
+    assert sorted(map(tuple, every.collect())) == sorted(map(tuple, want.collect()))
+    some = R.ann_topk(items, items, 4, centroids=centroids, probes=10, skip_same=True, **KEYS)
+    near = R._unit(np.array([r.v for r in items.where("id < 400 and v[0] != 1").orderBy("id").collect()])) @ R._unit(centroids).T
+    asked, home = np.argsort(-near, axis=1)[:, :10], near.argmax(axis=1)
+    assert all(home[r.item_id] in asked[r.query_id] for r in some.collect() if 7 not in (r.query_id, r.item_id))
+    assert max(copies) == 1

@@ -160,3 +160,14 @@ def test_a_new_index_is_written_without_a_copy(spark, chunks, tmp_path):
     before = staged()
     PX.write_index(chunks, str(tmp_path / "i"), buckets=2)
     assert staged() == before
+
+
+def test_a_sync_writes_changed_chunks_once(spark, chunks, tmp_path, monkeypatch):
+    index = PX.write_index(chunks, str(tmp_path / "index"), buckets=8)
+    written, write = [], PX.write_buckets
+    monkeypatch.setattr(PX, "write_buckets", lambda df, path, *more: written.append((path, "tokens" in df.columns)) or write(df, path, *more))
+    new = chunks.where("chunk_id > 'c0100'")
+    PX.sync_index(index, new)
+    assert sum(has_chunks for _, has_chunks in written) == 1
+    assert not [f for f in (tmp_path / "index").iterdir() if f.name.startswith("_")]  # moved, nothing is left behind
+    assert sorted(r.chunk_id for r in index.chunks.collect()) == sorted(r.chunk_id for r in new.collect())

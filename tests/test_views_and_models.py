@@ -3,6 +3,9 @@
 import random
 from collections import Counter
 
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
 from docloom.operators import classify as C
 from docloom.operators import graph as G
 from docloom.sources import tables as ST
@@ -119,3 +122,13 @@ def test_a_saved_classifier_scores_as_the_fitted_one(spark, tmp_path):
     got = [tuple(r) for r in C.classify_with(asked, C.load_classifier(str(tmp_path / "m")), ["low", "high"]).orderBy("id").collect()]
     assert got == [tuple(r) for r in C.classify_with(asked, model, ["low", "high"]).orderBy("id").collect()]
     assert [r[2] for r in got[:3]] == ["high", "low", None] and got[3][2] in ("low", "high")
+
+
+def test_a_fitted_classifier_scores_after_a_query_was_observed(spark):
+    seen = Observation("seen")
+    spark.range(5).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get == {"n": 5}
+    rows = [(n, f"{'good fine' if n % 2 else 'bad poor'} text {n}", n % 2) for n in range(60)]
+    model = C.train_classifier(spark.createDataFrame(rows, "id int, text string, label int"))
+    asked = spark.createDataFrame([(1, "a fine day"), (2, "poor work")], "id int, text string")
+    assert [r.predicted for r in C.classify_with(asked, model, ["low", "high"]).orderBy("id").collect()] == ["high", "low"]
